@@ -37,6 +37,12 @@ def to_zip(c: Column | str) -> Column:
     return _col(c).cast("decimal(5,0)")
 
 
+def _one_char_upper(c: Column) -> Column:
+    """Upper case of one character; one without a single upper-case form (ß) stays."""
+    upper = F.upper(c)
+    return F.when(F.length(upper) == 1, upper).otherwise(c)
+
+
 def word_case(c: Column | str) -> Column:
     """Upper-case the first character of each alphanumeric run, lower-case the rest.
 
@@ -46,7 +52,9 @@ def word_case(c: Column | str) -> Column:
     pieces = F.split(_col(c), r"(?<=[^\p{L}\p{N}])")
     cased = F.transform(
         pieces,
-        lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(x.substr(F.lit(2), F.length(x)))),
+        lambda x: F.concat(
+            _one_char_upper(F.substring(x, 1, 1)), F.lower(x.substr(F.lit(2), F.length(x)))
+        ),
     )
     return F.array_join(cased, "")
 

@@ -27,14 +27,13 @@ def centroid_and_modes(
     a group, so one key may hold any share of the rows. The sums behind the
     means travel with the first mode column.
     """
-    lead = modes[0]
     entries = F.array(*[
         F.struct(
-            F.lit(name).alias("slot"),
+            F.lit(slot).alias("slot"),
             F.col(name).cast("string").alias("val"),
-            *[(F.col(m) if name == lead else F.lit(None)).cast("double").alias(m) for m in means],
+            *[(F.lit(None) if slot else F.col(m)).cast("double").alias(m) for m in means],
         )
-        for name in modes
+        for slot, name in enumerate(modes)
     ])
     long = df.select(F.col(key), F.explode(entries).alias("e")).select(key, "e.*")
     counted = long.groupBy(key, "slot", "val").agg(
@@ -43,15 +42,15 @@ def centroid_and_modes(
         *[F.count(m).alias(f"cnt_{m}") for m in means],
     )
 
-    def most_frequent(name: str) -> Column:
+    def most_frequent(slot: int, name: str) -> Column:
         rank = F.struct((-F.col("n")).alias("less"), F.col("val").alias("val"))
-        usable = (F.col("slot") == name) & F.col("val").isNotNull()
+        usable = (F.col("slot") == slot) & F.col("val").isNotNull()
         return F.min(F.when(usable, rank)).getField("val").alias(name)
 
-    extra = [] if size is None else [F.sum(F.when(F.col("slot") == lead, F.col("n"))).alias(size)]
+    extra = [] if size is None else [F.sum(F.when(F.col("slot") == 0, F.col("n"))).alias(size)]
     return counted.groupBy(key).agg(
         *[(F.sum(f"sum_{m}") / F.nullif(F.sum(f"cnt_{m}"), F.lit(0))).alias(m) for m in means],
-        *[most_frequent(name) for name in modes],
+        *[most_frequent(slot, name) for slot, name in enumerate(modes)],
         *extra,
     )
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,52 +48,43 @@ def accepted(model: str, column: str, values: Iterable[str]) -> Check:
     return Check(model, "accepted_values", (column,), values=tuple(values))
 
 
-def _null_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    plain = value.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + plain.replace("{", "{{").replace("}", "}}") + "'"
+
+
+def _head(check: Check) -> str:
+    return ", ".join(_text(t) for t in (check.model, check.test, check.label, check.severity))
+
+
+def _null_counts(checks: list[Check]) -> str:
     """All not-null tests of a table in one pass."""
-    counts = df.agg(*[
-        F.count_if(F.col(c.columns[0]).isNull()).alias(f"c{i}") for i, c in enumerate(checks)
-    ])
-    entries = F.array(*[
-        F.struct(
-            F.lit(c.model).alias("model"),
-            F.lit(c.test).alias("test"),
-            F.lit(c.label).alias("column_name"),
-            F.lit(c.severity).alias("severity"),
-            F.col(f"c{i}").alias("failures"),
-        )
-        for i, c in enumerate(checks)
-    ])
-    return counts.select(F.explode(entries).alias("e")).select("e.*")
-
-
-def _one_row(check: Check, failures: DataFrame) -> DataFrame:
-    return failures.select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.test).alias("test"),
-        F.lit(check.label).alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        "failures",
-    )
+    counts = ", ".join(f"count_if(`{c.columns[0]}` IS NULL) AS c{i}" for i, c in enumerate(checks))
+    rows = ", ".join(f"{_head(c)}, c{i}" for i, c in enumerate(checks))
+    return f"SELECT stack({len(checks)}, {rows}) FROM (SELECT {counts} FROM {{{checks[0].model}}})"
+
 
+def _failures(check: Check) -> str:
+    """One test as a row.
 
-def _failures(df: DataFrame, models: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    keys = list(check.columns)
-    # Values are counted before any join or comparison, so a value that fills
-    # much of the table is one row per map task from there on.
-    counted = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    Values are counted before any join or comparison, so a value that fills
+    much of the table is one row per map task from there on.
+    """
+    keys = [f"`{c}`" for c in check.columns]
+    table = f"{{{check.model}}}"
     if check.test == "unique":
-        return counted.where("n > 1").agg(F.count(F.lit(1)).alias("failures"))
+        present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        return (f"SELECT {_head(check)}, count(*) FROM (SELECT 1 FROM {table} WHERE {present} "
+                f"GROUP BY {', '.join(keys)} HAVING count(*) > 1)")
     if check.test == "accepted_values":
-        return (
-            counted.where(~F.col(keys[0]).isin(*check.values))
-            .agg(F.count(F.lit(1)).alias("failures"))
-        )
+        values = ", ".join(_text(v) for v in check.values)
+        return (f"SELECT {_head(check)}, count(*) FROM (SELECT DISTINCT {keys[0]} FROM {table} "
+                f"WHERE {keys[0]} NOT IN ({values}))")
     if check.test == "relationships":
-        parent = models[check.to].select(F.col(check.field).alias(keys[0]))
-        return (
-            counted.join(parent, keys[0], "left_anti")
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures"))
-        )
+        return (f"SELECT {_head(check)}, coalesce(sum(child.n), 0) FROM "
+                f"(SELECT {keys[0]} AS k, count(*) AS n FROM {table} WHERE {keys[0]} IS NOT NULL GROUP BY 1) child "
+                f"LEFT ANTI JOIN (SELECT `{check.field}` AS k FROM {{{check.to}}}) parent ON child.k = parent.k")
     raise ValueError(f"unknown test '{check.test}'")
 
 
@@ -102,23 +92,26 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     """model, test, column_name, severity, failures, status - one row per test.
 
     ``status`` is pass without failures; otherwise warn or fail, by severity.
+    All tests make one query, which Spark analyses once and whose branches it
+    runs side by side.
     """
     checks = list(checks)
-    parts: list[DataFrame] = []
+    rows: list[str] = []
     for model in dict.fromkeys(c.model for c in checks):
         mine = [c for c in checks if c.model == model]
         nulls = [c for c in mine if c.test == "not_null"]
-        if nulls:
-            parts.append(_null_counts(models[model], nulls))
-        parts += [
-            _one_row(c, _failures(models[model], models, c)) for c in mine if c.test != "not_null"
-        ]
+        rows += [_null_counts(nulls)] if nulls else []
+        rows += [_failures(c) for c in mine if c.test != "not_null"]
+    used = {c.model for c in checks} | {c.to for c in checks if c.to}
+    spark = models[checks[0].model].sparkSession
+    report = spark.sql("\nUNION ALL\n".join(rows), **{name: models[name] for name in used})
+    report = report.toDF("model", "test", "column_name", "severity", "failures")
     status = (
         F.when(F.col("failures") == 0, "pass")
         .when(F.col("severity") == "warn", "warn")
         .otherwise("fail")
     )
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+    return report.withColumn("status", status)
 
 
 def check_contract(name: str, df: DataFrame, contract: T.StructType) -> DataFrame:

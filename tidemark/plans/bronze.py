@@ -6,7 +6,6 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import bronze_ddl
 from ..sinks.conform import conform
@@ -79,18 +78,14 @@ class BronzeLoader:
         if source.pattern == "snapshot_partition":
             return self._replace(table, newest_snapshot(self.spark, prefix))
         if source.pattern == "incremental":
-            before = self._loaded(table)
-            load_incremental(self.spark, prefix, self._root(table), table, self.max_files)
-            return self._loaded(table) - before
+            target = self._incremental(table)
+            load_incremental(target, prefix, self.max_files)
+            return target.rows_loaded()
         raise ValueError(f"unknown pattern '{source.pattern}' for '{table}'")
 
     def _replace(self, table: str, path: str) -> int:
         return self._snapshot(table).replace(conform(read_files(self.spark, [path]), table))
 
-    def _loaded(self, table: str) -> int:
-        total = self._incremental(table).ledger().agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"))
-        return total.first()["n"]
-
     def run(self, tables: Iterable[str] | None = None) -> DataFrame:
         """Load all tables, or the given ones; a failing table does not stop the rest."""
         outcome = []

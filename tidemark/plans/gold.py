@@ -1,8 +1,10 @@
 """Gold star schema: three dimensions, four facts.
 
-No join carries a broadcast hint: Spark broadcasts a dimension when its size,
-from file statistics or measured at run time, is under the session's threshold,
-and otherwise shuffles both sides and splits hot partitions.
+Dimension joins carry no hint: Spark broadcasts a dimension when its size, from
+file statistics or measured at run time, is under the session's threshold, and
+otherwise shuffles both sides and splits hot partitions. Joins of two tables
+that both grow with the data ask for a merge join, since a compressed file can
+look small enough to broadcast and not be.
 """
 
 from __future__ import annotations
@@ -14,6 +16,16 @@ from ..functions import display_name, surrogate_key
 from ..operators.dedup import first_per_key
 
 
+def dimension_keys(silver: DataFrame, column: str) -> DataFrame:
+    """The natural and the surrogate key of a dimension, all that facts use of it.
+
+    Stands in for the dimension where it is not stored: places join at most
+    once per row, so the dimension has these rows.
+    """
+    name = column.removesuffix("_id")
+    return silver.select(column, surrogate_key(column).alias(f"{name}_key"))
+
+
 def _with_place(df: DataFrame, geolocation: DataFrame, zip_column: str, lat: str, lng: str) -> DataFrame:
     points = geolocation.select(
         F.col("geolocation_zip_code_prefix").alias(zip_column),
@@ -86,9 +98,10 @@ def order_customers(orders: DataFrame, customers: DataFrame, how: str) -> DataFr
     Facts look customers up through their order. Joining the two first keeps
     the larger table out of the join on customer_id.
     """
-    return orders.select("order_id", "customer_id").join(
+    keyed = orders.select("order_id", "customer_id").join(
         customers.select("customer_id", "customer_key"), "customer_id", how
-    ).select("order_id", "customer_key")
+    )
+    return keyed.select("order_id", "customer_key").hint("merge")
 
 
 def fact_order_items(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Category names are given in English already; a few get another spelling so
 # that translated and untranslated categories both occur.
@@ -15,8 +16,15 @@ TRANSLATIONS = [
 ]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _text(name: str, alias: str):
@@ -63,9 +71,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(
-        TRANSLATIONS, "product_category_name string, product_category_name_english string"
-    )
+    rows = ", ".join(f"('{given}', '{english}')" for given, english in TRANSLATIONS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)")
 
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:

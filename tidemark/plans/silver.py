@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import int_round, to_money, to_zip, varchar, word_case
@@ -10,8 +12,13 @@ from ..operators.aggregate import centroid_and_modes
 from ..operators.dedup import first_per_key
 
 
+def present(*columns: str) -> Column:
+    """None of the columns is null; reaches the scan, which ``dropna`` does not."""
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
 def silver_customers(customers: DataFrame) -> DataFrame:
-    return customers.where(F.col("customer_id").isNotNull()).select(
+    return customers.where(present("customer_id")).select(
         varchar("customer_id", 32).alias("customer_id"),
         varchar("customer_unique_id", 32).alias("customer_unique_id"),
         to_zip("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
@@ -21,7 +28,7 @@ def silver_customers(customers: DataFrame) -> DataFrame:
 
 
 def silver_sellers(sellers: DataFrame) -> DataFrame:
-    return sellers.where(F.col("seller_id").isNotNull()).select(
+    return sellers.where(present("seller_id")).select(
         varchar("seller_id", 32).alias("seller_id"),
         to_zip("seller_zip_code_prefix").alias("seller_zip_code_prefix"),
         varchar(word_case("seller_city"), 100).alias("seller_city"),
@@ -32,7 +39,7 @@ def silver_sellers(sellers: DataFrame) -> DataFrame:
 def silver_products(products: DataFrame, translations: DataFrame) -> DataFrame:
     """Category in English, else as given, else ``unknown``."""
     category = F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown"))
-    named = products.where(F.col("product_id").isNotNull()).join(
+    named = products.where(present("product_id")).join(
         translations.select("product_category_name", "product_category_name_english"),
         "product_category_name",
         "left",
@@ -72,7 +79,7 @@ def silver_geolocation(geolocation: DataFrame) -> DataFrame:
 
 def silver_orders(orders: DataFrame) -> DataFrame:
     """The latest purchase per order id; a missing purchase time counts as latest."""
-    typed = orders.where(F.col("order_id").isNotNull()).select(
+    typed = orders.where(present("order_id")).select(
         varchar("order_id", 32).alias("order_id"),
         varchar("customer_id", 32).alias("customer_id"),
         varchar("order_status", 20).alias("order_status"),
@@ -90,11 +97,11 @@ def order_ids(orders: DataFrame) -> DataFrame:
 
     Enough where only existence is asked.
     """
-    return orders.where(F.col("order_id").isNotNull()).select(varchar("order_id", 32).alias("order_id"))
+    return orders.where(present("order_id")).select(varchar("order_id", 32).alias("order_id"))
 
 
 def silver_order_items(items: DataFrame) -> DataFrame:
-    typed = items.dropna(subset=["order_id", "order_item_id"]).select(
+    typed = items.where(present("order_id", "order_item_id")).select(
         varchar("order_id", 32).alias("order_id"),
         F.col("order_item_id").cast("int").alias("order_item_id"),
         varchar("product_id", 32).alias("product_id"),
@@ -108,7 +115,7 @@ def silver_order_items(items: DataFrame) -> DataFrame:
 
 
 def silver_order_payments(payments: DataFrame) -> DataFrame:
-    typed = payments.dropna(subset=["order_id", "payment_sequential"]).select(
+    typed = payments.where(present("order_id", "payment_sequential")).select(
         varchar("order_id", 32).alias("order_id"),
         F.col("payment_sequential").cast("int").alias("payment_sequential"),
         varchar("payment_type", 20).alias("payment_type"),
@@ -120,7 +127,7 @@ def silver_order_payments(payments: DataFrame) -> DataFrame:
 
 def silver_order_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """The latest review per review and order id, where the order is known."""
-    usable = reviews.dropna(subset=["review_id", "order_id"]).select(
+    usable = reviews.where(present("review_id", "order_id")).select(
         "review_id",
         "order_id",
         F.col("review_score").cast("smallint").alias("review_score"),
@@ -132,7 +139,8 @@ def silver_order_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     latest = first_per_key(
         usable, ["review_id", "order_id"], [F.col("review_creation_date").desc_nulls_last()]
     )
-    known = latest.join(orders.select("order_id"), "order_id", "left_semi")
+    # Both sides grow with the data, so neither is to be broadcast.
+    known = latest.join(orders.select("order_id").hint("merge"), "order_id", "left_semi")
     return known.select(
         varchar("review_id", 32).alias("review_id"),
         varchar("order_id", 32).alias("order_id"),

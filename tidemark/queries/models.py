@@ -59,48 +59,46 @@ def silver_order_reviews(spark: SparkSession, sf: str) -> DataFrame:
         inputs.order_reviews(spark, sf), silver.order_ids(inputs.orders(spark, sf)))
 
 
-def _dim_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.dim_customers(silver_customers(spark, sf), _geolocation(spark, sf))
-
-
-def _dim_sellers(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.dim_sellers(silver_sellers(spark, sf), _geolocation(spark, sf))
-
-
 def dim_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(_dim_customers(spark, sf), "customer_lat", "customer_lng")
+    dim = gold.dim_customers(silver_customers(spark, sf), _geolocation(spark, sf))
+    return _rounded(dim, "customer_lat", "customer_lng")
 
 
 def dim_sellers(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(_dim_sellers(spark, sf), "seller_lat", "seller_lng")
+    dim = gold.dim_sellers(silver_sellers(spark, sf), _geolocation(spark, sf))
+    return _rounded(dim, "seller_lat", "seller_lng")
 
 
 def dim_products(spark: SparkSession, sf: str) -> DataFrame:
     return gold.dim_products(silver_products(spark, sf))
 
 
+def _customer_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return gold.dimension_keys(silver_customers(spark, sf), "customer_id")
+
+
 def fact_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.fact_orders(silver_orders(spark, sf), _dim_customers(spark, sf))
+    return gold.fact_orders(silver_orders(spark, sf), _customer_keys(spark, sf))
 
 
 def fact_order_items(spark: SparkSession, sf: str) -> DataFrame:
     return gold.fact_order_items(
         silver_order_items(spark, sf),
         silver_orders(spark, sf),
-        _dim_customers(spark, sf),
-        dim_products(spark, sf),
-        _dim_sellers(spark, sf),
+        _customer_keys(spark, sf),
+        gold.dimension_keys(silver_products(spark, sf), "product_id"),
+        gold.dimension_keys(silver_sellers(spark, sf), "seller_id"),
     )
 
 
 def fact_payments(spark: SparkSession, sf: str) -> DataFrame:
     return gold.fact_payments(
-        silver_order_payments(spark, sf), silver_orders(spark, sf), _dim_customers(spark, sf))
+        silver_order_payments(spark, sf), silver_orders(spark, sf), _customer_keys(spark, sf))
 
 
 def fact_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return gold.fact_reviews(
-        silver_order_reviews(spark, sf), silver_orders(spark, sf), _dim_customers(spark, sf))
+        silver_order_reviews(spark, sf), silver_orders(spark, sf), _customer_keys(spark, sf))
 
 
 def geolocation_preview(spark: SparkSession, sf: str) -> DataFrame:

@@ -77,7 +77,7 @@ _MODELS["stream_order_reviews"] = """
 def _worded(text: str) -> str:
     runs = r"'[\p{L}\p{N}]+|[^\p{L}\p{N}]+'"
     return (f"array_to_string(list_transform(regexp_extract_all({text}, {runs}), "
-            f"lambda x: upper(x[1]) || lower(x[2:])), '')")
+            f"lambda x: CASE WHEN x[1] = 'ß' THEN 'ß' ELSE upper(x[1]) END || lower(x[2:])), '')")
 
 
 def _surrogate(*parts: str) -> str:

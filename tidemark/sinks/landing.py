@@ -35,7 +35,7 @@ def land_batch(df: DataFrame, lake: str, table: str, now: datetime | None = None
     """Append rows under ``batch_date=D``. No rows leave no file."""
     now = now or datetime.now()
     (
-        df.hint("rebalance").withColumn("batch_date", F.lit(f"{now:%Y-%m-%d}"))
+        df.withColumn("batch_date", F.lit(f"{now:%Y-%m-%d}"))
         .write.mode("append").partitionBy("batch_date").parquet(place(lake, BATCHES, table))
     )
 
@@ -53,8 +53,9 @@ def land_delta(
     """
     delta = delta_since(df, ts, state.get(table, EPOCH), parent, on, overlap)
     seen = Observation()
-    observed = delta.observe(seen, F.max(TRACKING).cast("string").alias("high")).drop(TRACKING)
-    land_batch(observed, lake, table, now)
+    # A delta is a small part of many scan tasks: rebalance it into few files.
+    observed = delta.hint("rebalance").observe(seen, F.max(TRACKING).cast("string").alias("high"))
+    land_batch(observed.drop(TRACKING), lake, table, now)
     high = seen.get["high"]
     if high is not None:
         state.put(table, high)

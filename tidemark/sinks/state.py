@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +19,9 @@ class StateLog:
         self.folder = folder
 
     def entries(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.SCHEMA).json(self.folder)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.SCHEMA)
+        # Makes the folder on first use; where it exists this does nothing.
+        self.spark.createDataFrame([], self.SCHEMA).write.mode("ignore").json(self.folder)
+        return self.spark.read.schema(self.SCHEMA).json(self.folder)
 
     def get(self, name: str, default: str | None = None) -> str | None:
         mine = self.entries().where(F.col("name") == name)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import SOURCE_FILE, bronze_ddl
 from ..sinks.conform import conform
@@ -24,13 +24,11 @@ def overwrite_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     )
 
 
-def read_or_empty(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(f"{schema}, {BATCH_ID} bigint").parquet(folder)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{schema}, {BATCH_ID} bigint")
+def read_batches(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """All batches written so far; the folder is made on first use."""
+    with_id = f"{schema}, {BATCH_ID} bigint"
+    spark.createDataFrame([], with_id).write.mode("ignore").partitionBy(BATCH_ID).parquet(folder)
+    return spark.read.schema(with_id).parquet(folder)
 
 
 class IncrementalTable:
@@ -43,13 +41,14 @@ class IncrementalTable:
         self.data = f"{self.folder}/data"
         self.ledger_folder = f"{self.folder}/ledger"
         self.checkpoint = f"{self.folder}/checkpoint"
+        self.batches: list[int] = []
 
     def read(self) -> DataFrame:
-        return read_or_empty(self.spark, self.data, bronze_ddl(self.table)).drop(BATCH_ID)
+        return read_batches(self.spark, self.data, bronze_ddl(self.table)).drop(BATCH_ID)
 
     def ledger(self) -> DataFrame:
         """One row per loaded file."""
-        return read_or_empty(self.spark, self.ledger_folder, LEDGER).drop(BATCH_ID)
+        return read_batches(self.spark, self.ledger_folder, LEDGER).drop(BATCH_ID)
 
     def load_batch(self, paths: list[str], batch_id: int) -> None:
         """Data first, then the ledger, taken from the data just written.
@@ -60,7 +59,7 @@ class IncrementalTable:
         if not paths:
             return
         overwrite_batch(conform(read_files(self.spark, paths), self.table), self.data, batch_id)
-        written = read_or_empty(self.spark, self.data, bronze_ddl(self.table))
+        written = read_batches(self.spark, self.data, bronze_ddl(self.table))
         entries = (
             written.where(F.col(BATCH_ID) == batch_id)
             .groupBy(F.col(SOURCE_FILE).alias("file_key"))
@@ -71,12 +70,19 @@ class IncrementalTable:
             )
         )
         overwrite_batch(entries, self.ledger_folder, batch_id)
+        self.batches.append(batch_id)
+
+    def rows_loaded(self) -> int:
+        """Rows of the batches loaded through this object."""
+        if not self.batches:
+            return 0
+        mine = read_batches(self.spark, self.ledger_folder, LEDGER).where(F.col(BATCH_ID).isin(self.batches))
+        return mine.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).first()["n"]
 
 
 def load_incremental(
-    spark: SparkSession, prefix: str, warehouse: str, table: str,
-    max_files: int = 2000, interval: str | None = None,
-):
+    target: IncrementalTable, prefix: str, max_files: int = 2000, interval: str | None = None
+) -> StreamingQuery | None:
     """Load every file under ``prefix`` that has not been loaded yet.
 
     The stream carries file names only; ``max_files`` bounds how many a batch
@@ -85,9 +91,8 @@ def load_incremental(
     call returns when all present files are loaded; with one (``'5 minutes'``)
     it returns the running query.
     """
-    target = IncrementalTable(spark, warehouse, table)
     names = (
-        spark.readStream.format("binaryFile").schema(_FILES)
+        target.spark.readStream.format("binaryFile").schema(_FILES)
         .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
         .load(prefix).select("path")
@@ -99,6 +104,5 @@ def load_incremental(
     writer = names.writeStream.foreachBatch(load).option("checkpointLocation", target.checkpoint)
     if interval is not None:
         return writer.trigger(processingTime=interval).start()
-    running = writer.trigger(availableNow=True).start()
-    running.awaitTermination()
-    return target
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return None
