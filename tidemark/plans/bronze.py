@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.sets import concat_frames
 from ..schemas import bronze_ddl
 from ..sinks.conform import conform
 from ..sinks.state import StateLog
 from ..sinks.versioned import VersionedTable
-from ..sources.files import newest_snapshot, read_files, tagged_latest
+from ..sources.files import newest_snapshot, read_alike, tagged_latest
 from ..streaming.incremental import LEDGER, IncrementalTable, load_incremental
 
 
@@ -84,7 +85,8 @@ class BronzeLoader:
         raise ValueError(f"unknown pattern '{source.pattern}' for '{table}'")
 
     def _replace(self, table: str, path: str) -> int:
-        return self._snapshot(table).replace(conform(read_files(self.spark, [path]), table))
+        frames = [conform(df, table) for df in read_alike(self.spark, [path])]
+        return self._snapshot(table).replace(concat_frames(*frames))
 
     def run(self, tables: Iterable[str] | None = None) -> DataFrame:
         """Load all tables, or the given ones; a failing table does not stop the rest."""

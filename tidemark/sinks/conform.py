@@ -14,6 +14,18 @@ class UnknownColumnsError(ValueError):
     pass
 
 
+def _moment(c: Column, kind: str) -> Column:
+    """Times as text, where ``NaT`` stands for a missing one, or as nanoseconds."""
+    if kind == "bigint":
+        billion = F.lit(1_000_000_000).cast("decimal(10,0)")
+        seconds = (c.cast("decimal(20,0)") / billion).cast("decimal(18,6)")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    if not kind.startswith(("timestamp", "date")):
+        return F.nullif(c.cast("string"), F.lit("NaT"))
+    return c
+
+
 def _typed(c: Column, name: str, kind: str) -> Column:
     c = c.cast(plain_type(kind))
     limit = re.fullmatch(r"varchar\((\d+)\)", kind)
@@ -27,8 +39,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     """Cast by name; missing columns are null, unknown columns are an error.
 
     Text longer than its declared length is an error too, as are values that do
-    not cast. ``NaT``, what a missing timestamp turns into when an exporter
-    prints it, is read as null. Lineage columns are added.
+    not cast. Times may be timestamps, text or nanoseconds since 1970. Lineage
+    columns are added.
     """
     declared = BRONZE[table]
     unknown = [c for c in df.columns if c not in declared and c != SOURCE_FILE]
@@ -38,8 +50,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     out = []
     for name, kind in declared.items():
         c = F.col(name) if name in kinds else F.lit(None)
-        if kind == "timestamp_ntz" and kinds.get(name) == "string":
-            c = F.nullif(c, F.lit("NaT"))
+        if kind == "timestamp_ntz" and name in kinds:
+            c = _moment(c, kinds[name])
         out.append(_typed(c, name, kind))
     source = F.col(SOURCE_FILE) if SOURCE_FILE in kinds else F.lit(None).cast("string")
     return df.select(*out, source.alias(SOURCE_FILE), F.current_timestamp().alias(INGESTED_AT))

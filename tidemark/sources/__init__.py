@@ -2,6 +2,7 @@ from .files import (  # noqa: F401
     list_files,
     modified_since,
     newest_snapshot,
+    read_alike,
     read_files,
     tagged_latest,
     unprocessed_files,

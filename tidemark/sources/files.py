@@ -73,11 +73,29 @@ def read_files(spark: SparkSession, paths: Sequence[str], schema: str | None = N
     """
     if not paths:
         return spark.createDataFrame([], schema or f"{SOURCE_FILE} string")
+    # Files of other writers may hold nanosecond times, which Spark reads only
+    # as whole numbers; ``conform`` turns them into timestamps.
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     reader = spark.read.option("recursiveFileLookup", True)
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     return reader.parquet(*paths).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
+def read_alike(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """The given files as few frames as their column types allow.
+
+    A column without any value has no type of its own in some files and clashes
+    with the others; such files are set apart by halving the list.
+    """
+    try:
+        return [read_files(spark, paths)]
+    except Exception as e:
+        if "CANNOT_MERGE_SCHEMAS" not in str(e) or len(paths) == 1:
+            raise
+    middle = len(paths) // 2
+    return read_alike(spark, paths[:middle]) + read_alike(spark, paths[middle:])
+
+
 def modified_since(spark: SparkSession, prefix: str, moment: str) -> DataFrame | None:
     """Rows of the files modified strictly after ``moment``, with file provenance.
 

@@ -69,7 +69,9 @@ class _PagedReader(DataSourceReader):
             low, high = (middle, high) if self._has(middle) else (low, middle)
         return [_Page(n) for n in range(1, low + 1)]
 
-    def read(self, partition: _Page):
+    def read(self, partition: _Page | None):
+        if partition is None:  # a source without pages
+            return
         page = _fetch(self.template, partition.number, self.limit)
         if page is None:
             raise RuntimeError(f"page {partition.number} vanished while it was read")

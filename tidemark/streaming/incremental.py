@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.sets import concat_frames
 from ..schemas import SOURCE_FILE, bronze_ddl
 from ..sinks.conform import conform
-from ..sources.files import read_files
+from ..sources.files import read_alike
 
 BATCH_ID = "_batch_id"
 LEDGER = "table_name string, file_key string, loaded_at timestamp, row_count bigint"
@@ -58,7 +59,8 @@ class IncrementalTable:
         """
         if not paths:
             return
-        overwrite_batch(conform(read_files(self.spark, paths), self.table), self.data, batch_id)
+        frames = [conform(df, self.table) for df in read_alike(self.spark, paths)]
+        overwrite_batch(concat_frames(*frames), self.data, batch_id)
         written = read_batches(self.spark, self.data, bronze_ddl(self.table))
         entries = (
             written.where(F.col(BATCH_ID) == batch_id)
