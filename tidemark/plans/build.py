@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.checks import Check, check_contract, run_checks
 from ..schemas import CONTRACTS
+from ..sinks.state import StateLog
 from ..sinks.versioned import VersionedTable
 from . import data_tests, gold, silver
 
@@ -81,44 +82,47 @@ class BuildResult:
 
 
 def table_of(spark: SparkSession, warehouse: str, layer: str, model: str) -> VersionedTable:
-    return VersionedTable(spark, f"{warehouse.rstrip('/')}/{layer}/{model}")
+    """A model's table. All tables of a layer are published through one log."""
+    folder = f"{warehouse.rstrip('/')}/{layer}"
+    return VersionedTable(spark, f"{folder}/{model}", StateLog(spark, f"{folder}/published"), model)
 
 
 def build(spark: SparkSession, warehouse: str, inputs: Models, parallel: int = 4) -> BuildResult:
     """Build silver, then gold, from bronze ``inputs``.
 
     Models are written once and read back by whatever follows, tests included.
-    A layer is published only when none of its error tests fails; a failure
-    also stops the layers after it. Warnings never stop anything.
+    A layer is published as a whole, when none of its error tests fails; a
+    failure also stops the layers after it. Warnings never stop anything.
     """
     result = BuildResult()
     models = dict(inputs)
-    for layer, waves, checks in LAYERS:
-        staged: dict[str, str] = {}
-
-        def stage(item: tuple[str, Model], layer: str = layer) -> tuple[str, str, int]:
-            name, model = item
-            df = model(models)
-            if name in CONTRACTS:
-                check_contract(name, df, CONTRACTS[name])
-            version, rows = table_of(spark, warehouse, layer, name).stage(df)
-            return name, version, rows
-
-        with ThreadPoolExecutor(parallel) as pool:
+
+    def stage(layer: str, name: str, df: DataFrame) -> tuple[str, str, int, DataFrame]:
+        if name in CONTRACTS:
+            check_contract(name, df, CONTRACTS[name])
+        table = table_of(spark, warehouse, layer, name)
+        version, rows = table.stage(df)
+        return name, version, rows, table.read(version, df.schema)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        for layer, waves, checks in LAYERS:
+            versions: dict[str, str] = {}
             for wave in waves:
-                for name, version, rows in list(pool.map(stage, wave.items())):
-                    staged[name] = version
-                    result.rows[name] = rows
-                    models[name] = table_of(spark, warehouse, layer, name).read(version)
-                    result.models[name] = models[name]
-
-            report = VersionedTable(spark, f"{warehouse.rstrip('/')}/reports/{layer}")
-            report.replace(run_checks(models, checks))
-            outcome = report.read()
-            result.reports.append(outcome)
-            if not outcome.where("status = 'fail'").isEmpty():
+                plans = [(layer, name, model(models)) for name, model in wave.items()]
+                for name, versions[name], result.rows[name], stored in pool.map(lambda p: stage(*p), plans):
+                    models[name] = result.models[name] = stored
+
+            # One row per test, so the outcome is small whatever the tables hold.
+            tested = run_checks(models, checks)
+            outcome = tested.collect()
+            report = spark.createDataFrame(outcome, tested.schema).coalesce(1)
+            _, report_version, _, stored = stage(layer, "test_report", report)
+            result.reports.append(stored)
+            log = table_of(spark, warehouse, layer, "test_report").published
+            if any(r["status"] == "fail" for r in outcome):
+                log.put("test_report", report_version)
                 result.failed_layer = layer
                 break
-            list(pool.map(lambda n: table_of(spark, warehouse, layer, n).publish(staged[n]), staged))
-        result.published += list(staged)
+            log.put_all({**versions, "test_report": report_version})
+            result.published += list(versions)
     return result

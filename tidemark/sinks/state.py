@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,5 +30,10 @@ class StateLog:
         return default if row["value"] is None else row["value"]
 
     def put(self, name: str, value: str) -> None:
-        row = [(name, str(value), datetime.now(timezone.utc))]
-        self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").json(self.folder)
+        self.put_all({name: value})
+
+    def put_all(self, values: Mapping[str, str]) -> None:
+        """Several values, which come into force together."""
+        now = datetime.now(timezone.utc)
+        rows = [(name, str(value), now) for name, value in values.items()]
+        self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").json(self.folder)

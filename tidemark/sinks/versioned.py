@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .state import StateLog
 
@@ -16,12 +17,16 @@ class VersionedTable:
     Readers see the old rows until the new ones are complete, a failed write
     changes nothing, and earlier versions stay readable. An empty replacement
     is not published: the old rows stay.
+
+    Tables that are to be published together share a ``log``, in which each
+    goes by its ``name``.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, log: StateLog | None = None, name: str = "version"):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self.published = StateLog(spark, f"{self.folder}/published")
+        self.published = log or StateLog(spark, f"{self.folder}/published")
+        self.name = name
 
     def stage(self, df: DataFrame) -> tuple[str, int]:
         """Write a version without publishing it; its name and row count."""
@@ -31,7 +36,7 @@ class VersionedTable:
         return version, counted.get["n"]
 
     def publish(self, version: str) -> None:
-        self.published.put("version", version)
+        self.published.put(self.name, version)
 
     def replace(self, df: DataFrame) -> int:
         """Stage and publish; the number of rows, 0 when nothing was replaced."""
@@ -44,19 +49,21 @@ class VersionedTable:
         return f"{self.folder}/version={version}"
 
     def current(self) -> str | None:
-        return self.published.get("version")
+        return self.published.get(self.name)
 
     def versions(self) -> DataFrame:
         """All published versions, first to last."""
-        return self.published.entries().select(
+        return self.published.entries().where(F.col("name") == self.name).select(
             F.col("value").alias("version"), F.col("updated_at").alias("published_at")
         ).orderBy("published_at")
 
-    def read(self, version: str | None = None) -> DataFrame:
+    def read(self, version: str | None = None, schema: StructType | None = None) -> DataFrame:
+        """The current rows or those of ``version``; a known ``schema`` saves a look at the files."""
         version = version or self.current()
         if version is None:
             raise FileNotFoundError(f"nothing published under {self.folder}")
-        return self.spark.read.parquet(self.path(version))
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(version))
 
     def write_once(self, df: DataFrame) -> int:
         """Replace only a table that has never been published."""
