@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from tidemark.plans.bronze import SOURCES, BronzeLoader, Source, reset_tables
+from tidemark.plans.extract import Extractor
 from tidemark.sinks import (
     StateLog, UnknownColumnsError, VersionedTable, conform, land_delta, land_snapshot, seed_if_empty,
     snapshot_if_changed,
@@ -306,3 +307,40 @@ def test_catalog_tables(spark, rows):
     reset_tables(spark, "oltp", ["customers"], drop=True)
     assert not spark.catalog.tableExists("oltp.customers")
     spark.sql("DROP DATABASE oltp")
+
+
+def test_extractor(spark, rows, tmp_path):
+    at = lambda d: datetime(2024, 1, d)
+    lake, inbox = str(tmp_path / "lake"), str(tmp_path / "inbox")
+    tables = {
+        "customers": rows("customer_id string", ("a",)),
+        "orders": rows("order_id string, order_purchase_timestamp timestamp_ntz", ("o", at(1))),
+        "order_items": rows("order_id string, order_item_id int", ("o", 1), ("early", 1)),
+        "products": rows("product_id string", ("p",)),
+    }
+    asked = []
+
+    def words():
+        asked.append(1)
+        return rows("product_category_name string", ("x",))
+
+    def broken():
+        raise OSError("no answer")
+
+    rows("order_id string", ("o",)).write.parquet(f"{inbox}/order_payments")
+    job = Extractor(spark, lake, tables.get, inbox, {"translations": words, "geolocation": broken})
+    status = lambda df: {r["name"]: r["status"] for r in df.collect()}
+    assert status(job.run()) == {
+        "customers": "landed", "sellers": "missing", "products": "landed", "orders": "landed",
+        "order_items": "landed", "order_payments": "landed", "order_reviews": "unchanged",
+        "translations": "landed", "geolocation": "failed"}
+    assert set(status(job.run(["snapshot", "delta", "drop"])).values()) <= {"unchanged", "missing"}
+    assert status(job.run(["translations"])) == {"translations": "unchanged"} and len(asked) == 1
+    assert status(job.run(["translations"], force=True)) == {"translations": "landed"} and len(asked) == 2
+    names = {p.name[:17] for p in (tmp_path / "lake/api/api_endpoint=translations").iterdir() if p.is_dir()}
+    assert names == {"translations_late", "translations_old_"}
+
+    loader = BronzeLoader(spark, lake, str(tmp_path / "wh"))
+    loaded = {r["table_name"]: r["row_count"] for r in loader.run().collect() if r["status"] == "loaded"}
+    assert loaded == {"api_translations": 1, "pg_customers": 1, "pg_products": 1, "pg_orders": 1,
+                      "pg_order_items": 1, "stream_order_payments": 1}

@@ -42,12 +42,19 @@ def null_counts(df: DataFrame) -> DataFrame:
     return report.orderBy(F.col("nulls").desc(), "column_name")
 
 
+def _short(c: Column, kind: str) -> Column:
+    """Long texts by their SHA-256, so that a shuffle need not carry them."""
+    return F.when(F.length(c) > 64, F.sha2(c, 256)).otherwise(c) if kind == "string" else c
+
+
 def duplicate_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Rows beyond the first of their key; without keys, of the whole row.
 
     A null counts as a key value like any other.
     """
-    grouped = df.groupBy(*(keys or df.columns)).agg(F.count(F.lit(1)).alias("n"))
+    kinds = dict(df.dtypes)
+    grouping = [_short(F.col(f"`{k}`"), kinds[k]).alias(k) for k in (keys or df.columns)]
+    grouped = df.groupBy(*grouping).agg(F.count(F.lit(1)).alias("n"))
     return grouped.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicates"),

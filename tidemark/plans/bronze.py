@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +56,14 @@ class BronzeLoader:
         self.sources = sources
         self.max_files = max_files
         self.generations = StateLog(spark, f"{self.warehouse}/generations")
+        self.refresh()
+
+    def refresh(self) -> None:
+        """See the resets that other loaders have made."""
+        self._generation = self.generations.all()
 
     def _root(self, table: str) -> str:
-        return f"{self.warehouse}/generation={self.generations.get(table, '0')}"
+        return f"{self.warehouse}/generation={self._generation.get(table, '0')}"
 
     def _snapshot(self, table: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self._root(table)}/bronze/{table}")
@@ -88,14 +94,18 @@ class BronzeLoader:
         frames = [conform(df, table) for df in read_alike(self.spark, [path])]
         return self._snapshot(table).replace(concat_frames(*frames))
 
-    def run(self, tables: Iterable[str] | None = None) -> DataFrame:
+    def run(self, tables: Iterable[str] | None = None, parallel: int = 4) -> DataFrame:
         """Load all tables, or the given ones; a failing table does not stop the rest."""
-        outcome = []
-        for table in tables or self.sources:
+        self.refresh()
+
+        def attempt(table: str) -> tuple:
             try:
-                outcome.append((table, "loaded", self.load_table(table), None))
+                return table, "loaded", self.load_table(table), None
             except Exception as e:  # the failure is the result
-                outcome.append((table, "failed", None, f"{type(e).__name__}: {e}"))
+                return table, "failed", None, f"{type(e).__name__}: {e}"
+
+        with ThreadPoolExecutor(parallel) as pool:
+            outcome = list(pool.map(attempt, tables or self.sources))
         return self.spark.createDataFrame(outcome, RESULT)
 
     def read(self, table: str) -> DataFrame:
@@ -113,9 +123,12 @@ class BronzeLoader:
 
     def reset(self, tables: Iterable[str] | None = None) -> None:
         """Empty the given tables, or all; their files load again on the next run."""
-        for table in tables or self.sources:
+        tables = list(tables or self.sources)
+        for table in tables:
             self._source(table)
-            self.generations.put(table, str(int(self.generations.get(table, "0")) + 1))
+        self.refresh()
+        self.generations.put_all({t: str(int(self._generation.get(t, "0")) + 1) for t in tables})
+        self.refresh()
 
 
 def reset_tables(spark: SparkSession, database: str, tables: Iterable[str], drop: bool = False) -> None:

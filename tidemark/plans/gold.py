@@ -1,6 +1,6 @@
 """Gold star schema: three dimensions, four facts.
 
-Dimension joins carry no hint: Spark broadcasts a dimension when its size, from
+Joins with a dimension carry no hint: Spark broadcasts it when its size, from
 file statistics or measured at run time, is under the session's threshold, and
 otherwise shuffles both sides and splits hot partitions. Joins of two tables
 that both grow with the data ask for a merge join, since a compressed file can
@@ -27,12 +27,14 @@ def dimension_keys(silver: DataFrame, column: str) -> DataFrame:
 
 
 def _with_place(df: DataFrame, geolocation: DataFrame, zip_column: str, lat: str, lng: str) -> DataFrame:
+    # One row per zip prefix, and a decimal(5,0) has fewer than 200,000 values:
+    # the broadcast is bounded by the key type, however large the other side.
     points = geolocation.select(
         F.col("geolocation_zip_code_prefix").alias(zip_column),
         F.col("geolocation_lat").alias(lat),
         F.col("geolocation_lng").alias(lng),
     )
-    return df.join(points, zip_column, "left")
+    return df.join(F.broadcast(points), zip_column, "left")
 
 
 def dim_customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:

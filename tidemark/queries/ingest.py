@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_timestamp, partition_value
-from ..operators import children_of, concat_frames, number_pages, up_to
+from ..operators import children_of, concat_frames, count_rows, number_pages, up_to
 from ..operators.delta import delta_since
 from ..plans import inputs
 from ..plans.bronze import BronzeLoader
+from ..plans.build import build
+from ..plans.extract import Extractor, sync_drop
 from ..schemas import INGESTED_AT, SOURCE_FILE
 from ..session import shared_folder
 from ..sinks import StateLog, VersionedTable, land_delta, land_snapshot, snapshot_if_changed
 from ..sinks.landing import BATCHES, DROPS, ENDPOINTS, SNAPSHOTS, place
-from ..sources import list_files, modified_since, read_csv_table, read_json_dump, read_json_pages, unprocessed_files
+from ..sources import list_files, read_csv_table, read_json_dump, read_json_pages, unprocessed_files
 
 FIRST_DAY = datetime(2026, 8, 24, 6, 30, 0)
 SECOND_DAY = datetime(2026, 8, 25, 6, 30, 0)
@@ -190,22 +192,33 @@ def snapshot_changed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_modified_since(spark: SparkSession, sf: str) -> DataFrame:
-    """Two drops of reviews; the second sync takes only the files of the second."""
+    """Two drops of reviews, synced after each and once more; every row once."""
     root = shared_folder(spark, "ingest")
-    inbox, state = f"{root}/inbox/order_reviews", StateLog(spark, f"{root}/metadata")
+    state = StateLog(spark, f"{root}/metadata")
     reviews = inputs.order_reviews(spark, sf).select("review_id", "order_id", "review_score", "review_creation_date")
-    drops = [reviews.where("review_creation_date < timestamp_ntz'2024-01-20 00:00:00'"),
-             reviews.where("review_creation_date >= timestamp_ntz'2024-01-20 00:00:00'")]
-    for n, drop in enumerate(drops, 1):
-        drop.write.mode("append").parquet(inbox)
-        fresh = modified_since(spark, inbox, state.get("order_reviews", "1970-01-01T00:00:00"))
-        high = fresh.agg(F.max("_modified").alias("high")).first()["high"]
-        fresh.drop(SOURCE_FILE, "_modified").write.parquet(
-            f"{place(f'{root}/lake', DROPS, 'order_reviews')}/sync={n}")
-        state.put("order_reviews", high.isoformat())
+    for drop in (reviews.where("review_creation_date < timestamp_ntz'2024-01-20 00:00:00'"),
+                 reviews.where("review_creation_date >= timestamp_ntz'2024-01-20 00:00:00'")):
+        drop.write.mode("append").parquet(f"{root}/inbox/order_reviews")
+        sync_drop(spark, f"{root}/inbox", f"{root}/lake", "order_reviews", state)
+    sync_drop(spark, f"{root}/inbox", f"{root}/lake", "order_reviews", state)
     return spark.read.parquet(place(f"{root}/lake", DROPS, "order_reviews"))
 
 
+def lake_to_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Extract all sources, load bronze, build silver and gold; rows per model."""
+    root = shared_folder(spark, "ingest")
+    given = inputs.bronze(spark, sf)
+    tables = {n: given[f"pg_{n}"] for n in ("customers", "sellers", "products", "orders", "order_items")}
+    for n in ("order_payments", "order_reviews"):
+        given[f"stream_{n}"].write.parquet(f"{root}/inbox/{n}")
+    endpoints = {n: (lambda n=n: given[f"api_{n}"]) for n in ("translations", "geolocation")}
+    Extractor(spark, f"{root}/lake", tables.get, f"{root}/inbox", endpoints).run()
+    loader = _loader(spark, root)
+    loader.run()
+    done = build(spark, f"{root}/warehouse", {t: loader.read(t) for t in given})
+    return count_rows({n: done.models[n] for n in done.published}).withColumnRenamed("table_name", "model")
+
+
 def ingest_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Orders through CSV with a header; one time in some rows is no time."""
     root = shared_folder(spark, "ingest")
@@ -243,6 +256,6 @@ QUERIES = {
         ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_unprocessed,
         ingest_watermark_delta, ingest_child_delta, ingest_overlap_delta,
         ingest_paged_json, ingest_json_dump, ingest_versioned_latest, snapshot_changed,
-        ingest_modified_since, ingest_csv, ingest_preload, ingest_timestamps,
+        ingest_modified_since, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
     )
 }

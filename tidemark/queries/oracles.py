@@ -322,6 +322,9 @@ _RAW_ORDER = ("SELECT order_id, customer_id, order_status, order_purchase_timest
               "order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date "
               "FROM pg_orders")
 
+_ROW_COUNTS = _sql(_union([
+    f"SELECT '{m}' AS model, (SELECT count(*) FROM {m}) AS row_count" for m in _BUILT]))
+
 ORACLES: dict[str, str] = {
     # models as they are
     **{name: _sql(f"SELECT * FROM {name}") for name in _BUILT
@@ -369,8 +372,7 @@ ORACLES: dict[str, str] = {
         _check("documents", "relationships", "doc_id", severity="warn", to="labels", field="doc_id"),
         _check("events", "relationships", "event_id", to="orders", field="o_custkey")]),
     "dq_report": _report(data_tests.SILVER + data_tests.GOLD),
-    "gated_build": _sql(_union([
-        f"SELECT '{m}' AS model, (SELECT count(*) FROM {m}) AS row_count" for m in _BUILT])),
+    "gated_build": _ROW_COUNTS,
 
     # profiles
     "profile_shape": _union([
@@ -486,9 +488,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'version', '2026-08-24', count(*) FROM customer
         UNION ALL SELECT 'version', '2026-08-26', count(*) FROM customer""",
     "ingest_modified_since": _sql(
-        "SELECT review_id, order_id, review_score, review_creation_date, "
-        "CAST(CASE WHEN review_creation_date < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS INTEGER) AS sync "
-        "FROM stream_order_reviews"),
+        "SELECT review_id, order_id, review_score, review_creation_date FROM stream_order_reviews"),
+    "lake_to_gold": _ROW_COUNTS,
     "ingest_csv": """
         SELECT o_orderkey, o_custkey, o_totalprice,
                CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders""",
@@ -508,6 +509,6 @@ ORACLES: dict[str, str] = {
     "stream_land_records": _sql("SELECT * FROM stream_order_payments"),
     "stream_commit_pairs": _sql(
         "SELECT o.order_id, o.customer_id, o.order_purchase_timestamp, i.n_items, i.total "
-        "FROM pg_orders o LEFT JOIN (SELECT order_id, count(*) AS n_items, sum(price) AS total "
+        "FROM pg_orders o LEFT JOIN (SELECT order_id, count(*) AS n_items, CAST(sum(price) AS DECIMAL(22,2)) AS total "
         "FROM pg_order_items GROUP BY order_id) i ON o.order_id = i.order_id"),
 }

@@ -8,10 +8,13 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import path_exists
+
 
 class StateLog:
     """Values are appended and the last one counts, so a writer that dies
-    half-way leaves the previous value in force."""
+    half-way leaves the previous value in force. Every name has a folder of its
+    own, and different names may be written at the same time."""
 
     SCHEMA = "name string, value string, updated_at timestamp"
 
@@ -20,9 +23,14 @@ class StateLog:
         self.folder = folder
 
     def entries(self) -> DataFrame:
-        # Makes the folder on first use; where it exists this does nothing.
-        self.spark.createDataFrame([], self.SCHEMA).write.mode("ignore").json(self.folder)
-        return self.spark.read.schema(self.SCHEMA).json(self.folder)
+        if not path_exists(self.spark, self.folder):
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).option("recursiveFileLookup", True).json(self.folder)
+
+    def all(self) -> dict[str, str]:
+        """The current value of every name; there is one per table."""
+        latest = self.entries().groupBy("name").agg(F.max_by("value", "updated_at").alias("value"))
+        return {r["name"]: r["value"] for r in latest.collect()}
 
     def get(self, name: str, default: str | None = None) -> str | None:
         mine = self.entries().where(F.col("name") == name)
@@ -30,10 +38,13 @@ class StateLog:
         return default if row["value"] is None else row["value"]
 
     def put(self, name: str, value: str) -> None:
-        self.put_all({name: value})
+        self._append(f"{self.folder}/of={name}", {name: value})
 
     def put_all(self, values: Mapping[str, str]) -> None:
         """Several values, which come into force together."""
+        self._append(f"{self.folder}/together", values)
+
+    def _append(self, folder: str, values: Mapping[str, str]) -> None:
         now = datetime.now(timezone.utc)
         rows = [(name, str(value), now) for name, value in values.items()]
-        self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").json(self.folder)
+        self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").json(folder)

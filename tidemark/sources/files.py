@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +16,20 @@ LISTING = "path string, modified timestamp, length bigint"
 LATEST_SUFFIX = "_latest.parquet"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path``, or any that a pattern matches?"""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return bool(found)
+
+
 def list_files(spark: SparkSession, prefix: str, modified_after: str | None = None) -> DataFrame:
     """path, modified, length of every Parquet file under ``prefix``.
 
     Nothing but file metadata is read. A prefix that does not exist is empty.
     """
+    if not path_exists(spark, prefix):
+        return spark.createDataFrame([], LISTING)
     reader = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -29,12 +37,7 @@ def list_files(spark: SparkSession, prefix: str, modified_after: str | None = No
     )
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    try:
-        files = reader.load(prefix)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LISTING)
+    files = reader.load(prefix)
     return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.sets import concat_frames
 from ..schemas import SOURCE_FILE, bronze_ddl
 from ..sinks.conform import conform
-from ..sources.files import read_alike
+from ..sources.files import path_exists, read_alike
 
 BATCH_ID = "_batch_id"
 LEDGER = "table_name string, file_key string, loaded_at timestamp, row_count bigint"
@@ -26,9 +26,10 @@ def overwrite_batch(df: DataFrame, folder: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """All batches written so far; the folder is made on first use."""
+    """All batches written so far."""
     with_id = f"{schema}, {BATCH_ID} bigint"
-    spark.createDataFrame([], with_id).write.mode("ignore").partitionBy(BATCH_ID).parquet(folder)
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], with_id)
     return spark.read.schema(with_id).parquet(folder)
 
 
@@ -93,6 +94,8 @@ def load_incremental(
     call returns when all present files are loaded; with one (``'5 minutes'``)
     it returns the running query.
     """
+    if not path_exists(target.spark, prefix):
+        raise FileNotFoundError(f"nothing at {prefix}")
     names = (
         target.spark.readStream.format("binaryFile").schema(_FILES)
         .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
