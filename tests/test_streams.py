@@ -1,8 +1,5 @@
 from datetime import datetime, timedelta
 
-import pytest
-from pyspark.sql import functions as F
-
 from conftest import values
 from tidemark.streaming import (
     commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, run_to_folder,

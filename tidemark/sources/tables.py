@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_timestamp
-from ..operators.sets import concat_frames, split_known
+from ..operators.sets import split_known
 
 
 def existing_tables(spark: SparkSession, database: str) -> list[str]:
@@ -69,9 +69,3 @@ def read_csv_table(
     for name in timestamps:
         df = df.withColumn(name, parse_timestamp(F.col(name)))
     return df
-
-
-__all__ = [
-    "concat_frames", "describe_columns", "existing_tables", "jdbc_table", "query",
-    "read_csv_table", "tables_present",
-]
