@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
+from tidemark.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -27,15 +28,16 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     ours = sorted(tuple(plain(r[c]) for c in columns) for r in df.collect())
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     theirs = sorted(tuple(plain(r[names.index(c)]) for c in columns) for r in cursor.fetchall())
