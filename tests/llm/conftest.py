@@ -1,0 +1 @@
+"""Fixtures come from the folder above."""
