@@ -10,7 +10,7 @@ from ..session import shared_folder
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one sorted group of a prefix sum holds on average.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 4_096
 #: A table of at most so many (narrow) rows may be broadcast.
 SMALL_ROWS = 20_000
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, packing
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_pack_sequences": packing.op2_pack_sequences,
 }
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE_OP1,
