@@ -106,6 +106,21 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def improve(bins: list[list[int]], lengths: list[int], capacity: int, effort: int) -> list[list[int]]:
+    """Sweeps over the bins that are not full until a sweep changes nothing.
+
+    Every change raises the sum of squared fills, so this ends; ``effort`` changes
+    per piece end it earlier.
+    """
+    steps = effort * len(lengths)
+    while steps > 0:
+        bins, left = sweep(bins, lengths, capacity, steps)
+        if left == steps:
+            break
+        steps = left
+    return bins
+
+
+def sweep(bins: list[list[int]], lengths: list[int], capacity: int, steps: int) -> tuple[list[list[int]], int]:
     """Empties bins by moves and exchanges between those that are not full.
 
     Bins give in order of their fill, the emptiest first. Of all moves (x), exchanges
@@ -128,7 +143,6 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int, effort: in
     giving_order = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: (fill[b], b))
     for b in giving_order:
         enter(b)
-    steps = effort * len(lengths)
     for giving in giving_order:
         changes[giving] += 1  # it takes nothing any more
         while bins[giving] and fill[giving] < capacity and steps > 0:
@@ -161,7 +175,7 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int, effort: in
             fill[giving] -= best
             changes[b] += 1
             enter(b)
-    return [b for b in bins if b]
+    return [b for b in bins if b], steps
 
 
 def pack_lengths(lengths: list[int], capacity: int = CAPACITY, effort: int = EFFORT) -> list[list[int]]:

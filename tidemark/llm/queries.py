@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import langid, mixing, packing, simhash, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_pack_sequences": packing.op2_pack_sequences,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op8_simhash": simhash.op8_simhash,
+    "op10_language_id": langid.op10_language_id,
 }
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE_OP1,
