@@ -3,9 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import load, written
+from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix_documents
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.simhash import RADIUS, SHINGLE, keep_one
+from tidemark.llm.toxicity import keep_clean
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go; the labels of the input folder teach the score."""
+    return keep_clean(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that stood earlier, to within a word, go. Every document stays, if need be
+    with an empty text; n_chars follows the text left."""
+    out = dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group within three bits of 3-word SimHash stays, the least id."""
+    return keep_one(docs, SHINGLE, RADIUS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +37,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_documents(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as pieces of sequences of 1024 tokens."""
+    return pack_documents(docs)
+
+
 STAGES = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_duplicates),
     ("mix sources", mix),
+    ("best-fit packing", pack),
 ]
 
 #: Trained scores, fingerprint groups and tokenizers have no form in SQL.

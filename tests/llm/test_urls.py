@@ -1,0 +1,87 @@
+"""URL filters: dated entries, intervals, and the as-of join."""
+
+import random
+from datetime import date, timedelta
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import urls
+
+ENTRIES = "scope string, key string, list string, dated date, listed boolean"
+DAY = date(2024, 1, 1)
+
+
+def plain(captures, entries):
+    """For each capture the (list, since) of every entry active on its day."""
+    out = []
+    for url, day in captures:
+        found = []
+        if url and day and "://" in url:
+            host, _, path = url.split("://", 1)[1].partition("/")
+            labels, parts = host.split("."), [p for p in path.split("/") if p]
+            keys = {("domain", ".".join(labels[i:])) for i in range(max(len(labels) - 1, 1))}
+            keys |= {("path", "/".join([host, *parts[:i]])) for i in range(1, len(parts) + 1)}
+            for scope, key, name in {e[:3] for e in entries if e[:2] in keys}:
+                states = {}
+                for e in entries:
+                    if e[:3] == (scope, key, name):
+                        states[e[3]] = states.get(e[3], True) and e[4]
+                past = [d for d in states if d <= day]
+                if past and states[max(past)]:
+                    found.append((name, max(past)))
+        out.append((bool(found), len(found), ",".join(sorted({n for n, _ in found})), min((s for _, s in found), default=None)))
+    return out
+
+
+def test_random_lists_match_plain(spark):
+    rnd = random.Random(6)
+    hosts = ["a.example.org", "b.example.org", "example.org", "x.y.z.net", "z.net", "solo"]
+    entries = []
+    for _ in range(150):
+        h = rnd.choice(hosts)
+        scope = rnd.choice(("domain", "path"))
+        key = h if scope == "domain" else f"{h}/{rnd.choice('pq')}" + rnd.choice(("", "/r"))
+        entries.append((scope, key, rnd.choice(("ads", "spam")), DAY + timedelta(rnd.randrange(20)), rnd.random() < 0.6))
+    captures = [(f"http://{rnd.choice(hosts)}/{rnd.choice('pq')}/r/{k}", DAY + timedelta(rnd.randrange(22))) for k in range(400)]
+    out = urls.filter_urls(spark.createDataFrame(captures, "url string, fetched date"), spark.createDataFrame(entries, ENTRIES))
+    got = sorted(str((r["url"], r["fetched"], r["blocked"], r["entries"], r["lists"], r["since"])) for r in out.collect())
+    want = sorted(str((*c, *p)) for c, p in zip(captures, plain(captures, entries), strict=True))
+    assert got == want and any("True" in w for w in want)
+
+
+def test_entries_become_intervals(rows):
+    d = lambda n: DAY + timedelta(n)
+    out = urls.intervals(rows(
+        ENTRIES, ("domain", "a.b", "l", d(1), True), ("domain", "a.b", "l", d(3), True), ("domain", "a.b", "l", d(5), False),
+        ("domain", "a.b", "l", d(7), True), ("domain", "a.b", "l", d(7), False), ("domain", "a.b", "l", d(9), True),
+        ("domain", "a.b", "l", d(9), True), (None, "a.b", "l", d(0), True), ("domain", "a.b", "l", None, True), ("domain", "c.d", "l", d(1), None),
+    )).collect()
+    assert sorted((r["since"], r["until"]) for r in out) == [(d(1), d(3)), (d(3), d(5)), (d(9), date(9999, 12, 31))]
+
+
+def test_cover_of_urls(rows):
+    df = rows("url string", ("HTTPS://user:pw@WWW.Example.CO.uk:8080/A/b//c.html?q=/x#y",), ("http://h",), ("nonsense",), (None,), ("http://h.org./",))
+    got = [r[0] and [tuple(x) for x in r[0]] for r in df.select(urls.cover(F.col("url"))).collect()]
+    assert got == [
+        [("domain", "www.example.co.uk"), ("domain", "example.co.uk"), ("domain", "co.uk"),
+         ("path", "www.example.co.uk/A"), ("path", "www.example.co.uk/A/b"), ("path", "www.example.co.uk/A/b/c.html")],
+        [("domain", "h")], None, None, [("domain", "h.org")],
+    ]
+
+
+def test_nulls_repeats_columns(rows):
+    captures = rows(
+        "url string, fetched date, lists string, since string, key string, scope string",
+        (None, DAY, "a", "b", "c", "d"), ("http://a.org/x", None, "a", "b", "c", "d"), ("http://a.org/x", DAY, "a", "b", "c", "d"),
+        ("http://a.org/x", DAY, "a", "b", "c", "d"), ("::", DAY, "a", "b", "c", "d"),
+    )
+    out = urls.filter_urls(captures, rows(ENTRIES, ("domain", "a.org", "l", DAY, True), ("domain", "a.org", "l", DAY, True)))
+    assert out.columns == ["url", "fetched", "key", "scope", "blocked", "entries", "lists", "since"]
+    assert sorted((r["entries"], r["blocked"]) for r in out.collect()) == [(0, False)] * 3 + [(1, True)] * 2
+    assert urls.filter_urls(captures.where("false"), rows(ENTRIES)).count() == 0
+    assert not any(r["blocked"] for r in urls.filter_urls(captures, rows(ENTRIES)).collect())
+
+
+def test_plan_is_native(spark):
+    plan = urls.op7_url_filters(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

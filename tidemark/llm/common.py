@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,14 +21,57 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@contextmanager
+def _dropping_shuffles(spark: SparkSession):
+    """While it holds, a finished job's shuffle files go; nothing else changes."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the folder all executors share, and read from there.
 
-    Cuts the lineage: what was written survives the loss of executors.
+    Cuts the lineage: what was written survives the loss of executors, and the
+    shuffle files behind it are no longer needed.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    with _dropping_shuffles(spark):
+        df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def sample_ids(rows: DataFrame, by: str, most: int, most_groups: int) -> DataFrame:
+    """A bounded sample: of each value of ``by`` at most ``most`` distinct ids, by a hash of the id.
+
+    Columns doc_id and ``by``; null ids and values are left out, and ids with several
+    values. Groups are counted first; their number must be within ``most_groups``.
+    The hash is cut off at twice the share wanted before any rows are ranked, so
+    a rank is taken over few rows whatever the size of the table.
     """
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = rows.sparkSession
+    ids = (
+        rows.where(F.col("doc_id").isNotNull() & F.col(by).isNotNull()).groupBy("doc_id")
+        .agg(F.min(by).alias(by), F.max(by).alias("__most")).where(F.col(by) == F.col("__most"))
+        .select("doc_id", by, F.xxhash64("doc_id").alias("__key"))
+    )
+    counts = ids.groupBy(by).agg(F.count(F.lit(1)).alias("n")).limit(most_groups + 1).collect()
+    if len(counts) > most_groups:
+        raise ValueError(f"more than {most_groups} values of {by}")
+    if not counts:
+        return ids.select("doc_id", by)
+    cuts = [(r[by], (1 << 63) - 1 if r["n"] <= 4 * most else -(1 << 63) + (1 << 64) * 2 * most // r["n"]) for r in counts]
+    cuts = spark.createDataFrame(cuts, f"`{by}` {rows.schema[by].dataType.simpleString()}, __cut long")
+    ranked = Window.partitionBy(by).orderBy("__key", "doc_id")
+    return (
+        ids.join(F.broadcast(cuts), by).where(F.col("__key") <= F.col("__cut"))
+        .withColumn("__rank", F.row_number().over(ranked)).where(F.col("__rank") <= most).select("doc_id", by)
+    )
 
 
 def word_count(text: Column) -> Column:

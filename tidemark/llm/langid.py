@@ -21,12 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, sample_ids
 
 #: The model learns from at most so many documents of each language, first by digest
 #: of their id, and from the first so many words of each of them. It keeps at most so
 #: many words, and runs of each length, per language. Predictions read whole texts.
 TRAIN_DOCS, TRAIN_WORDS, MOST_WORDS, MOST_RUNS = 2000, 400, 20_000, 20_000
+#: … and from so many documents over all languages.
+TRAIN_TOTAL = 20_000
 #: Languages are counted before any is learned; more than this is an error in the labels.
 MOST_LANGUAGES = 1000
 LONGEST_RUN = 5
@@ -41,8 +43,9 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, in lower case."""
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters, in lower case; number signs such as ² alone are no word."""
+    found = LETTERS.findall(text.lower()) if text else []
+    return [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def runs_of(word: str, n: int) -> list[str]:
@@ -125,29 +128,26 @@ class Model:
         return self.languages[best], 1 / sum(math.exp((s - sums[best]) * scale) for s in sums)
 
 
-def training_rows(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """What may be learned from (lang, key, start of the text), and the languages in it:
-    never a held-out row, a null language or a null id."""
-    usable = (
-        docs.where("lang IS NOT NULL AND text IS NOT NULL")
-        .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
-        .select("lang", F.xxhash64("doc_id", "text").alias("key"), F.substring("text", 1, TRAIN_WORDS * 12).alias("text"))
+def training_rows(docs: DataFrame) -> DataFrame:
+    """The bounded sample (text, lang): the starts of the chosen documents' texts.
+
+    Never a held-out row, a null language or a null id; nor an id with several
+    languages. Of an id's texts the least is taken. Texts are fetched for the chosen
+    ids alone.
+    """
+    usable = docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
+    languages = usable.where("lang IS NOT NULL").select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
+    ids = sample_ids(usable, "lang", max(1, min(TRAIN_DOCS, TRAIN_TOTAL // max(languages, 1))), MOST_LANGUAGES)
+    return (
+        usable.select("doc_id", F.substring("text", 1, TRAIN_WORDS * 12).alias("text"))
+        .join(F.broadcast(ids), "doc_id")  # at most TRAIN_TOTAL ids
+        .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).where("text IS NOT NULL")
     )
-    # Counted first, per task and language, so the loop below has a bound.
-    languages = [r["lang"] for r in usable.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()]
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return usable, sorted(languages)
 
 
 def fit(docs: DataFrame) -> bytes:
     """A model as bytes, its size bounded by languages and kept entries."""
-    usable, languages = training_rows(docs)
-    samples = []
-    for lang in languages:
-        picked = usable.where(F.col("lang") == lang).orderBy("key", "text").limit(TRAIN_DOCS)
-        samples += [(r["text"], r["lang"]) for r in picked.collect()]
-    return pickle.dumps(Model(samples), protocol=5)
+    return pickle.dumps(Model([(r["text"], r["lang"]) for r in training_rows(docs).collect()]), protocol=5)
 
 
 @lru_cache(maxsize=1)

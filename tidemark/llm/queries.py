@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, simhash, toxicity
+from . import langid, lines, mixing, packing, quality, simhash, spans, toxicity, urls, winnow
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_pack_sequences": packing.op2_pack_sequences,
+    "op3_quality_rules": quality.op3_quality_rules,
+    "op4_line_dedup": lines.op4_line_dedup,
+    "op5_substring_dedup": spans.op5_substring_dedup,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_url_filters": urls.op7_url_filters,
     "op8_simhash": simhash.op8_simhash,
+    "op9_winnowing": winnow.op9_winnowing,
     "op10_language_id": langid.op10_language_id,
 }
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE_OP1,
+    "op3_quality_rules": quality.ORACLE_OP3,
+    "op4_line_dedup": lines.ORACLE_OP4,
+    "op7_url_filters": urls.ORACLE_OP7,
 }

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, sample_ids
 from .gru import Network, train
 
 #: The network learns from at most so many documents of each label, first by digest of
@@ -34,21 +34,19 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> list:
     """The bounded sample (text, toxic) that the network learns from.
 
     Held-out rows, rows without an id, a text or a label never come in. Ids with both
-    labels are left out. The order is that of a digest, so reruns agree.
+    labels are left out; of an id's texts the least is taken. The order is that of
+    a hash of the id, so reruns agree. Texts are fetched for the chosen ids alone.
     """
-    agreed = (
-        labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id")
-        .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most")
+    usable = docs.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT).where(F.length("text").between(1, TRAIN_CHARS))
+    known = labels.where("toxic IN (0, 1)").select("doc_id", "toxic")
+    ids = sample_ids(known.join(usable.select("doc_id").distinct(), "doc_id"), "toxic", max(TRAIN_CLEAN, TRAIN_TOXIC), 2)
+    texts = (
+        usable.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most twice the larger parameter
+        .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("key", F.xxhash64("doc_id"))
     )
-    usable = (
-        docs.select("doc_id", "text").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-        .where(F.length("text").between(1, TRAIN_CHARS)).join(agreed, "doc_id")
-        .withColumn("key", F.xxhash64("doc_id", "text"))
-    )
-    picked = []
-    for label, most in ((0, TRAIN_CLEAN), (1, TRAIN_TOXIC)):
-        picked += usable.where(F.col("toxic") == label).orderBy("key", "doc_id").limit(most).collect()
-    return picked
+    picked = sorted(texts.collect(), key=lambda r: (r["key"], r["doc_id"]))
+    clean, toxic = ([r for r in picked if r["toxic"] == y] for y in (0, 1))
+    return clean[:TRAIN_CLEAN] + toxic[:TRAIN_TOXIC]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> bytes:
