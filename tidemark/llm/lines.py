@@ -20,7 +20,7 @@ from .common import load, written
 
 #: Fewer words than this are only compared for equality: one word in five is 0.8.
 MIN_WORDS = 5
-#: Words that are hashed together first, so that a variant of a long line costs n / 64.
+#: Words that are hashed together first, so that a key of a long line costs no more than one of a short.
 CHUNK = 64
 BLANKS, SOME = "[\\x20\\x09-\\x0D]+", "[^\\x20\\x09-\\x0D]"
 
@@ -29,22 +29,24 @@ def line_words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), BLANKS), lambda w: w != "")
 
 
-def _sum_hash(hashes: Column, n: Column) -> Column:
-    """Hashes of whole chunks of an array of word hashes."""
-    chunks = F.floor(n / CHUNK).cast("int")
-    starts = F.filter(F.sequence(F.lit(0), chunks), lambda c: c < chunks)
-    return F.transform(starts, lambda c: F.xxhash64(F.slice(hashes, c * CHUNK + 1, CHUNK)))
+def with_heads(lines: DataFrame, hashes: str, out: str) -> DataFrame:
+    """Adds what ``_head`` needs: an array's chunks, and a hash of all chunks before each."""
+    last = F.floor(F.size(hashes) / CHUNK).cast("int")
+    lines = lines.withColumn(f"{out}_chunks", F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(hashes, c * CHUNK + 1, CHUNK)))
+    lines = lines.withColumn(f"{out}_sums", F.transform(f"{out}_chunks", lambda c: F.xxhash64(c)))
+    return lines.withColumn(f"{out}_before", F.transform(f"{out}_sums", lambda _, c: F.xxhash64(F.slice(f"{out}_sums", F.lit(1), c)))).drop(f"{out}_sums")
 
 
-def _head(hashes: Column, chunks: Column, n: Column) -> Column:
-    """Hash of the first n word hashes, from whole chunks and the rest."""
-    whole = F.floor(n / CHUNK).cast("int")
-    return F.xxhash64(F.slice(chunks, F.lit(1), whole), F.slice(hashes, whole * CHUNK + 1, n % CHUNK))
+def _head(out: str, n: Column) -> Column:
+    """Hash of the first n elements: of the whole chunks before, and of the rest."""
+    chunk = F.floor(n / CHUNK).cast("int")
+    return F.xxhash64(F.get(F.col(f"{out}_before"), chunk), F.slice(F.get(F.col(f"{out}_chunks"), chunk), F.lit(1), n % CHUNK))
 
 
 def line_table(docs: DataFrame) -> DataFrame:
     """A row per line with a word: doc_id, text_hash, pos, words."""
-    lines = docs.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    # The outer form, since Spark checks what it explodes to be non-empty by making it twice.
+    lines = docs.select("doc_id", "text_hash", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
     return lines.where(F.col("line").rlike(SOME)).withColumn("words", line_words(F.col("line"))).drop("line")
 
 
@@ -89,23 +91,23 @@ def with_variants(lines: DataFrame) -> DataFrame:
     less the word there, and that of the line itself.
 
     In reach are the places behind the shared first half or before the shared last
-    one. Word hashes and chunk sums are columns of their own, so that they are made
+    one. Word hashes and chunks are columns of their own, so that they are made
     once per line and not once per key.
     """
     n = F.size("words")
     lines = lines.withColumn("ahead", F.transform("words", lambda w: F.xxhash64(w))).withColumn("behind", F.reverse("ahead"))
-    lines = lines.withColumn("ahead_sums", _sum_hash(F.col("ahead"), n)).withColumn("behind_sums", _sum_hash(F.col("behind"), n))
+    lines = with_heads(with_heads(lines, "ahead", "ahead"), "behind", "behind")
     half = F.floor((n - 1) / 2).cast("int")
 
     def keys(places: Column, less: int) -> Column:
         rest = n - less
         reach = F.filter(places, lambda i: (F.col("front") & (i >= half)) | (F.col("back") & (i <= rest - half)))
         return F.transform(reach, lambda i: F.xxhash64(
-            i, rest, _head(F.col("ahead"), F.col("ahead_sums"), i), _head(F.col("behind"), F.col("behind_sums"), rest - i)
+            i, rest, _head("ahead", i), _head("behind", rest - i)
         ))
 
     lines = lines.withColumn("keys", F.concat(keys(F.sequence(F.lit(0), n - 1), 1), keys(F.sequence(F.lit(0), n), 0)))
-    return lines.drop("ahead", "behind", "ahead_sums", "behind_sums")
+    return lines.drop("ahead", "behind", *[f"{d}_{x}" for d in ("ahead", "behind") for x in ("chunks", "before")])
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -130,7 +132,7 @@ def near_lines(docs: DataFrame, table: DataFrame) -> DataFrame:
     meet = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
     # Rows equal in id and text are one document here.
     texts = docs.join(at, meet).withColumn("lines", F.split("text", "\n"))
-    picked = texts.select("doc_id", "text_hash", F.explode(
+    picked = texts.select("doc_id", "text_hash", F.explode_outer(
         F.transform("at", lambda x: x.withField("line", F.get(F.col("lines"), x["pos"])))
     ).alias("x")).select("doc_id", "text_hash", "x.*")
     ordered = (
@@ -140,7 +142,8 @@ def near_lines(docs: DataFrame, table: DataFrame) -> DataFrame:
         .withColumn("rank", F.monotonically_increasing_id())  # grows in the order of the sort
     )
     lines = written(ordered.select("rank", "h1", "h2", "words", "front", "back"), "lines")
-    keyed = with_variants(lines).select("rank", F.explode("keys").alias("key"))
+    # Here, too: a check for empty keys would be pushed down with all their steps inside.
+    keyed = with_variants(lines).select("rank", F.explode_outer("keys").alias("key")).where("key IS NOT NULL")
     earliest = keyed.groupBy("key").agg(F.min("rank").alias("earliest"), F.max("rank").alias("latest"))
     pairs = written(
         keyed.join(earliest.where("earliest < latest").select("key", "earliest"), "key")

@@ -59,7 +59,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 def active(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """(url, fetched, entries, lists, since) for each distinct capture that an active entry covers."""
     looked = captures.where("url IS NOT NULL AND fetched IS NOT NULL").select("url", "fetched").distinct()
-    keyed = looked.select("url", "fetched", F.explode(cover(F.col("url"))).alias("k")).select("url", "fetched", "k.scope", "k.key")
+    keyed = looked.select("url", "fetched", F.explode_outer(cover(F.col("url"))).alias("k")).select("url", "fetched", "k.scope", "k.key")
     # As of each day on which a key was met: the interval that holds the day.
     asked = keyed.select("scope", "key", "fetched").distinct()
     hits = (
