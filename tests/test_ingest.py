@@ -3,24 +3,29 @@
 import json
 import os
 import time
-from datetime import datetime, timezone
+from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import values
+from tidemark.operators.changes import content_fingerprint
 from tidemark.plans.bronze import SOURCES, BronzeLoader, Source, reset_tables
-from tidemark.plans.extract import Extractor
+from tidemark.plans.extract import Extractor, refresh_endpoint, sync_drop
 from tidemark.sinks import (
     StateLog, UnknownColumnsError, VersionedTable, conform, land_delta, land_snapshot, seed_if_empty,
     snapshot_if_changed,
 )
+from tidemark.sinks.landing import DROPS, ENDPOINTS, place
 from tidemark.sources import (
-    PagedJsonSource, describe_columns, list_files, modified_since, newest_snapshot, query, read_csv_table,
+    describe_columns, last_modified, list_files, modified_since, newest_snapshot, query, read_csv_table,
     read_files, read_json_dump, read_json_pages, tables_present, tagged_latest, unprocessed_files,
 )
+from tidemark.sources.tables import child_delta_sql, jdbc_options
 from tidemark.streaming import IncrementalTable, load_incremental
 
 T0 = 1_750_000_000
@@ -82,10 +87,135 @@ def test_read_files_unites_columns_and_names_the_file(spark, rows, lake):
 def test_modified_since_is_strict(spark, rows, lake):
     put(rows("a int", (1,)), f"{lake}/x.parquet", 0)
     put(rows("a int", (2,)), f"{lake}/y.parquet", 60)
-    at = lambda s: datetime.fromtimestamp(T0 + s, timezone.utc).replace(tzinfo=None).isoformat()
-    assert values(modified_since(spark, lake, at(0)), "a") == [(2,)]
-    assert values(modified_since(spark, lake, at(-1)), "a") == [(1,), (2,)]
-    assert modified_since(spark, lake, at(60)) is None
+    at = lambda s: int((T0 + s) * 1_000_000)
+    assert last_modified(spark, lake) == at(60)
+    assert values(modified_since(spark, lake, at(0), at(60)), "a") == [(2,)]
+    assert values(modified_since(spark, lake, at(-1), at(60)), "a") == [(1,), (2,)]
+    assert values(modified_since(spark, lake, at(-1), at(59)), "a") == [(1,)]
+    assert modified_since(spark, lake, at(60), at(99)).count() == 0
+
+
+@pytest.fixture(params=["UTC", "Asia/Tokyo", "America/New_York"])
+def zone(request, spark, monkeypatch):
+    """Driver and session in a time zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    monkeypatch.setenv("TZ", request.param)
+    time.tzset()
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+    monkeypatch.undo()
+    time.tzset()
+
+
+def test_sync_drop_in_any_zone(spark, rows, lake, tmp_path, zone):
+    state, inbox = StateLog(spark, f"{lake}/state"), str(tmp_path / "inbox")
+    for k in range(3):
+        put(rows("a int", (k,)), f"{inbox}/t/batch_date=2024-01-0{k + 1}/f{k}.parquet", 2 * k)
+        assert sync_drop(spark, inbox, lake, "t", state)
+        assert not sync_drop(spark, inbox, lake, "t", state)
+    landed = spark.read.parquet(place(lake, DROPS, "t"))
+    assert sorted((r["a"], str(r["batch_date"])) for r in landed.collect()) == [(k, f"2024-01-0{k + 1}") for k in range(3)]
+
+
+def test_sync_drop_repeated_after_a_crash(spark, rows, lake, tmp_path):
+    """Dying before the progress is saved adds nothing, even if more has been dropped since."""
+    class Dying(StateLog):
+        def put(self, name, value):
+            if not name.endswith(".begun"):
+                raise OSError("died")
+            super().put(name, value)
+
+    inbox, state = str(tmp_path / "inbox"), StateLog(spark, f"{lake}/state")
+    put(rows("a int", (1,)), f"{inbox}/t/f.parquet", 0)
+    with pytest.raises(OSError):
+        sync_drop(spark, inbox, lake, "t", Dying(spark, f"{lake}/state"))
+    folder = Path(place(lake, DROPS, "t"))
+    first = sorted(p.name for p in folder.rglob("part-*"))
+    put(rows("a int", (2,)), f"{inbox}/t/g.parquet", 5)
+    assert sync_drop(spark, inbox, lake, "t", state) and sorted(p.name for p in folder.rglob("part-*")) == first
+    assert sync_drop(spark, inbox, lake, "t", state) and not sync_drop(spark, inbox, lake, "t", state)
+    assert values(spark.read.parquet(str(folder)), "a") == [(1,), (2,)]
+
+
+def test_sync_drop_of_nanosecond_files(spark, lake, tmp_path):
+    folder = tmp_path / "inbox/t"
+    folder.mkdir(parents=True)
+    pd.DataFrame({"at": pd.to_datetime(["2024-01-01 10:00:00.123456789"])}).to_parquet(folder / "f.parquet")
+    assert sync_drop(spark, str(tmp_path / "inbox"), lake, "t", StateLog(spark, f"{lake}/state"))
+
+
+def test_half_written_datasets_are_passed_over(spark, rows, lake):
+    rows("a int", (1,), (2,)).write.parquet(f"{lake}/snapshot_date=2024-01-01/snapshot_1.parquet")
+    rows("a int", (3,)).write.parquet(f"{lake}/snapshot_date=2024-01-02/snapshot_1.parquet")
+    Path(f"{lake}/snapshot_date=2024-01-02/snapshot_1.parquet/_SUCCESS").unlink()
+    for by in ("mtime", "partition"):
+        assert "2024-01-01" in newest_snapshot(spark, lake, by)
+    rows("a int", (4,)).write.parquet(f"{lake}/a_latest.parquet")
+    rows("a int", (5,)).write.parquet(f"{lake}/b_latest.parquet")
+    Path(f"{lake}/a_latest.parquet/_SUCCESS").unlink()
+    assert tagged_latest(spark, lake).endswith("b_latest.parquet")
+
+
+def test_failed_refresh_keeps_the_present_table(spark, rows, lake):
+    """A source that fails in its last partition, first over nothing, then over a table."""
+    bad = lambda: spark.range(0, 8, 1, 4).selectExpr("IF(id = 7, raise_error('gone'), id) AS a")
+    good = lambda *x: (lambda: rows("a long", *[(v,) for v in x]))
+    for _ in range(2):
+        with pytest.raises(Exception, match="gone"):
+            refresh_endpoint(spark, bad, lake, "t")
+    assert refresh_endpoint(spark, good(1), lake, "t")
+    latest = tagged_latest(spark, place(lake, ENDPOINTS, "t"))
+    with pytest.raises(Exception, match="gone"):
+        refresh_endpoint(spark, bad, lake, "t", force=True)
+    assert values(spark.read.parquet(latest)) == [(1,)]
+    assert not refresh_endpoint(spark, good(), lake, "t", force=True) and values(spark.read.parquet(latest)) == [(1,)]
+    assert refresh_endpoint(spark, good(2), lake, "t", force=True) and values(spark.read.parquet(latest)) == [(2,)]
+
+
+def test_state_is_compacted_and_versions_expire(spark, rows, lake):
+    state = StateLog(spark, f"{lake}/state")
+    for v in range(5):
+        state.put("a", str(v))
+    state.put("b", "x")
+    state.compact("a")
+    assert state.get("a") == "4" and state.get("b") == "x"
+    assert len(list(Path(f"{lake}/state/of=a").glob("part-*"))) == 1
+    table = VersionedTable(spark, f"{lake}/t")
+    for v in range(4):
+        table.replace(rows("a int", (v,)))
+    assert table.expire(keep=2) == 2 and table.expire(keep=2) == 0
+    assert values(table.read()) == [(3,)] and len(list(Path(f"{lake}/t").glob("version=*"))) == 2
+
+
+def test_moved_value_is_a_change(rows):
+    a = content_fingerprint(rows("x int, y int", (1, None))).first()["version"]
+    assert a != content_fingerprint(rows("x int, y int", (None, 1))).first()["version"]
+
+
+def test_jdbc_reads_are_split_or_asked_for(rows):
+    assert jdbc_options("jdbc:u", "t", split_on="id", lower=1, upper=9, splits=4)["numPartitions"] == "4"
+    assert "numPartitions" not in jdbc_options("jdbc:u", "t", one_task=True)
+    for wrong in ({}, {"split_on": "id"}, {"split_on": "id", "lower": 1, "upper": 2, "one_task": True}):
+        with pytest.raises(ValueError):
+            jdbc_options("jdbc:u", "t", **wrong)
+    sent = child_delta_sql("order_items", "orders", "order_id", "bought_at", "2024-01-01 00:00:00")
+    assert "JOIN orders p ON c.order_id = p.order_id" in sent and "p.bought_at > TIMESTAMP '2024-01-01 00:00:00'" in sent
+    with pytest.raises(ValueError):
+        child_delta_sql("a; DROP TABLE b", "orders", "order_id", "t", "x")
+
+
+def test_malformed_input_is_an_error(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('[{"a": "x", "b": 1}]\n[{"a": "y", "b": 2}, {"a')
+    (tmp_path / "word.json").write_text('[{"a": "x", "b": "notint"}]\n')
+    for name in ("cut", "word"):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            read_json_dump(spark, f"{tmp_path}/{name}.json", "a string, b int").collect()
+    (tmp_path / "a.csv").write_text("id,v\n1,2\nx,3\n")
+    (tmp_path / "b.csv").write_text("id,v\n1,2,9\n")
+    for name in ("a", "b"):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_csv_table(spark, f"{tmp_path}/{name}.csv", "id int, v int").collect()
 
 
 def test_conform(rows):
@@ -206,12 +336,53 @@ def test_crash_between_data_and_ledger_is_repeated(spark, rows, lake, tmp_path,
     assert target.ledger().count() == 2
 
 
-def test_unknown_column_stops_the_load(spark, rows, lake, tmp_path):
+def test_unknown_column_sets_the_file_aside(spark, rows, lake, tmp_path):
+    """Among good files: they load and are in the ledger, the other is reported once."""
+    loader = BronzeLoader(spark, lake, str(tmp_path / "wh"))
+    for k in range(3):
+        drop(rows("order_id string", (f"o{k}",)), lake, "order_payments", f"b{k}")
+    drop(rows("order_id string, colour string", ("a", "red")), lake, "order_payments", "bad")
+    row = loader.run(["stream_order_payments"]).first()
+    assert (row["status"], row["row_count"]) == ("loaded", 3) and "colour" in row["message"] and "bad" in row["message"]
+    assert loader.ledger("stream_order_payments").count() == 3
+    assert [r["message"] for r in loader.rejected("stream_order_payments").collect()] == ["stream_order_payments has no column colour"]
+    assert loader.run(["stream_order_payments"]).first()["message"] is None and loader.read("stream_order_payments").count() == 3
+
+
+def test_nothing_arrived_is_no_failure(spark, lake, tmp_path):
     loader = BronzeLoader(spark, lake, str(tmp_path / "wh"))
-    drop(rows("order_id string, colour string", ("a", "red")), lake, "order_payments", "b0")
-    with pytest.raises(Exception, match="colour"):
-        loader.load_table("stream_order_payments")
-    assert loader.read("stream_order_payments").count() == 0
+    row = loader.run(["stream_order_payments"]).first()
+    assert (row["status"], row["row_count"]) == ("loaded", 0)
+
+
+def test_a_load_reads_only_its_own_batches(spark, rows, lake, tmp_path):
+    """However many batches came before, a load touches the folder of its own."""
+    target = IncrementalTable(spark, str(tmp_path / "wh"), "stream_order_payments")
+    for k in range(3):
+        put(rows("order_id string", (f"o{k}",)), f"{lake}/f{k}.parquet", k)
+        target.load_batch([f"{lake}/f{k}.parquet"], k)
+    # Earlier batches turned unreadable do no harm to a later one.
+    for part in Path(f"{target.data}/_batch_id=0").glob("part-*"):
+        part.write_bytes(b"gone")
+    put(rows("order_id string", ("o9",)), f"{lake}/f9.parquet", 9)
+    target.load_batch([f"{lake}/f9.parquet"], 9)
+    assert target.ledger().count() == 4
+
+
+def test_load_at_an_interval(spark, rows, lake, tmp_path):
+    """The running query picks up what arrives later, and stops."""
+    target = IncrementalTable(spark, str(tmp_path / "wh"), "stream_order_payments")
+    put(rows("order_id string", ("a",)), f"{lake}/f0.parquet", 0)
+    running = load_incremental(target, lake, interval="1 second")
+    try:
+        running.processAllAvailable()
+        assert target.read().count() == 1
+        put(rows("order_id string", ("b",)), f"{lake}/f1.parquet", 5)
+        running.processAllAvailable()
+        assert values(target.read(), "order_id") == [("a",), ("b",)]
+    finally:
+        running.stop()
+    assert not running.isActive
 
 
 def test_text_times_of_pushed_files(spark, rows, lake, tmp_path):
@@ -272,13 +443,15 @@ def test_paged_json(spark, tmp_path, total):
         n += 1
         if content["next_url"] is None:
             break
-    want = [(str(i), i + 0.5) for i in range(total)]
-    landed = read_json_pages(spark, f"{tmp_path}/page-*.json", "zip string, lat double", one_document=True)
-    assert values(landed) == sorted(want)
-    spark.dataSource.register(PagedJsonSource)
-    fetched = (spark.read.format("paged_json").schema("zip string, lat double")
-               .option("url", f"file://{tmp_path}/page-{{page}}.json").option("limit", 5).load())
-    assert values(fetched) == sorted(want)
+    landed = lambda: read_json_pages(spark, f"{tmp_path}/page-*.json", "zip string, lat double", one_document=True)
+    assert values(landed()) == sorted((str(i), i + 0.5) for i in range(total))
+    for missing in range(1, n):  # any page but a lone empty one
+        if total:
+            kept = (tmp_path / f"page-{missing}.json").rename(tmp_path / "away")
+            if missing < n - 1 or total % 5 == 0 or n > 2:
+                with pytest.raises(ValueError):
+                    landed()
+            kept.rename(tmp_path / f"page-{missing}.json")
 
 
 def test_json_dump_of_one_document(spark, tmp_path):
@@ -343,4 +516,4 @@ def test_extractor(spark, rows, tmp_path):
     loader = BronzeLoader(spark, lake, str(tmp_path / "wh"))
     loaded = {r["table_name"]: r["row_count"] for r in loader.run().collect() if r["status"] == "loaded"}
     assert loaded == {"api_translations": 1, "pg_customers": 1, "pg_products": 1, "pg_orders": 1,
-                      "pg_order_items": 1, "stream_order_payments": 1}
+                      "pg_order_items": 1, "stream_order_payments": 1, "stream_order_reviews": 0}

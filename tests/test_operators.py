@@ -157,3 +157,16 @@ def test_profiles(rows):
     assert values(profile.has_fractions(df.where("v = 1"), ["v"])) == [("v", False)]
     assert values(profile.shape(df), "column_name", "non_null", "row_count", "data_type") == [
         ("k", 2, 4, "string"), ("t", 3, 4, "string"), ("v", 3, 4, "double")]
+
+
+def test_duplicates_of_long_texts(rows):
+    """One rule for all lengths: a text is no repeat of another one's digest."""
+    import hashlib
+
+    from tidemark.operators import profile
+
+    long = "x" * 100
+    row = profile.duplicate_rows(rows("t string", (long,), (hashlib.sha256(long.encode()).hexdigest(),)), "t").first()
+    assert (row["row_count"], row["duplicates"]) == (2, 0)
+    row = profile.duplicate_rows(rows("t string", (long,), (long,), (None,), (None,), ("",)), "t").first()
+    assert (row["row_count"], row["duplicates"]) == (5, 2)

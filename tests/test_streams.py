@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from conftest import values
 from tidemark.streaming import (
     commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, run_to_folder,
@@ -21,6 +23,21 @@ def test_dedup_across_batches(spark, rows, tmp_path):
     assert values(spark.read.parquet(f"{tmp_path}/out"), "id", "v") == [(1, "first"), (2, "a"), (3, "hot"), (4, "b")]
 
 
+def test_dedup_loses_no_old_events(spark, rows, tmp_path):
+    """Several micro-batches, the oldest events last: each comes out once."""
+    schema = "id int, ts timestamp"
+    (tmp_path / "in").mkdir()
+    for n in range(4):
+        part = rows(schema, *[(10 * n + i, AT - timedelta(days=100 * n)) for i in range(10)], (0, AT))
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = (
+        spark.readStream.schema(schema).option("maxFileAge", "36500d").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        .withColumn("arrived", F.col("_metadata.file_modification_time"))
+    )
+    run_to_folder(dedup_stream(stream, ["id"], "arrived", "1 hour"), f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert values(spark.read.parquet(f"{tmp_path}/out"), "id") == sorted(((i,) for i in range(40)), key=str)
+
+
 def test_early_child_waits_for_its_parent(spark, rows, tmp_path):
     kids, parents = "k int, c int, ct timestamp", "k int, p string, pt timestamp"
     rows(kids, *[(1, i, AT) for i in range(50)], (2, 0, AT)).write.parquet(f"{tmp_path}/kids")
@@ -41,13 +58,18 @@ def test_record_batches(spark, tmp_path):
     inbox.mkdir()
     (inbox / "a.json").write_text('{"source_table":"order_payments","records":[{"id":"1","n":2},{"id":"2"}]}\n'
                                   '{"source_table":"order_payments","records":[]}\n'
-                                  '{"source_table":"order_reviews","records":[{"id":"9"}]}\n')
+                                  '{"source_table":"order_reviews","records":[{"id":"9"}]}\n'
+                                  '{"source_table":"order_payments","records":[{"id":"3","n":"two"}]}\n'
+                                  '{"source_table":"order_payments","records":[{"id":"4","n"\n')
     go = lambda: land_record_batches(
         spark, str(inbox), f"{tmp_path}/drop", "order_payments", "id string, n int", f"{tmp_path}/cp")
     folder = go()
     go()
     landed = spark.read.parquet(folder)
     assert values(landed, "id", "n") == [("1", 2), ("2", None)] and "batch_date" in landed.columns
+    rejected = spark.read.parquet(f"{tmp_path}/drop/_rejected_order_payments")
+    assert [v[:60] for (v,) in values(rejected, "value")] == [
+        '{"source_table":"order_payments","records":[{"id":"3","n":"t', '{"source_table":"order_payments","records":[{"id":"4","n"']
 
 
 def test_parent_and_child_commit_repeats_cleanly(spark, rows, tmp_path):

@@ -14,9 +14,11 @@ def max_version(df: DataFrame, column: str) -> DataFrame:
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """One row ``version``: a hash over all rows, independent of their order.
 
-    Unlike a greatest row version this also notices deletes.
+    Unlike a greatest row version this also notices deletes. Hashes pass over
+    nulls, so each value goes in beside whether it is null: one that moves to
+    another column is a change.
     """
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    h = F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
     sums = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(h).alias("x"),

@@ -43,8 +43,8 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def _short(c: Column, kind: str) -> Column:
-    """Long texts by their SHA-256, so that a shuffle need not carry them."""
-    return F.when(F.length(c) > 64, F.sha2(c, 256)).otherwise(c) if kind == "string" else c
+    """Texts of any length by length and SHA-256, so that a shuffle need not carry them."""
+    return F.when(c.isNotNull(), F.struct(F.length(c), F.sha2(c, 256))) if kind == "string" else c
 
 
 def duplicate_rows(df: DataFrame, *keys: str) -> DataFrame:

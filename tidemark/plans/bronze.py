@@ -56,6 +56,7 @@ class BronzeLoader:
         self.sources = sources
         self.max_files = max_files
         self.generations = StateLog(spark, f"{self.warehouse}/generations")
+        self._notes: dict[str, str | None] = {}
         self.refresh()
 
     def refresh(self) -> None:
@@ -87,6 +88,7 @@ class BronzeLoader:
         if source.pattern == "incremental":
             target = self._incremental(table)
             load_incremental(target, prefix, self.max_files)
+            self._notes[table] = "; ".join(f"rejected {path}: {why}" for path, why in target.rejections) or None
             return target.rows_loaded()
         raise ValueError(f"unknown pattern '{source.pattern}' for '{table}'")
 
@@ -95,12 +97,15 @@ class BronzeLoader:
         return self._snapshot(table).replace(concat_frames(*frames))
 
     def run(self, tables: Iterable[str] | None = None, parallel: int = 4) -> DataFrame:
-        """Load all tables, or the given ones; a failing table does not stop the rest."""
+        """Load all tables, or the given ones; a failing table does not stop the rest.
+
+        The message of a loaded table names the files that were set aside.
+        """
         self.refresh()
 
         def attempt(table: str) -> tuple:
             try:
-                return table, "loaded", self.load_table(table), None
+                return table, "loaded", self.load_table(table), self._notes.get(table)
             except Exception as e:  # the failure is the result
                 return table, "failed", None, f"{type(e).__name__}: {e}"
 
@@ -116,6 +121,10 @@ class BronzeLoader:
             return self.spark.createDataFrame([], bronze_ddl(table))
         return target.read()
 
+    def rejected(self, table: str) -> DataFrame:
+        """Files of an incremental table that did not fit it."""
+        return self._incremental(table).rejected()
+
     def ledger(self, table: str) -> DataFrame:
         if self._source(table).pattern != "incremental":
             return self.spark.createDataFrame([], LEDGER)

@@ -7,16 +7,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import partition_value
 from ..schemas import SOURCE_FILE
 from ..sinks.landing import DROPS, ENDPOINTS, land_delta, place, snapshot_if_changed
 from ..sinks.state import StateLog
-from ..sources.files import modified_since, path_exists
+from ..sources.files import is_complete, last_modified, modified_since, path_exists, rename
 
 RESULT = "name string, kind string, status string, message string"
-EPOCH = "1970-01-01T00:00:00"
 
 
 @dataclass(frozen=True)
@@ -43,20 +43,28 @@ class Extracts:
 def sync_drop(spark: SparkSession, inbox: str, lake: str, table: str, state: StateLog) -> bool:
     """Bring over what was dropped since the last sync; False if nothing was.
 
-    The progress is the latest modification time of the files read, saved after
-    the write. Rows keep the ``batch_date`` of their folder, if it has one.
+    Progress is the latest modification time of the files read, in microseconds.
+    The stretch to read is saved before the write and ended after it. A run that
+    dies in between is repeated over the same stretch into the same folder, or, if
+    its write had finished, not written again. Rows keep the ``batch_date`` of
+    their folder; those without one go under Spark's name for a missing value.
     """
-    low = state.get(table, EPOCH)
-    fresh = modified_since(spark, f"{inbox.rstrip('/')}/{table}", low)
-    if fresh is None:
-        return False
-    high = fresh.agg(F.max("_modified").alias("high")).first()["high"]
-    if high is None:
-        return False
-    # Only what was there when the progress was taken, so nothing is passed over.
-    seen = fresh.where(F.col("_modified") <= F.lit(high)).drop(SOURCE_FILE, "_modified")
-    seen.write.mode("append").parquet(place(lake, DROPS, table))
-    state.put(table, high.isoformat())
+    prefix, target = f"{inbox.rstrip('/')}/{table}", place(lake, DROPS, table)
+    low, begun = int(state.get(table, "0")), state.get(f"{table}.begun", "")
+    if begun.startswith(f"{low}-"):
+        high = int(begun.split("-")[1])
+    else:
+        high = last_modified(spark, prefix)
+        if high is None or high <= low:
+            return False
+        state.put(f"{table}.begun", f"{low}-{high}")
+    folder = f"{target}/synced={low}-{high}"
+    if not is_complete(spark, folder):
+        seen = modified_since(spark, prefix, low, high)
+        day = partition_value(F.col(SOURCE_FILE), "batch_date")
+        rows = seen.withColumn("batch_date", day).drop(SOURCE_FILE, "_modified")
+        rows.write.mode("overwrite").partitionBy("batch_date").parquet(folder)
+    state.put(table, str(high))
     return True
 
 
@@ -68,20 +76,26 @@ def refresh_endpoint(
 
     A table that has landed is left alone, and its source not even asked, unless
     ``force`` is set: then the present one is kept as ``<name>_old_<time>`` and
-    replaced. No rows replace nothing.
+    replaced. The source is asked once, and its rows are written beside the present
+    table; only a finished write with rows takes its place, by renaming. What an
+    earlier run had finished writing but not put in place counts as landed.
     """
     folder = place(lake, ENDPOINTS, name)
-    latest = f"{folder}/{name}_latest.parquet"
-    landed = path_exists(spark, latest)
+    latest, staged = f"{folder}/{name}_latest.parquet", f"{folder}/_staged_{name}.parquet"
+    if not path_exists(spark, latest) and is_complete(spark, f"{staged}.ready"):
+        rename(spark, f"{staged}.ready", latest)
+    landed = is_complete(spark, latest)
     if landed and not force:
         return False
-    fresh = rows()
-    if fresh.isEmpty():
+    counted = Observation()
+    rows().observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staged)
+    if not counted.get["n"]:
         return False
-    if landed:
-        now = now or datetime.now()
-        spark.read.parquet(latest).write.parquet(f"{folder}/{name}_old_{now:%Y%m%d_%H%M%S}.parquet")
-    fresh.write.mode("overwrite").parquet(latest)
+    now = now or datetime.now()
+    rename(spark, staged, f"{staged}.ready")
+    if path_exists(spark, latest):
+        rename(spark, latest, f"{folder}/{name}_old_{now:%Y%m%d_%H%M%S}.parquet")
+    rename(spark, f"{staged}.ready", latest)
     return True
 
 

@@ -138,7 +138,7 @@ def ingest_paged_json(spark: SparkSession, sf: str) -> DataFrame:
     pages = numbered.groupBy("page").agg(F.collect_list(_rows_as(rows)).alias("data"))
     envelope = pages.select(
         "page", F.lit(200).alias("limit"), F.size("data").alias("count"),
-        F.when(F.size("data") == 200, F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))).alias("next_url"),
+        F.when(F.col("page") * 200 < rows.count(), F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))).alias("next_url"),
         "data",
     )
     envelope.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/pages")
@@ -168,7 +168,8 @@ def ingest_versioned_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_changed(spark: SparkSession, sf: str) -> DataFrame:
-    """Four looks at customers: first, unchanged, one column changed, rows deleted.
+    """Five looks at customers: first, unchanged, one column changed, rows deleted,
+    and a value moved from one column to another.
 
     Snapshots are taken by content, and beside it by greatest version, which
     does not see the deletes. Counts come from the landed snapshots.
@@ -176,7 +177,9 @@ def snapshot_changed(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_folder(spark, "ingest")
     customers = inputs.table(spark, sf, "customer")
     moved = customers.withColumn("c_nationkey", F.col("c_nationkey") + 1).withColumn("c_custkey", F.col("c_custkey") + 1)
-    looks = [customers, customers, moved, moved.where("c_nationkey > 5")]
+    left = moved.where("c_nationkey > 5").withColumn("was", F.lit(None).cast("int"))
+    swapped = left.withColumn("was", F.col("c_nationkey")).withColumn("c_nationkey", F.lit(None).cast("int"))
+    looks = [customers, customers, moved, left, swapped]
     counts = []
     for by, column in (("content", None), ("version", "c_custkey")):
         lake, state = f"{root}/{by}", StateLog(spark, f"{root}/state-{by}")
@@ -192,16 +195,32 @@ def snapshot_changed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_modified_since(spark: SparkSession, sf: str) -> DataFrame:
-    """Two drops of reviews, synced after each and once more; every row once."""
+    """Two drops of reviews, synced after each and once more; every row once, with
+    the day of its folder."""
     root = shared_folder(spark, "ingest")
     state = StateLog(spark, f"{root}/metadata")
-    reviews = inputs.order_reviews(spark, sf).select("review_id", "order_id", "review_score", "review_creation_date")
+    reviews = inputs.order_reviews(spark, sf).select("review_id", "order_id", "review_score", "review_creation_date").withColumn(
+        "batch_date", F.to_date("review_creation_date"))
     for drop in (reviews.where("review_creation_date < timestamp_ntz'2024-01-20 00:00:00'"),
                  reviews.where("review_creation_date >= timestamp_ntz'2024-01-20 00:00:00'")):
-        drop.write.mode("append").parquet(f"{root}/inbox/order_reviews")
+        drop.write.mode("append").partitionBy("batch_date").parquet(f"{root}/inbox/order_reviews")
         sync_drop(spark, f"{root}/inbox", f"{root}/lake", "order_reviews", state)
     sync_drop(spark, f"{root}/inbox", f"{root}/lake", "order_reviews", state)
-    return spark.read.parquet(place(f"{root}/lake", DROPS, "order_reviews"))
+    landed = spark.read.parquet(place(f"{root}/lake", DROPS, "order_reviews")).drop("synced")
+    return landed.withColumn("batch_date", F.col("batch_date").cast("string"))
+
+
+def ingest_mixed_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments dropped in one go with a file of another table: the payments load,
+    the other file is reported."""
+    root = shared_folder(spark, "ingest")
+    folder = place(f"{root}/lake", DROPS, "order_payments")
+    inputs.order_payments(spark, sf).repartition(3).write.parquet(folder)
+    inputs.table(spark, sf, "region").coalesce(1).write.mode("append").parquet(folder)
+    loader = _loader(spark, root)
+    loader.load_table("stream_order_payments")
+    rejected = loader.rejected("stream_order_payments").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return concat_frames(loader.read("stream_order_payments").drop(SOURCE_FILE, INGESTED_AT), rejected)
 
 
 def lake_to_gold(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,6 +275,6 @@ QUERIES = {
         ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_unprocessed,
         ingest_watermark_delta, ingest_child_delta, ingest_overlap_delta,
         ingest_paged_json, ingest_json_dump, ingest_versioned_latest, snapshot_changed,
-        ingest_modified_since, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
+        ingest_modified_since, ingest_mixed_drop, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
     )
 }

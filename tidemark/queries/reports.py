@@ -106,7 +106,7 @@ def gated_build(spark: SparkSession, sf: str) -> DataFrame:
 
 def profile_shape(spark: SparkSession, sf: str) -> DataFrame:
     reports = [
-        profile.shape(df).select(F.lit(name).alias("table_name"), "position", "column_name", "non_null", "row_count")
+        profile.shape(df).select(F.lit(name).alias("table_name"), "position", "column_name", "data_type", "non_null", "row_count")
         for name, df in _tables(spark, sf, "customer", "supplier", "part", "orders", "lineitem", "events").items()
     ]
     return concat_frames(*reports)
@@ -125,12 +125,15 @@ def profile_nulls(spark: SparkSession, sf: str) -> DataFrame:
 def profile_dups(spark: SparkSession, sf: str) -> DataFrame:
     """Repeats by key, and rows repeated as a whole."""
     items = inputs.order_items(spark, sf)
+    texts = inputs.table(spark, sf, "documents").select("text")
     parts = {
         "pg_order_items by key": profile.duplicate_rows(items, "order_id", "order_item_id"),
         "pg_order_items by row": profile.duplicate_rows(items),
         "pg_orders by key": profile.duplicate_rows(inputs.orders(spark, sf), "order_id"),
         "documents by text": profile.duplicate_rows(inputs.table(spark, sf, "documents"), "text"),
         "labelled by quality": profile.duplicate_rows(models_labelled(spark, sf), "quality"),
+        # No text is a repeat of another text's digest.
+        "texts and digests": profile.duplicate_rows(texts.union(texts.select(F.sha2("text", 256))), "text"),
     }
     return concat_frames(*[df.select(F.lit(k).alias("what"), "*") for k, df in parts.items()])
 
@@ -255,18 +258,17 @@ def texts_cased(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def path_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Directory, name, extension and partition value of paths made of page urls."""
-    path = F.concat(F.lit("lake/page_date=2024-01-0"), (F.col("page_id") % 9 + 1).cast("string"),
-                    F.lit("/page_"), F.col("page_id").cast("string"), F.lit("_latest.parquet"))
-    pages = inputs.table(spark, sf, "pages").select("page_id", path.alias("path"))
+    """Directory, name, extension and partition value of the paths that page urls have in a lake."""
+    day = F.concat(F.lit("lake/page_date=2024-01-0"), (F.col("page_id") % 9 + 1).cast("string"), F.lit("/"))
+    place = F.regexp_replace(F.split_part(F.split_part("url", F.lit("#"), F.lit(1)), F.lit("?"), F.lit(1)), "^[a-z]+://", "")
+    pages = inputs.table(spark, sf, "pages").select("page_id", F.concat(day, place).alias("path"))
     parts = split_name(F.col("path"))
     return pages.select(
         "page_id",
         parts.getField("directory").alias("directory"),
-        F.replace(parts.getField("name"), F.lit("_latest"), F.lit("")).alias("name"),
+        parts.getField("name").alias("name"),
         parts.getField("extension").alias("extension"),
         partition_value(F.col("path"), "page_date").alias("page_date"),
-        dataset_of(F.col("path")).alias("dataset"),
     )
 
 

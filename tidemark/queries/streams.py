@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import concat_frames
 from ..plans import inputs
 from ..session import shared_folder
 from ..streaming import (
@@ -15,17 +16,17 @@ EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, v
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Events landed twice, as a repeated batch would; each comes out once."""
+    """Events landed twice, as a repeated batch would, and read in several
+    micro-batches, in which old events follow new ones; each comes out once."""
     root = shared_folder(spark, "stream")
     events = inputs.table(spark, sf, "events")
     for _ in range(2):
-        events.write.mode("append").parquet(f"{root}/in")
-    # Event time of a stream is a timestamp with zone.
+        events.repartition(2).write.mode("append").parquet(f"{root}/in")
     stream = (
-        spark.readStream.schema(EVENT).option("maxFileAge", "36500d").parquet(f"{root}/in")
-        .withColumn("event_time", F.col("ts").cast("timestamp"))
+        spark.readStream.schema(EVENT).option("maxFileAge", "36500d").option("maxFilesPerTrigger", 1)
+        .parquet(f"{root}/in").withColumn("arrived", F.col("_metadata.file_modification_time"))
     )
-    run_to_folder(dedup_stream(stream, ["event_id"], "event_time", "1 day"), f"{root}/out", f"{root}/checkpoint")
+    run_to_folder(dedup_stream(stream, ["event_id"], "arrived", "1 day"), f"{root}/out", f"{root}/checkpoint")
     return spark.read.schema(EVENT).parquet(f"{root}/out")
 
 
@@ -51,23 +52,29 @@ def stream_parent_child(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_land_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Payments pushed as JSON envelopes, landed as rows."""
+    """Payments pushed as JSON envelopes, landed as rows, and how many pushes were
+    rejected: one cut off, and one with a word for a number."""
     root = shared_folder(spark, "stream")
     payments = inputs.order_payments(spark, sf, F.col("event_id"))
     # 500 consecutive event ids make an envelope, so none grows with the table.
     envelopes = payments.groupBy(F.floor(F.col("event_id") / 500).alias("push")).agg(
         F.collect_list(F.struct("order_id", "payment_sequential", "payment_type",
                                 "payment_installments", "payment_value")).alias("records"))
-    envelopes.select(
-        F.to_json(F.struct(F.lit("order_payments").alias("source_table"), "records")).alias("value")
-    ).write.text(f"{root}/inbox")
+    pushed = envelopes.select(
+        F.to_json(F.struct(F.lit("order_payments").alias("source_table"), "records")).alias("value"))
+    broken = spark.createDataFrame([
+        ('{"source_table": "order_payments", "records": [{"order_id": "1", "paym',),
+        ('{"source_table": "order_payments", "records": [{"order_id": "1", "payment_sequential": "one"}]}',),
+    ], "value string")
+    pushed.union(broken).write.text(f"{root}/inbox")
     folder = land_record_batches(
         spark, f"{root}/inbox", f"{root}/drop", "order_payments",
         "order_id string, payment_sequential int, payment_type string, payment_installments int, "
         "payment_value decimal(12,2)",
         f"{root}/checkpoint",
     )
-    return spark.read.parquet(folder).drop("batch_date")
+    rejected = spark.read.parquet(f"{root}/drop/_rejected_order_payments").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return concat_frames(spark.read.parquet(folder).drop("_batch_id", "batch_date"), rejected)
 
 
 def stream_commit_pairs(spark: SparkSession, sf: str) -> DataFrame:

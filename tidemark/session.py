@@ -16,6 +16,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Parquet files of other writers may hold nanosecond times.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Texts may be long: batches for Python are bounded by bytes as well as rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import path_exists
+from ..sources.files import path_exists, remove
 
 
 class StateLog:
@@ -22,10 +22,13 @@ class StateLog:
         self.spark = spark
         self.folder = folder
 
-    def entries(self) -> DataFrame:
-        if not path_exists(self.spark, self.folder):
+    def entries(self, name: str | None = None) -> DataFrame:
+        """All entries, or those that may be of ``name``; other names' files are not read."""
+        folders = [self.folder] if name is None else [f"{self.folder}/of={name}", f"{self.folder}/together"]
+        there = [f for f in folders if path_exists(self.spark, f)]
+        if not there:
             return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).option("recursiveFileLookup", True).json(self.folder)
+        return self.spark.read.schema(self.SCHEMA).option("recursiveFileLookup", True).json(there)
 
     def all(self) -> dict[str, str]:
         """The current value of every name; there is one per table."""
@@ -33,7 +36,7 @@ class StateLog:
         return {r["name"]: r["value"] for r in latest.collect()}
 
     def get(self, name: str, default: str | None = None) -> str | None:
-        mine = self.entries().where(F.col("name") == name)
+        mine = self.entries(name).where(F.col("name") == name)
         row = mine.agg(F.max_by("value", "updated_at").alias("value")).first()
         return default if row["value"] is None else row["value"]
 
@@ -44,6 +47,16 @@ class StateLog:
         """Several values, which come into force together."""
         self._append(f"{self.folder}/together", values)
 
+    def compact(self, name: str) -> None:
+        """Replace the entries of ``name`` by its current value, written first."""
+        value, old = self.get(name), f"{self.folder}/of={name}"
+        if value is None or not path_exists(self.spark, old):
+            return
+        before = self.spark.read.text(old).select("_metadata.file_path").distinct().toLocalIterator()
+        paths = [r["file_path"] for r in before]
+        self.put(name, value)
+        remove(self.spark, *paths)
+
     def _append(self, folder: str, values: Mapping[str, str]) -> None:
         now = datetime.now(timezone.utc)
         rows = [(name, str(value), now) for name, value in values.items()]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.files import path_exists, remove
 from .state import StateLog
 
 
@@ -53,7 +54,7 @@ class VersionedTable:
 
     def versions(self) -> DataFrame:
         """All published versions, first to last."""
-        return self.published.entries().where(F.col("name") == self.name).select(
+        return self.published.entries(self.name).where(F.col("name") == self.name).select(
             F.col("value").alias("version"), F.col("updated_at").alias("published_at")
         ).orderBy("published_at")
 
@@ -65,6 +66,18 @@ class VersionedTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(version))
 
+    def expire(self, keep: int = 2) -> int:
+        """Delete the rows of all but the last ``keep`` published versions; how many went.
+
+        Readers of an older version fail from then on, so keep as many as may be read.
+        """
+        if keep < 1:
+            raise ValueError("the current version must stay")
+        published = [r["version"] for r in self.versions().collect()]  # one row per build
+        old = [v for v in dict.fromkeys(published) if v not in published[-keep:] and path_exists(self.spark, self.path(v))]
+        remove(self.spark, *[self.path(v) for v in old])
+        return len(old)
+
     def write_once(self, df: DataFrame) -> int:
         """Replace only a table that has never been published."""
         return 0 if self.current() else self.replace(df)

@@ -1,4 +1,5 @@
 from .files import (  # noqa: F401
+    last_modified,
     list_files,
     modified_since,
     newest_snapshot,
@@ -7,7 +8,7 @@ from .files import (  # noqa: F401
     tagged_latest,
     unprocessed_files,
 )
-from .jsonpages import PagedJsonSource, read_json_dump, read_json_pages  # noqa: F401
+from .jsonpages import read_json_dump, read_json_pages  # noqa: F401
 from .tables import (  # noqa: F401
     describe_columns,
     existing_tables,

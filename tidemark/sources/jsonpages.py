@@ -1,14 +1,9 @@
-"""JSON sources: full dumps, landed pages, and pages fetched by address."""
+"""JSON sources: full dumps and landed pages. Malformed input is an error."""
 
 from __future__ import annotations
 
-import json
-from urllib.error import URLError
-from urllib.request import urlopen
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # --- fixed values: envelope of one page -------------------------------------
 ENVELOPE = "page bigint, limit bigint, count bigint, next_url string, data array<struct<{record}>>"
@@ -20,76 +15,31 @@ def read_json_dump(spark: SparkSession, path: str, record: str, one_document: bo
     By default every line is an array, so a file can be read in splits. With
     ``one_document`` a whole file is one array, read by one task.
     """
-    return spark.read.schema(record).option("multiLine", one_document).json(path)
+    return spark.read.schema(record).option("mode", "FAILFAST").option("multiLine", one_document).json(path)
 
 
 def read_json_pages(spark: SparkSession, path: str, record: str, one_document: bool = False) -> DataFrame:
-    """The records of all landed pages ``{page, limit, count, next_url, data}``."""
-    pages = spark.read.schema(ENVELOPE.format(record=record)).option("multiLine", one_document).json(path)
-    return pages.select(F.explode("data").alias("r")).select("r.*")
-
-
-class _Page(InputPartition):
-    def __init__(self, number: int):
-        self.number = number
-
-
-def _fetch(template: str, number: int, limit: int) -> dict | None:
-    """One page, or None past the end."""
-    try:
-        with urlopen(template.format(page=number, limit=limit), timeout=15) as answer:
-            return json.loads(answer.read())
-    except (URLError, FileNotFoundError) as e:
-        missing = getattr(e, "code", None) == 404 or isinstance(getattr(e, "reason", e), FileNotFoundError) \
-            or "No such file" in str(e)
-        if missing:
-            return None
-        raise
-
-
-class _PagedReader(DataSourceReader):
-    def __init__(self, schema, options):
-        self.names = [f.name for f in schema]
-        self.template = options["url"]
-        self.limit = int(options.get("limit", "100000"))
+    """The records of all landed pages ``{page, limit, count, next_url, data}``.
 
-    def _has(self, number: int) -> bool:
-        page = _fetch(self.template, number, self.limit)
-        return bool(page and page.get("data"))
-
-    def partitions(self):
-        """One partition per page. The last page is found by doubling, then halving."""
-        if not self._has(1):
-            return []
-        low, high = 1, 2
-        while self._has(high):
-            low, high = high, high * 2
-        while high - low > 1:
-            middle = (low + high) // 2
-            low, high = (middle, high) if self._has(middle) else (low, middle)
-        return [_Page(n) for n in range(1, low + 1)]
-
-    def read(self, partition: _Page | None):
-        if partition is None:  # a source without pages
-            return
-        page = _fetch(self.template, partition.number, self.limit)
-        if page is None:
-            raise RuntimeError(f"page {partition.number} vanished while it was read")
-        for record in page["data"]:
-            yield tuple(record.get(n) for n in self.names)
-
-
-class PagedJsonSource(DataSource):
-    """``spark.read.format('paged_json').schema(...).option('url', '…{page}…')``.
-
-    Pages are addressed by number, so tasks fetch them side by side instead of
-    following ``next_url`` one after the other. Register the class with
-    ``spark.dataSource.register`` first.
+    The pages must be the whole answer: numbered from 1 without a gap or repeat, all
+    but the last full and followed by another, and none shorter than it says.
     """
-
-    @classmethod
-    def name(cls) -> str:
-        return "paged_json"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _PagedReader(schema, self.options)
+    pages = (
+        spark.read.schema(ENVELOPE.format(record=record)).option("mode", "FAILFAST")
+        .option("multiLine", one_document).json(path)
+    )
+    last = pages.agg(F.max("page").alias("last")).first()["last"]
+    if last is None:
+        return pages.select(F.explode("data").alias("r")).select("r.*")
+    cut_off = (
+        (F.size("data") != F.col("count"))
+        | ((F.col("page") < last) & ((F.col("count") < F.col("limit")) | F.col("next_url").isNull()))
+    )
+    found = pages.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("page").alias("numbers"), F.min("page").alias("first"),
+        F.count_if(F.coalesce(cut_off, F.lit(True))).alias("cut_off"),
+        F.max(F.when(F.col("page") == last, F.col("next_url"))).alias("more"),
+    ).first()
+    if (found["n"], found["numbers"], found["first"], found["cut_off"], found["more"]) != (last, last, 1, 0, None):
+        raise ValueError(f"pages under {path} are not a whole answer: {found.asDict()} of {last}")
+    return pages.select(F.explode("data").alias("r")).select("r.*")

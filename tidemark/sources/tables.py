@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,24 +36,48 @@ def describe_columns(spark: SparkSession, database: str) -> DataFrame:
     )
 
 
-def jdbc_table(
-    spark: SparkSession, url: str, table: str, *,
-    split_on: str | None = None, lower=None, upper=None, splits: int = 1,
-    properties: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """A database table, read in ``splits`` ranges of ``split_on``.
+def jdbc_options(
+    url: str, table: str, *, split_on: str | None = None, lower=None, upper=None, splits: int = 1,
+    one_task: bool = False, properties: Mapping[str, str] | None = None,
+) -> dict[str, str]:
+    """Options of a read over JDBC in ``splits`` ranges of ``split_on``.
 
-    Filters on the result, such as a watermark, are evaluated by the database.
+    A table that is not split is read by one task; that has to be asked for.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for key, value in (properties or {}).items():
-        reader = reader.option(key, value)
+    if one_task == (split_on is not None):
+        raise ValueError(f"'{table}' needs either split_on with bounds or one_task=True")
+    options = {"url": url, "dbtable": table, **(properties or {})}
     if split_on is not None:
-        reader = (
-            reader.option("partitionColumn", split_on).option("lowerBound", lower)
-            .option("upperBound", upper).option("numPartitions", splits)
-        )
-    return reader.load()
+        if lower is None or upper is None or splits < 2:
+            raise ValueError(f"split_on='{split_on}' needs lower, upper and at least 2 splits")
+        options |= {
+            "partitionColumn": split_on, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(splits),
+        }
+    return options
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, **how) -> DataFrame:
+    """A database table, read as ``jdbc_options`` says.
+
+    Filters on the result, such as a watermark, are evaluated by the database.
+    """
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, **how)).load()
+
+
+def child_delta_sql(child: str, parent: str, on: str, ts: str, watermark: str) -> str:
+    """A ``dbtable`` with the child rows whose parent lies past the watermark.
+
+    Join and watermark are evaluated by the database, which sends only those rows;
+    the parent's time comes as ``tracking_ts``.
+    """
+    names = (child, parent, on, ts)
+    if not all(re.fullmatch(r"[A-Za-z_][A-Za-z0-9_.]*", n) for n in names):
+        raise ValueError(f"not plain names: {names}")
+    moment = watermark.replace("'", "''")
+    return (
+        f"(SELECT c.*, p.{ts} AS tracking_ts FROM {child} c JOIN {parent} p ON c.{on} = p.{on} "
+        f"WHERE p.{ts} > TIMESTAMP '{moment}') AS delta"
+    )
 
 
 def query(spark: SparkSession, sql: str, params: Mapping | None = None, **frames: DataFrame) -> DataFrame:
@@ -64,8 +89,12 @@ def read_csv_table(
     spark: SparkSession, path: str, schema: str, timestamps: Iterable[str] = ()
 ) -> DataFrame:
     """CSV with a header. Columns in ``timestamps`` are text in ``schema`` and
-    become timestamps; what cannot be parsed becomes null."""
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    become timestamps; what cannot be parsed there becomes null. Anything else that
+    does not fit the schema, or a row with a field too many or too few, is an error."""
+    df = (
+        spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        .option("mode", "FAILFAST").csv(path)
+    )
     for name in timestamps:
         df = df.withColumn(name, parse_timestamp(F.col(name)))
     return df

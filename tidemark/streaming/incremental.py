@@ -8,21 +8,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sets import concat_frames
 from ..schemas import SOURCE_FILE, bronze_ddl
-from ..sinks.conform import conform
+from ..sinks.conform import UnknownColumnsError, conform
 from ..sources.files import path_exists, read_alike
 
 BATCH_ID = "_batch_id"
+REJECTED = "file_key string, message string"
 LEDGER = "table_name string, file_key string, loaded_at timestamp, row_count bigint"
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def overwrite_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Write ``df`` as partition ``_batch_id``. A repeated batch replaces itself."""
-    (
-        df.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_ID).parquet(folder)
-    )
+def batch_folder(folder: str, batch_id: int) -> str:
+    return f"{folder}/{BATCH_ID}={batch_id}"
+
+
+def overwrite_batch(df: DataFrame, folder: str, batch_id: int, *partitions: str) -> None:
+    """Write ``df`` as partition ``_batch_id``. A repeated batch replaces itself as a whole."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(
+        batch_folder(folder, batch_id))
 
 
 def read_batches(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -42,8 +44,10 @@ class IncrementalTable:
         self.folder = f"{warehouse.rstrip('/')}/bronze/{table}"
         self.data = f"{self.folder}/data"
         self.ledger_folder = f"{self.folder}/ledger"
+        self.rejected_folder = f"{self.folder}/rejected"
         self.checkpoint = f"{self.folder}/checkpoint"
         self.batches: list[int] = []
+        self.rejections: list[tuple[str, str]] = []
 
     def read(self) -> DataFrame:
         return read_batches(self.spark, self.data, bronze_ddl(self.table)).drop(BATCH_ID)
@@ -52,20 +56,42 @@ class IncrementalTable:
         """One row per loaded file."""
         return read_batches(self.spark, self.ledger_folder, LEDGER).drop(BATCH_ID)
 
+    def rejected(self) -> DataFrame:
+        """file_key and message of each file that did not fit the table."""
+        return read_batches(self.spark, self.rejected_folder, REJECTED).drop(BATCH_ID)
+
+    def _fitting(self, paths: list[str]) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+        """Conformed frames of the files that fit, and those that do not, found by halving."""
+        try:
+            return [conform(df, self.table) for df in read_alike(self.spark, paths)], []
+        except UnknownColumnsError as e:
+            if len(paths) == 1:
+                return [], [(paths[0], str(e))]
+        middle = len(paths) // 2
+        first, second = self._fitting(paths[:middle]), self._fitting(paths[middle:])
+        return first[0] + second[0], first[1] + second[1]
+
     def load_batch(self, paths: list[str], batch_id: int) -> None:
         """Data first, then the ledger, taken from the data just written.
 
         A crash between the two repeats the batch with the same files and the
         same id, which replaces what is there. Files without rows get no entry.
+        Files with unknown columns are set aside and reported, the others load; a
+        reset of the table tries them again.
         """
         if not paths:
             return
-        frames = [conform(df, self.table) for df in read_alike(self.spark, paths)]
+        frames, bad = self._fitting(paths)
+        if bad:
+            self.rejections += bad
+            overwrite_batch(self.spark.createDataFrame(bad, REJECTED), self.rejected_folder, batch_id)
+        if not frames:
+            return
         overwrite_batch(concat_frames(*frames), self.data, batch_id)
-        written = read_batches(self.spark, self.data, bronze_ddl(self.table))
+        # This batch's own folder, however many there are.
+        written = self.spark.read.schema(bronze_ddl(self.table)).parquet(batch_folder(self.data, batch_id))
         entries = (
-            written.where(F.col(BATCH_ID) == batch_id)
-            .groupBy(F.col(SOURCE_FILE).alias("file_key"))
+            written.groupBy(F.col(SOURCE_FILE).alias("file_key"))
             .agg(F.count(F.lit(1)).alias("row_count"))
             .select(
                 F.lit(self.table).alias("table_name"), "file_key",
@@ -79,7 +105,7 @@ class IncrementalTable:
         """Rows of the batches loaded through this object."""
         if not self.batches:
             return 0
-        mine = read_batches(self.spark, self.ledger_folder, LEDGER).where(F.col(BATCH_ID).isin(self.batches))
+        mine = self.spark.read.schema(LEDGER).parquet(*[batch_folder(self.ledger_folder, b) for b in self.batches])
         return mine.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).first()["n"]
 
 
@@ -95,7 +121,7 @@ def load_incremental(
     it returns the running query.
     """
     if not path_exists(target.spark, prefix):
-        raise FileNotFoundError(f"nothing at {prefix}")
+        return None  # nothing has arrived yet
     names = (
         target.spark.readStream.format("binaryFile").schema(_FILES)
         .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)

@@ -11,14 +11,18 @@ from .incremental import overwrite_batch
 
 
 def dedup_stream(
-    stream: DataFrame, keys: Sequence[str], ts: str, within: str, spread: int = 8
+    stream: DataFrame, keys: Sequence[str], ts: str, within: str, spread: int = 1
 ) -> DataFrame:
     """Drop rows whose key was seen within the watermark delay; first seen wins.
 
-    State is kept per key until the watermark passes it, so it is bounded by
-    the keys of one delay, whatever the length of the stream. Copies are first
-    removed within each of ``spread`` groups of input partitions, so a key with
-    very many copies does not meet in one task until few are left.
+    ``ts`` must be the time a row arrived (of its file, or of its push), which goes
+    up with the stream. A time of the event itself would not do: rows older than
+    the watermark are discarded unseen, and old events may well arrive late. State
+    is kept per key until the watermark passes it, so it is bounded by the keys
+    that arrive within one delay; a copy that comes after it passes.
+
+    With ``spread`` over 1 copies are first removed within that many groups of
+    input partitions, for keys with very many copies; it doubles the state.
     """
     marked = stream.withWatermark(ts, within)
     if spread > 1:
