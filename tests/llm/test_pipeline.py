@@ -1,0 +1,108 @@
+"""The pipeline: its stages on given documents, and each against its own input."""
+
+from collections import Counter, defaultdict
+
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tidemark.llm import simhash
+from tidemark.llm.common import written
+from tidemark.llm.queries import ORACLES, QUERIES
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    """What each stage got and gave."""
+    docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        after = written(stage(spark, docs, SF), "test-stage")
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_registered(spark):
+    assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line dedup", "SimHash near-dedup", "mix sources", "best-fit packing"]
+
+
+def test_all_but_the_last_return_documents(kept):
+    columns = kept[0][1].columns
+    assert all(after.columns == columns for _, _, after in kept[:-1])
+
+
+def test_toxic_documents_go_and_clean_ones_stay(spark, kept):
+    _, before, after = kept[0]
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    left = {r["doc_id"] for r in after.collect()}
+    clean = [d for d, t in labels.items() if t == 0]
+    assert sum(d in left for d in clean) >= 0.97 * len(clean)
+    assert after.count() < before.count()
+
+
+def test_lines_are_left_once(kept):
+    _, before, after = kept[1]
+    assert before.count() == after.count()
+    lines = Counter(
+        " ".join(line.lower().split()) for r in after.collect() for line in (r["text"] or "").split("\n") if line.split())
+    assert max(lines.values()) == 1
+    assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
+
+
+def test_one_of_each_group_stays(kept):
+    _, before, after = kept[2]
+    groups = {r["root"] for r in simhash.near_duplicates(before).collect()}
+    assert after.count() == len(groups) and simhash.near_duplicates(after).select("root").distinct().count() == len(groups)
+
+
+def test_sources_meet_their_targets(kept):
+    _, before, after = kept[3]
+    words = lambda df: {
+        r["source"]: r["n"] for r in df.groupBy("source").agg(F.sum(F.size(F.expr("regexp_extract_all(text, '[^ \\\\s]+', 0)"))).alias("n")).collect()}
+    given, taken = words(before), words(after)
+    longest = max(len((r["text"] or "").split()) for r in before.collect())
+    weights = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(given))}
+    goal, stopped = {}, set()
+    while True:
+        left = sum(given.values()) - sum(3 * given[s] for s in stopped)
+        level = left / sum(w for s, w in weights.items() if s not in stopped)
+        goal = {s: 3 * given[s] if s in stopped else weights[s] * level for s in given}
+        above = {s for s in given if s not in stopped and goal[s] > 3 * given[s]}
+        if not above:
+            break
+        stopped |= above
+    assert all(abs(taken.get(s, 0) - goal[s]) <= longest + 1 for s in given)
+    assert max(Counter(r["doc_id"] for r in after.collect()).values()) <= 3
+
+
+def test_all_is_packed(kept):
+    _, before, after = kept[4]
+    sequences = defaultdict(list)
+    for r in after.collect():
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    copies = Counter(r["doc_id"] for r in before.collect())
+    assert Counter(r["doc_id"] for r in after.where("piece = 0").collect()) == copies
+
+
+def test_empty_and_odd_documents(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, size int, taken int, bits string"
+    odd = [(1, None, None, None, None, "a", 1, 1, "x"), (None, "", None, "s", 0, "a", 1, 1, "x"), (2, "some words here", "en", "s", 15, None, None, None, None)]
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for name, data in (("odd", odd + odd), ("empty", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert {"doc_id", "piece", "sequence_id", "offset", "length"} <= set(out.columns)
+        assert (out.count() > 0) == (name == "odd")

@@ -54,14 +54,15 @@ def test_passages_set_into_other_text_go_once_found(rows):
     passage = " ".join(sentence(rnd, rnd.randint(8, 16)) for _ in range(6))
     single = sentence(rnd, 55)
     docs = [(1, f"{sentence(rnd, 9)} and then {passage} so it went on. {sentence(rnd, 12)}")]
-    docs += [(k, f"{sentence(rnd, 7)} or {passage} but{k} {sentence(rnd, 9)}") for k in (2, 3)]
+    docs += [(k, f"{sentence(rnd, 7)} or {passage} but {sentence(rnd, 9)}") for k in (2, 3)]
     docs += [(4, f"{sentence(rnd, 9)} {single} {sentence(rnd, 8)}"), (5, f"{sentence(rnd, 5)} {single} {sentence(rnd, 30)}")]
     docs += [(6, " ".join(sentence(rnd, 11) for _ in range(20)))]
     out = {r["doc_id"]: r for r in spans.remove_repeats(rows("doc_id long, text string", *docs)).collect()}
     for first in (1, 4, 6):
         assert out[first]["text"] == dict(docs)[first] and out[first]["repeats_of"] == []
     assert passage not in out[2]["text"] and single not in out[5]["text"]
-    assert out[2]["repeats_of"] == [1] and out[3]["repeats_of"] == [1] and out[5]["repeats_of"] == [4]
+    # The third also shares "or" and "but" beside the passage with the second.
+    assert out[2]["repeats_of"] == [1] and 1 in out[3]["repeats_of"] and out[5]["repeats_of"] == [4]
     assert dict(docs)[2].split()[:7] == out[2]["text"].split()[:7]
 
 

@@ -103,15 +103,16 @@ def test_nulls_repeats_one_empty(spark, rows):
     docs = rows(schema, (1, "abcdef", "", 0, 0), (None, "last one here", "", 0, 0), (2, None, "", 0, 0), (2, "ZZ", "", 0, 0), (2, "ZZ", "", 0, 0))
     got = sorted((r["doc_id"] or 9, r["n_chars"], r["edited_sha256"][:8]) for r in winnow.compare_edits(docs).collect())
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()[:8]
-    assert got == sorted([(1, 6, sha("abc")), (2, 0, sha("")), (2, 2, sha("Zl")), (2, 2, sha("Zl")), (9, 13, sha("last onabcdef"))])
+    # By id and text: 1, 2 (null), 2, 2, none.
+    assert got == sorted([(1, 6, sha("abc")), (2, 0, sha("")), (2, 2, sha("ZZ")), (2, 2, sha("Zl")), (9, 13, sha("last onabcdef"))])
     only = winnow.compare_edits(docs.where("doc_id = 1")).collect()
     assert len(only) == 1 and only[0]["near_next"] == 1.0
     assert winnow.compare_edits(docs.where("false")).count() == 0
 
 
 def test_order_over_many_ranges(spark):
-    ids = spark.range(0, 5000, 1, 16).select((F.col("id") * 7919 % 5003).alias("doc_id")).withColumn("key", F.col("doc_id").cast("string"))
-    order = {int(r["key"]): int(r["next_key"]) for r in winnow.successors(ids).collect()}
+    docs = spark.range(0, 5000, 1, 16).select((F.col("id") * 7919 % 5003).alias("doc_id")).withColumn("text", F.col("doc_id").cast("string"))
+    order = {r["doc_id"]: int(r["following"]) for r in winnow.with_following(docs).collect()}
     ranked = sorted(order)
     assert [order[d] for d in ranked] == [*ranked[1:], ranked[0]]
 

@@ -12,6 +12,8 @@ import numpy as np
 
 WORD_DIM, CHAR_DIM, HIDDEN = 12, 16, 8
 WINDOW, STRIDE = 32, 24
+#: Share of known words that a training step takes as unseen, and decay of embeddings per step.
+DROPPED, DECAY = 0.25, 0.0005
 #: Lengths of the character runs; a word's edges count as one character each.
 RUNS = (3, 5)
 TABLE_BITS = 20
@@ -67,7 +69,7 @@ class Words:
             each = np.maximum(e - s + 3 - n, 1)
             owner = np.repeat(np.arange(len(s)), each)
             at = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each) + (s[owner] - 1)
-            runs.append(hashed(at, at + n))
+            runs.append(hashed(at, np.minimum(at + n, e[owner] + 1)))
             owners.append(owner)
         self.runs, self.owners = np.concatenate(runs), np.concatenate(owners)
 
@@ -119,16 +121,19 @@ class Network:
         }
         self.p["word"][0] = self.p["char"][0] = 0
 
-    def inputs(self, words: Words):
-        """Input of each entry, and what its gradient needs."""
+    def inputs(self, words: Words, drop: np.random.Generator | None = None):
+        """Input of each entry, and what its gradient needs. In training, some words are
+        taken as unseen (``drop``), so that their characters must do."""
         known = self.words.find(words.hashes)
+        if drop is not None:
+            known = np.where(drop.random(len(known)) < DROPPED, 0, known)
         run = self.runs.find(words.runs)
         hit = run > 0
         run, owner = run[hit], words.owners[hit]
         found = np.maximum(np.bincount(owner, minlength=len(known)), 1).astype(np.float32)
         order = np.argsort(owner, kind="stable")
         run, owner = run[order], owner[order]
-        chars = np.zeros((len(known), CHAR_DIM), np.float32)
+        chars = np.zeros((len(known), CHAR_DIM), self.p["char"].dtype)
         if len(run):
             has, at = np.unique(owner, return_index=True)
             chars[has] = np.add.reduceat(self.p["char"][run], at, axis=0)
@@ -138,7 +143,7 @@ class Network:
     def _read(self, x: np.ndarray, mask: np.ndarray, u: np.ndarray, keep: list | None):
         """States (T, B, H) of one recurrence over gate inputs x (T, B, 3H)."""
         steps, batch, _ = x.shape
-        h, states = np.zeros((batch, HIDDEN), np.float32), np.empty((steps, batch, HIDDEN), np.float32)
+        h, states = np.zeros((batch, HIDDEN), x.dtype), np.empty((steps, batch, HIDDEN), x.dtype)
         for t in range(steps):
             g = h @ u
             zr = _sigmoid(x[t, :, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
@@ -211,10 +216,10 @@ class Network:
             d_h = d_new * (1 - (1 - z) * m) + d_g @ u.T
         return d_x, d_u
 
-    def step(self, texts: list[str], labels: np.ndarray) -> tuple[dict, float]:
+    def step(self, texts: list[str], labels: np.ndarray, drop: np.random.Generator | None = None) -> tuple[dict, float]:
         """Gradients and mean loss of a batch; a text's highest window bears most of it."""
         words = Words(texts)
-        x, (known, run, owner_run, found) = self.inputs(words)
+        x, (known, run, owner_run, found) = self.inputs(words, drop)
         gf, gb = self.gates(x)
         first, length, owner = self.layout(words.counts)
         steps = np.arange(WINDOW)[:, None]
@@ -270,8 +275,9 @@ def known_hashes(texts: list[str], at_least: int, most: int) -> tuple[Vocabulary
 
 
 def train(texts: list[str], labels: list[int], epochs: int, rate: float = 0.01, batch: int = 32,
-          at_least: int = 2, most: int = 50_000, seed: int = 7) -> Network:
-    """A network fitted by Adam in a fixed order of batches.
+          at_least: int = 2, most: int = 50_000, seed: int = 7, least_steps: int = 300) -> Network:
+    """A network fitted by Adam in a fixed order of batches, over ``epochs`` passes or
+    as many as give ``least_steps`` batches.
 
     Texts without a word teach nothing by their label; one to a batch is added as
     clean, so that an empty window scores low.
@@ -282,17 +288,20 @@ def train(texts: list[str], labels: list[int], epochs: int, rate: float = 0.01,
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     rng, turn = np.random.default_rng(seed), 0
+    epochs = max(epochs, -(-least_steps * batch // max(len(pairs), 1))) if pairs else 0
     for epoch in range(epochs):
         order = rng.permutation(len(pairs))
         for a in range(0, len(order), batch):
             picked = [pairs[i] for i in order[a:a + batch]]
             if not any(t for t, _ in picked):
                 continue
-            g, _ = net.step([t for t, _ in picked], np.array([y for _, y in picked], np.float32))
+            g, _ = net.step([t for t, _ in picked], np.array([y for _, y in picked], np.float32), rng)
             turn += 1
             scale = rate * (0.3 if epoch == epochs - 1 else 1) * np.sqrt(1 - 0.999**turn) / (1 - 0.9**turn)
             for k in net.p:
                 m[k] += 0.1 * (g[k] - m[k])
                 v[k] += 0.001 * (g[k] * g[k] - v[k])
                 net.p[k] -= (scale * m[k] / (np.sqrt(v[k]) + 1e-8)).astype(np.float32)
+                if k in ("word", "char"):
+                    net.p[k] *= 1 - DECAY
     return net

@@ -64,7 +64,7 @@ def with_score(docs: DataFrame, model: bytes) -> DataFrame:
     """Adds ``score``: 0 to 1, of the worst window of the whole text.
 
     Null and empty texts get the score of an empty window. Rows equal in text get
-    equal scores. Only ``text`` is read; other columns pass through.
+    equal scores, up to single-precision rounding. Only ``text`` is read; other columns pass through.
     """
     shared, crc = docs.sparkSession.sparkContext.broadcast(model), zlib.crc32(model)
 
