@@ -33,7 +33,7 @@ def _dropping_shuffles(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the folder all executors share, and read from there.
 
     Cuts the lineage: what was written survives the loss of executors, and the
@@ -42,7 +42,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     folder = shared_folder(spark, purpose)
     with _dropping_shuffles(spark):
-        df.write.parquet(folder)
+        df.write.option("compression", codec).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

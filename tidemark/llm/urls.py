@@ -133,14 +133,15 @@ def dated_lists(pages: DataFrame) -> DataFrame:
 def op7_url_filters(spark, sf_dir: str) -> DataFrame:
     """All pages as captures, against lists dated before and after them."""
     pages = load(spark, sf_dir, "pages", "page_id", "url")
-    return filter_urls(page_captures(pages), dated_lists(pages))
+    out = filter_urls(page_captures(pages), dated_lists(pages))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("fetched", "since")})
 
 
 ORACLE_OP7 = r"""
 WITH parsed AS (
   SELECT page_id, url, DATE '2024-01-01' + ((page_id * 37) % 400)::INT AS fetched,
     rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1), '.') AS host,
-    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), p -> p <> '') AS parts
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda p: p <> '') AS parts
   FROM pages
 ), labelled AS (
   SELECT *, string_split(host, '.') AS l FROM parsed WHERE host <> ''
@@ -166,7 +167,7 @@ WITH parsed AS (
   WHERE c.fetched - DATE '2024-01-01' >= s.since AND c.fetched - DATE '2024-01-01' < s.until
   GROUP BY c.page_id
 )
-SELECT p.page_id, p.url, p.fetched, h.page_id IS NOT NULL AS blocked, coalesce(h.entries, 0)::BIGINT AS entries,
-  coalesce(h.lists, '') AS lists, h.since
+SELECT p.page_id, p.url, CAST(p.fetched AS VARCHAR) AS fetched, h.page_id IS NOT NULL AS blocked, coalesce(h.entries, 0)::BIGINT AS entries,
+  coalesce(h.lists, '') AS lists, CAST(h.since AS VARCHAR) AS since
 FROM parsed p LEFT JOIN hits h USING (page_id)
 """

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach, load, written
+from .common import load, written
 
 GRAM, WINDOW = 4, 4
 #: A chosen gram as one long: 39 bits of hash above 24 bits that fall with its place.
@@ -87,23 +87,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return with_chosen(docs, "text", "marks").withColumn("marks", marks(F.col("marks")))
 
 
-def successors(ids: DataFrame) -> DataFrame:
-    """(key, next_key): each distinct id with the next higher one, the last with the first.
+def with_following(docs: DataFrame) -> DataFrame:
+    """Adds ``following``: the text of the next row by id (null last), then by text; the
+    last row is followed by the first.
 
-    ``ids`` has key (unique text) and doc_id; null comes last. Sorted over all tasks;
-    only one count per task's range is ever ordered in one place.
+    The texts are sorted over all tasks into ranges and written; the next row is
+    looked up within a range, and for its last row among the first rows of the
+    ranges. Only those, one per range, are ever ordered in one place. Equal rows are
+    told apart by where they were read, so that a range can end between them.
     """
-    ranged = written(
-        ids.withColumn("last", F.col("doc_id").isNull()).orderBy("last", "doc_id").select("key")
-        .withColumn("at", F.monotonically_increasing_id()), "ids",
-    ).select("key", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("row"))
-    starts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start")
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"), F.monotonically_increasing_id()]
+    ranged = docs.select("doc_id", "text").orderBy(*order).withColumn("at", F.monotonically_increasing_id())
+    ranged = written(ranged, "ordered", "zstd").withColumn("range", F.shiftright("at", 33))
+    by_range = Window.orderBy("range")
+    firsts = ranged.where(F.col("at").bitwiseAND((1 << 33) - 1) == 0).select("range", "text")
+    edges = firsts.select(F.col("range").alias("__range"), F.coalesce(
+        F.lead("text").over(by_range), F.first("text").over(by_range.rowsBetween(Window.unboundedPreceding, 0))
+    ).alias("__edge"))
+    inside = ranged.withColumn("following", F.lead("text").over(Window.partitionBy("range").orderBy("at")))
+    # Both sides lie by range already, so the texts are not moved again.
+    return inside.join(edges.hint("merge"), F.col("range") == F.col("__range")).select(
+        "doc_id", "text", F.coalesce("following", "__edge").alias("following")
     )
-    placed = attach(ranged, starts, "part").select("key", (F.col("start") + F.col("row")).alias("place"))
-    total = ids.count()
-    ahead = placed.select(F.col("key").alias("next_key"), F.pmod(F.col("place") - 1, F.lit(max(total, 1))).alias("place"))
-    return placed.join(ahead, "place").select("key", "next_key")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -116,19 +121,10 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     """Per document: n_chars, edited_sha256, both fingerprints, and their likenesses.
 
     ``docs`` has doc_id and text; nothing else is read. A null text is empty. Rows
-    with an equal id are all followed by the next id; as the next document, an id
-    that repeats stands with its least text. Null ids come last. An id that is alone
-    follows itself. Equal texts have equal fingerprints; one is empty only if the text has no words.
+    with an equal id follow one another by their texts, equal rows too. Null ids come
+    last. A row that is alone follows itself. Equal texts have equal fingerprints.
     """
-    # One shuffle of the texts by id serves both sides of the join.
-    keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("-none-")).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    ).repartition("key")
-    ids = docs.select("doc_id").distinct().withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("-none-")))
-    order = written(successors(ids), "successors")
-    first = Window.partitionBy("key").orderBy("text")
-    nexts = keyed.withColumn("n", F.row_number().over(first)).where("n = 1").select(F.col("key").alias("next_key"), F.col("text").alias("following"))
-    pairs = keyed.join(order.join(nexts, "next_key").drop("next_key"), "key")
+    pairs = with_following(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     pairs = pairs.withColumn("edited", edited(F.col("text"), F.col("following")))
     for c in ("text", "following", "edited"):
         pairs = with_chosen(pairs, c, f"{c}_marks").withColumn(f"{c}_hashes", hashes(F.col(f"{c}_marks")))
