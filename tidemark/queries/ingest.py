@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,14 +12,14 @@ from ..functions import parse_timestamp, partition_value
 from ..operators import children_of, concat_frames, count_rows, number_pages, up_to
 from ..operators.delta import delta_since
 from ..plans import inputs
-from ..plans.bronze import BronzeLoader
+from ..plans.bronze import BronzeLoader, reset_tables
 from ..plans.build import build
 from ..plans.extract import Extractor, sync_drop
 from ..schemas import INGESTED_AT, SOURCE_FILE
 from ..session import shared_folder
-from ..sinks import StateLog, VersionedTable, land_delta, land_snapshot, snapshot_if_changed
+from ..sinks import StateLog, VersionedTable, land_delta, land_snapshot, seed_if_empty, snapshot_if_changed
 from ..sinks.landing import BATCHES, DROPS, ENDPOINTS, SNAPSHOTS, place
-from ..sources import list_files, read_csv_table, read_json_dump, read_json_pages, unprocessed_files
+from ..sources import existing_tables, list_files, read_csv_table, read_json_dump, read_json_pages, unprocessed_files
 
 FIRST_DAY = datetime(2026, 8, 24, 6, 30, 0)
 SECOND_DAY = datetime(2026, 8, 25, 6, 30, 0)
@@ -223,6 +224,39 @@ def ingest_mixed_drop(spark: SparkSession, sf: str) -> DataFrame:
     return concat_frames(loader.read("stream_order_payments").drop(SOURCE_FILE, INGESTED_AT), rejected)
 
 
+def ingest_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments per day with a source file of that day, and with a load time of this run."""
+    begun = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    loader = _drop_payments(spark, sf, shared_folder(spark, "ingest"))
+    day = partition_value(F.col(SOURCE_FILE), "batch_date")
+    return loader.read("stream_order_payments").groupBy(day.alias("batch_date")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if((F.col(INGESTED_AT) >= F.lit(begun)) & (F.col(INGESTED_AT) <= F.current_timestamp())).alias("stamped"),
+    )
+
+
+def catalog_seed_and_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a catalog table that starts empty, is seeded twice from customers, truncated,
+    and seeded once more; and whether it is gone after a drop."""
+    database = f"tidemark_{uuid.uuid4().hex[:12]}"
+    customers = inputs.table(spark, sf, "customer").select("c_custkey", "c_name")
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        spark.sql(f"CREATE TABLE {database}.customers (c_custkey BIGINT, c_name STRING) USING parquet")
+        name, seen = f"{database}.customers", []
+        for step in ("created", "seeded", "seeded again", "truncated", "seeded anew"):
+            if step.startswith("seeded"):
+                seed_if_empty(spark, name, customers)
+            elif step == "truncated":
+                reset_tables(spark, database, ["customers"])
+            seen.append((step, spark.table(name).count()))
+        reset_tables(spark, database, ["customers"], drop=True)
+        seen.append(("dropped", len(existing_tables(spark, database))))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    return spark.createDataFrame(seen, "step string, row_count bigint")
+
+
 def lake_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Extract all sources, load bronze, build silver and gold; rows per model."""
     root = shared_folder(spark, "ingest")
@@ -275,6 +309,6 @@ QUERIES = {
         ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_unprocessed,
         ingest_watermark_delta, ingest_child_delta, ingest_overlap_delta,
         ingest_paged_json, ingest_json_dump, ingest_versioned_latest, snapshot_changed,
-        ingest_modified_since, ingest_mixed_drop, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
+        ingest_modified_since, ingest_mixed_drop, ingest_lineage, catalog_seed_and_reset, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
     )
 }

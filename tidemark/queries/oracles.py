@@ -554,6 +554,13 @@ ORACLES: dict[str, str] = {
     "ingest_mixed_drop": _sql(
         "SELECT *, CAST(NULL AS BIGINT) AS n_rejected FROM stream_order_payments "
         "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 1"),
+    "ingest_lineage": """
+        SELECT strftime(ts, '%Y-%m-%d') AS batch_date, count(*) AS row_count, count(*) AS stamped
+        FROM events WHERE event_type = 'purchase' GROUP BY ALL""",
+    "catalog_seed_and_reset": """
+        SELECT step, CASE WHEN step LIKE 'seeded%' THEN n ELSE 0 END AS row_count
+        FROM (SELECT count(*) AS n FROM customer),
+             (VALUES ('created'), ('seeded'), ('seeded again'), ('truncated'), ('seeded anew'), ('dropped')) AS t(step)""",
     "lake_to_gold": _ROW_COUNTS,
     "ingest_csv": """
         SELECT o_orderkey, o_custkey, o_totalprice,
