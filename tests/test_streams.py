@@ -1,10 +1,13 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from tidemark.sinks import StateLog
 from tidemark.streaming import (
-    commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, run_to_folder,
+    commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, read_committed,
+    run_to_folder,
 )
 
 AT = datetime(2024, 1, 1, 12)
@@ -79,3 +82,17 @@ def test_parent_and_child_commit_repeats_cleanly(spark, rows, tmp_path):
         commit_parent_and_child(rows("k int", *[(i,) for i in ids]), items, "k", folders, batch_id)
     assert values(spark.read.parquet(folders[0]), "k") == [(1,), (2,)]
     assert values(spark.read.parquet(folders[1]), "k", "n") == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_readers_see_both_parts_of_a_batch_or_neither(spark, rows, tmp_path):
+    folders, log = (f"{tmp_path}/orders", f"{tmp_path}/items"), StateLog(spark, f"{tmp_path}/log")
+    items = rows("k int, n int", (1, 1), (2, 1))
+    seen = lambda: [values(df, "k") for df in read_committed(spark, folders, ("k int", "k int, n int"), log)]
+    assert seen() == [[], []]
+    commit_parent_and_child(rows("k int", (1,)), items, "k", folders, 0, log)
+    with pytest.raises(Exception, match="died"):  # the children's part fails after the parents are written
+        bad = items.withColumn("n", F.raise_error(F.lit("died")).cast("int"))
+        commit_parent_and_child(rows("k int", (2,)), bad, "k", folders, 1, log)
+    assert seen() == [[(1,)], [(1,)]]
+    commit_parent_and_child(rows("k int", (2,)), items, "k", folders, 1, log)
+    assert seen() == [[(1,), (2,)], [(1,), (2,)]]

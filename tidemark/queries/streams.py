@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import concat_frames
 from ..plans import inputs
 from ..session import shared_folder
+from ..sinks import StateLog
 from ..streaming import (
-    commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, run_to_folder,
+    commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, read_committed,
+    run_to_folder,
 )
 
 EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -86,11 +88,11 @@ def stream_commit_pairs(spark: SparkSession, sf: str) -> DataFrame:
     orders = inputs.orders(spark, sf).select("order_id", "customer_id", "order_purchase_timestamp")
     items = inputs.order_items(spark, sf).select("order_id", "order_item_id", "price")
     orders.write.parquet(f"{root}/in")
-    folders = (f"{root}/orders", f"{root}/items")
+    folders, log = (f"{root}/orders", f"{root}/items"), StateLog(spark, f"{root}/committed")
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         for _ in range(2):
-            commit_parent_and_child(batch, items, "order_id", folders, batch_id)
+            commit_parent_and_child(batch, items, "order_id", folders, batch_id, log)
 
     stream = spark.readStream.schema(orders.schema).option("maxFileAge", "36500d").parquet(f"{root}/in")
     running = (
@@ -98,9 +100,11 @@ def stream_commit_pairs(spark: SparkSession, sf: str) -> DataFrame:
         .trigger(availableNow=True).start()
     )
     running.awaitTermination()
-    counted = spark.read.parquet(folders[1]).groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_items"), F.sum("price").alias("total"))
-    return spark.read.parquet(folders[0]).drop("_batch_id").join(counted, "order_id", "left")
+    schemas = ("order_id string, customer_id string, order_purchase_timestamp timestamp_ntz",
+               "order_id string, order_item_id int, price decimal(12,2)")
+    parents, children = read_committed(spark, folders, schemas, log)
+    counted = children.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"), F.sum("price").alias("total"))
+    return parents.join(counted, "order_id", "left")
 
 
 QUERIES = {

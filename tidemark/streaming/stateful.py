@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .incremental import overwrite_batch
+from ..sinks.state import StateLog
+from .incremental import BATCH_ID, overwrite_batch, read_batches
 
 
 def dedup_stream(
@@ -60,15 +61,36 @@ def join_when_parent_arrives(
 
 def commit_parent_and_child(
     parents: DataFrame, children: DataFrame, key: str, folders: tuple[str, str], batch_id: int,
+    log: StateLog | None = None,
 ) -> None:
     """Write parents, then the children that go with them, under one batch id.
 
-    Either is replaced as a whole when the batch is repeated, so both tables
-    hold the batch once. Meant for use inside ``foreachBatch``.
+    Either is replaced as a whole when the batch is repeated, so both tables hold the
+    batch once. With a ``log`` the batch is published after both are written, and
+    ``read_committed`` shows both parts of it or neither. Meant for ``foreachBatch``,
+    whose batch ids go up.
     """
-    overwrite_batch(parents, folders[0], batch_id)
-    mine = children.join(parents.select(key), key, "left_semi").select(*children.columns)
-    overwrite_batch(mine, folders[1], batch_id)
+    parents = parents.persist()
+    try:
+        overwrite_batch(parents, folders[0], batch_id)
+        mine = children.join(parents.select(key), key, "left_semi").select(*children.columns)
+        overwrite_batch(mine, folders[1], batch_id)
+    finally:
+        parents.unpersist()
+    if log is not None:
+        log.put("batch", str(batch_id))
+
+
+def read_committed(
+    spark: SparkSession, folders: tuple[str, str], schemas: tuple[str, str], log: StateLog
+) -> tuple[DataFrame, DataFrame]:
+    """Parents and children of the published batches."""
+    last = int(log.get("batch", "-1"))
+    parents, children = (
+        read_batches(spark, folder, schema).where(F.col(BATCH_ID) <= last).drop(BATCH_ID)
+        for folder, schema in zip(folders, schemas, strict=True)
+    )
+    return parents, children
 
 
 def run_to_folder(stream: DataFrame, folder: str, checkpoint: str) -> None:
