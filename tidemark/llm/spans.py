@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, written
 
 MIN_WORDS, MIN_SENTENCES = 20, 2
 #: A sentence of so many words counts as several; a repeated one is enough.
@@ -90,14 +90,15 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id, text_hash and text. Earlier means a lower id (null last), then
     a lower text hash, then a lower sentence. The hash of a run that is everywhere is
-    reduced to one row per task before the shuffle; in the join, adaptive execution
-    splits it.
+    reduced to one row per task before the shuffle. Repeated runs are written first, so
+    that both sides of the join are plain shuffles, which adaptive execution can split.
     """
     table = run_table(docs)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "sentence")
-    firsts = (
+    firsts = written(
         table.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select(F.col("high").alias("__high"), F.col("low").alias("__low"), "first")
+        .where("n > 1").select(F.col("high").alias("__high"), F.col("low").alias("__low"), "first"),
+        "repeats",
     )
     meet = (F.col("high") == F.col("__high")) & (F.col("low") == F.col("__low"))
     later = table.join(firsts, meet).where(place != F.col("first"))
@@ -110,17 +111,17 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     )
 
 
-def without(text: str | None, removed) -> tuple[str | None, int]:
-    """The text without those sentences, and how many it had."""
-    spans = sentences(text)
+def without(text: str | None, removed) -> str | None:
+    """The text without those sentences."""
     if removed is None or not len(removed):
-        return text, len(spans)
+        return text
     gone = set(removed)
-    return "".join(text[a:b] for k, (a, b) in enumerate(spans) if k not in gone), len(spans)
+    return "".join(text[a:b] for k, (a, b) in enumerate(sentences(text)) if k not in gone)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text left, and n_sentences, n_removed and repeats_of added.
+    """``docs`` with the text left, and n_removed (sentences) and repeats_of (where they
+    stood first) added.
 
     Words are compared in lower case, whatever white space parts them. A null text
     stays null, an empty one empty. Rows equal in id and text are one document and
@@ -128,22 +129,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     count as last. Long texts are read whole. Other columns pass through, also those
     named like an added one, which comes in their place.
     """
-    added = ("n_sentences", "n_removed", "repeats_of")
+    added = ("n_removed", "repeats_of")
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", F.struct("*").alias("row"))
     found = repeated_sentences(rows.select("doc_id", "text_hash", "text")).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "removed", "repeats_of"
     )
 
-    @F.pandas_udf("text string, n int")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, removed in batches:
-            yield pd.DataFrame([without(t, r) for t, r in zip(texts, removed, strict=True)], columns=["text", "n"])
+            yield pd.Series([without(t, r) for t, r in zip(texts, removed, strict=True)], dtype="object")
 
     meet = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
     out = rows.join(found, meet, "left").withColumn("cut", cut("text", "removed"))
-    kept = [F.col("cut.text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in added]
+    kept = [F.col("cut").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in added]
     return out.select(
-        *kept, F.col("cut.n").alias("n_sentences"), F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        *kept, F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
         F.coalesce("repeats_of", F.array().cast("array<bigint>")).alias("repeats_of"),
     )
 
