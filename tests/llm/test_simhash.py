@@ -56,7 +56,7 @@ def test_documents_match_brute_force(spark):
     assert got == want and len({c for _, c in want.values()}) < len(want)
 
 
-@pytest.mark.parametrize("block", [8192, 7])
+@pytest.mark.parametrize("block", [512, 7])
 def test_links_connect_what_is_near(spark, block):
     """Chains, clusters and far prints; also with tiles cut into small blocks."""
     rnd = random.Random(3)

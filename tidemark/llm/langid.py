@@ -29,8 +29,10 @@ from .common import load, sample_ids
 TRAIN_DOCS, TRAIN_WORDS, MOST_WORDS, MOST_RUNS = 2000, 400, 20_000, 20_000
 #: … and from so many documents over all languages.
 TRAIN_TOTAL = 20_000
+#: … and so many in all languages together, since each entry has a number per language.
+MOST_ENTRIES = 100_000
 #: Languages are counted before any is learned; more than this is an error in the labels.
-MOST_LANGUAGES = 1000
+MOST_LANGUAGES = 50
 LONGEST_RUN = 5
 #: A word counts as known from so many training documents of any language on.
 KNOWN_FROM = 2
@@ -63,6 +65,7 @@ class Model:
         self.languages = sorted({lang for _, lang in samples})
         words = {lang: Counter() for lang in self.languages}
         texts: Counter = Counter()
+        most = MOST_ENTRIES // max(len(self.languages), 1)
         for text, lang in samples:
             found = words_of(text)[:TRAIN_WORDS]
             words[lang].update(found)
@@ -73,10 +76,10 @@ class Model:
                 for k in range(LONGEST_RUN):
                     for run in runs_of(word, k + 1):
                         runs[k][lang][run] += n
-        known = {w for lang in self.languages for w in self._most(words[lang], MOST_WORDS) if texts[w] >= KNOWN_FROM}
+        known = {w for lang in self.languages for w in self._most(words[lang], min(MOST_WORDS, most)) if texts[w] >= KNOWN_FROM}
         self.words = self._logs(words, known)
         self.runs = [
-            self._logs(r, {x for lang in self.languages for x in self._most(r[lang], MOST_RUNS)}) for r in runs
+            self._logs(r, {x for lang in self.languages for x in self._most(r[lang], min(MOST_RUNS, most))}) for r in runs
         ]
         self.unseen: dict[str, list[float]] = {}
 

@@ -25,8 +25,10 @@ RADIUS = 3
 SEED = 42
 PARTS = 4
 PART_BITS = 64 // PARTS
-BLOCK = 8192
-#: Rows of a comparison done at once: 512 x 8192 words of 8 bytes are 32 MB.
+#: Fingerprints of a block. A row of the comparison holds two blocks, so 8 kB at most, and the
+#: 10,000 rows of a batch for Python 80 MB.
+BLOCK = 512
+#: Rows of a comparison done at once: 512 x 512 words of 8 bytes are 2 MB.
 STRIP = 512
 
 
