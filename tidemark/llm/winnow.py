@@ -88,15 +88,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def with_following(docs: DataFrame) -> DataFrame:
-    """Adds ``following``: the text of the next row by id (null last), then by text; the
-    last row is followed by the first.
+    """Adds ``following``: the text of the next row by id (null last), then by a hash of
+    the text; the last row is followed by the first.
 
     The texts are sorted over all tasks into ranges and written; the next row is
     looked up within a range, and for its last row among the first rows of the
     ranges. Only those, one per range, are ever ordered in one place. Equal rows are
     told apart by where they were read, so that a range can end between them.
     """
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"), F.monotonically_increasing_id()]
+    # Spark samples the sort keys to set the ranges; no texts are among them.
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
     ranged = docs.select("doc_id", "text").orderBy(*order).withColumn("at", F.monotonically_increasing_id())
     ranged = written(ranged, "ordered", "zstd").withColumn("range", F.shiftright("at", 33))
     by_range = Window.orderBy("range")
@@ -121,8 +122,8 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     """Per document: n_chars, edited_sha256, both fingerprints, and their likenesses.
 
     ``docs`` has doc_id and text; nothing else is read. A null text is empty. Rows
-    with an equal id follow one another by their texts, equal rows too. Null ids come
-    last. A row that is alone follows itself. Equal texts have equal fingerprints.
+    with an equal id follow one another by a hash of their texts, equal rows too. Null
+    ids come last. A row that is alone follows itself. Equal texts have equal fingerprints.
     """
     pairs = with_following(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     pairs = pairs.withColumn("edited", edited(F.col("text"), F.col("following")))
