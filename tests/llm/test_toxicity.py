@@ -108,6 +108,16 @@ def test_documents_and_threshold(spark):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
 
 
+def test_held_out_accuracy(spark):
+    """On the given table with enough labels to learn from (some 4,000)."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [r for r in toxicity.op6_toxicity(spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
+    clean, toxic = ([r["predicted"] for r in held if labels[r["doc_id"]] == y] for y in (0, 1))
+    assert len(toxic) > 100 and sum(toxic) >= 0.85 * len(toxic)
+    assert len(clean) - sum(clean) >= 0.97 * len(clean)
+
+
 def test_nulls_empty_columns_and_no_labels(rows):
     data, labels = texts(120, 2)
     docs = rows(
