@@ -85,3 +85,42 @@ def test_nulls_empty_repeats_columns(rows):
     got = sorted(((r["doc_id"] or 9, r["text"], r["n_removed"]) for r in out.collect()), key=str)
     assert got == sorted([(1, text, 0), (1, text, 0), (2, None, 0), (3, "", 0), (4, "", 3), (9, "", 3)], key=str)
     assert spans.remove_repeats(docs.where("false")).count() == 0
+
+
+def every_run(docs):
+    """doc_id -> removed sentences, from all runs of any length; ids must differ."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(docs):
+        parts = [text[a:b].lower().split() for a, b in spans.sentences(text)]
+        gone = set()
+        for i in range(len(parts)):
+            for j in range(i + 1, len(parts) + 1):
+                words = sum(map(len, parts[i:j]))
+                if (j - i == 1 and words >= 30) or (j - i >= 2 and words >= 20):
+                    key = hash(tuple(w for p in parts[i:j] for w in p))
+                    if key in seen:
+                        gone |= set(range(i, j))
+                    seen.add(key)
+        out[doc_id] = gone
+    return out
+
+
+def test_the_last_sentences_of_a_span_go_too(rows):
+    rnd = random.Random(4)
+    passage = " ".join(sentence(rnd, n) for n in (12, 10, 5))
+    docs = [(k, f"{sentence(rnd, 9)} {passage} {sentence(rnd, 25)}") for k in (1, 2)]
+    out = {r["doc_id"]: r for r in spans.remove_repeats(rows("doc_id long, text string", *docs)).collect()}
+    assert out[1]["n_removed"] == 0 and out[2]["n_removed"] == 3 and passage[-10:] not in out[2]["text"]
+
+
+def test_all_runs_of_any_length_are_covered(spark, rows):
+    rnd = random.Random(11)
+    pool = [sentence(rnd, n) for n in (1, 2, 3, 5, 5, 7, 8, 10, 12, 15, 19, 21, 29, 30, 40)]
+    made = [(k, " ".join(rnd.choice(pool) if rnd.random() < 0.7 else sentence(rnd, rnd.randint(1, 35)) for _ in range(30))) for k in range(80)]
+    given = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    for docs in (made, given):
+        want = every_run(docs)
+        out = spans.remove_repeats(rows("doc_id long, text string", *docs)).collect()
+        assert {r["doc_id"]: r["n_removed"] for r in out} == {i: len(gone) for i, gone in want.items()}
+        texts = dict(docs)
+        assert all(r["text"] == spans.without(texts[r["doc_id"]], sorted(want[r["doc_id"]])) for r in out)

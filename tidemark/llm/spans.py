@@ -1,8 +1,8 @@
 """Substring dedup: repeated runs of consecutive sentences.
 
-At every sentence starts one run: the shortest that has at least two sentences and
-20 words. What a run is depends on its own text only, so a passage gives the same
-runs wherever it stands. Runs are joined by a 128-bit hash over all documents; all
+At every sentence starts one run and ends one run: the shortest that has at least two
+sentences and 20 words. What a run is depends on its own text only, so a passage gives
+the same runs wherever it stands, and these cover every sentence of it. Runs are joined by a 128-bit hash over all documents; all
 sentences of a run that stood earlier are removed.
 """
 
@@ -37,10 +37,16 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
 
 
 def runs(text: str | None) -> list[tuple[int, int, bytes]]:
-    """(first sentence, sentences, words as bytes) for each start that has a run."""
+    """(first sentence, sentences, words as bytes): for each start the shortest run, and
+    for each end the shortest run that is not yet among those.
+
+    A repeated span is covered to its last sentence: its starts give runs up to the
+    last start that has one within the span, and the run that ends with the span
+    begins there.
+    """
     parts = [text[a:b].lower().split() for a, b in sentences(text)]
     counts = [len(p) for p in parts]
-    out, end, words = [], 0, 0
+    found, end, words = [], 0, 0
     for i in range(len(parts)):
         if end < i:
             end, words = i, 0
@@ -48,9 +54,16 @@ def runs(text: str | None) -> list[tuple[int, int, bytes]]:
             words += counts[end]
             end += 1
         if _enough(counts, i, end, words):
-            out.append((i, end - i, " ".join(w for p in parts[i:end] for w in p).encode()))
+            found.append((i, end))
         words -= counts[i] if end > i else 0
-    return out
+    # The shortest run to an end starts where the last run within that end does.
+    last = dict((end, i) for i, end in found)
+    have, i = set(found), None
+    for end in range(1, len(parts) + 1):
+        i = last.get(end, i)
+        if i is not None and (i, end) not in have:
+            found.append((i, end))
+    return [(i, end - i, " ".join(w for p in parts[i:end] for w in p).encode()) for i, end in found]
 
 
 def _enough(counts: list[int], first: int, end: int, words: int) -> bool:
