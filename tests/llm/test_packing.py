@@ -141,3 +141,31 @@ def test_nulls_empty_repeats_and_clashing_columns(rows):
     assert sum(r["length"] for r in by[3]) == 2 * len(packing.token_ids("word " * 3000))
     assert len({(r["sequence_id"], r["offset"]) for r in out}) == len(out)
     assert packing.pack_documents(docs.where("false")).collect() == []
+
+
+@pytest.fixture(scope="module")
+def as_loaded():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("text", [
+    " " * 2_000_000 + "x", "\n" * 1_200_000, "a b" + "\t" * 1_100_000 + "!" + " \n" * 600_000 + " \r　" * 400_000 + "9",
+])
+def test_millions_of_blanks_have_the_ids_of_the_json_file(as_loaded, text):
+    assert packing.token_ids(text).tolist() == [*as_loaded.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_runs_of_blanks_are_cut_where_the_pattern_cuts(as_loaded, monkeypatch):
+    monkeypatch.setattr(packing, "LONG_BLANK", 2)
+    monkeypatch.setattr(packing, "BLANKS", packing.regex.compile(r"\p{White_Space}{2,}"))
+    rnd = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rnd.choice([" ", " ", "\n", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", " ", "　", "​",
+                                   "a", "it's", "'", "7", "é", "!", "中"]) for _ in range(rnd.randint(1, 25)))
+        assert packing.token_ids(text).tolist() == [*as_loaded.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_a_document_of_blanks_loses_no_document(rows):
+    docs = rows("doc_id long, text string", (1, "one"), (2, " " * 2_000_000 + "x"), (3, "three"))
+    out = packing.pack_documents(docs).collect()
+    assert {r["doc_id"] for r in out} == {1, 2, 3} and sum(r["length"] for r in out if r["doc_id"] == 2) == 2_000_001

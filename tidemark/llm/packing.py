@@ -19,6 +19,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,10 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k"
 #: Short pieces that one task packs together, on average.
 GROUP_PIECES = 16_384
+#: Blanks in a row from which on they are encoded without the library's pattern, whose
+#: stack overflows at some 1,000,000.
+LONG_BLANK = 100_000
+BLANKS = regex.compile(rf"\p{{White_Space}}{{{LONG_BLANK},}}")
 #: Accepted exchanges per piece after which the search of a group ends.
 EFFORT = 4
 
@@ -49,9 +54,26 @@ def encoder(name: str):
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def plain_ids(text: str, bpe) -> list[int]:
+    """Ids of a text; long runs of blanks are cut out where the pattern would cut them.
+
+    The pattern takes all blanks of a run at the end of a text, and else all but the
+    last, which goes to what follows.
+    """
+    if len(text) < LONG_BLANK:
+        return bpe.encode_ordinary(text)
+    ids, at = [], 0
+    for run in BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        ids += bpe.encode_ordinary(text[at:run.start()])
+        ids += bpe._encode_single_piece(text[run.start():end])
+        at = end
+    return ids + bpe.encode_ordinary(text[at:])
+
+
 def token_ids(text: str | None, name: str = TOKENIZER, end: int = END_ID) -> np.ndarray:
     """Ids of the text, then the end mark; a null text is an empty one."""
-    ids = encoder(name).encode_ordinary(text) if text else []
+    ids = plain_ids(text, encoder(name)) if text else []
     return np.array([*ids, end], dtype="<u4")
 
 
