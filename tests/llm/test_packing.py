@@ -169,3 +169,23 @@ def test_a_document_of_blanks_loses_no_document(rows):
     docs = rows("doc_id long, text string", (1, "one"), (2, " " * 2_000_000 + "x"), (3, "three"))
     out = packing.pack_documents(docs).collect()
     assert {r["doc_id"] for r in out} == {1, 2, 3} and sum(r["length"] for r in out if r["doc_id"] == 2) == 2_000_001
+
+
+def test_added_tokens_are_those_of_the_json_file(as_loaded):
+    import json
+
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as f:
+        added = json.load(f)["added_tokens"]
+    assert {t["content"]: t["id"] for t in added} == packing.ADDED["byte_bpe_50k"]
+    assert not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+
+
+def test_added_tokens_in_texts_have_their_ids(as_loaded):
+    assert packing.token_ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275, 2]
+    rnd = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rnd.choice(["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "<|", " ", "  ", "\n", "a", "'s", "é", "."])
+                       for _ in range(rnd.randint(1, 12)))
+        assert packing.token_ids(text).tolist() == [*as_loaded.encode(text, add_special_tokens=False).ids, 2]
+    long = "x <|endoftext|>" + " " * 1_200_000 + "<|endoftext|>" + "\n" * 1_100_000 + "y"
+    assert packing.token_ids(long).tolist() == [*as_loaded.encode(long, add_special_tokens=False).ids, 2]

@@ -28,6 +28,8 @@ from .common import load, written
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k"
+#: Added tokens of the JSON file, which its library finds in texts before anything else.
+ADDED = {"byte_bpe_50k": {"<|endoftext|>": 50256}}
 #: Short pieces that one task packs together, on average.
 GROUP_PIECES = 16_384
 #: Blanks in a row from which on they are encoded without the library's pattern, whose
@@ -72,8 +74,13 @@ def plain_ids(text: str, bpe) -> list[int]:
 
 
 def token_ids(text: str | None, name: str = TOKENIZER, end: int = END_ID) -> np.ndarray:
-    """Ids of the text, then the end mark; a null text is an empty one."""
-    ids = plain_ids(text, encoder(name)) if text else []
+    """Ids of the text, added tokens included, then the end mark; a null text is an empty one."""
+    ids, added = [], ADDED.get(name, {})
+    for part in regex.split("(" + "|".join(map(regex.escape, added)) + ")", text or "") if added else [text or ""]:
+        if part in added:
+            ids.append(added[part])
+        elif part:
+            ids += plain_ids(part, encoder(name))
     return np.array([*ids, end], dtype="<u4")
 
 
