@@ -59,3 +59,36 @@ def test_nulls_letters_repeats_columns(rows):
     none = langid.fit(docs.where("false"))
     assert {r["lang_pred"] for r in langid.with_language(new, none).collect()} == {"und"}
     assert langid.with_language(new.where("false"), model).count() == 0
+
+
+def test_more_than_fifty_languages_are_learned(rows):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a + b for a in letters for b in letters][:130]
+    docs = rows(
+        "doc_id long, text string, lang string",
+        *[(k * 10 + i, f"{name}qu{name} the {name * 3} one", name) for k, name in enumerate(names) for i in range(10)])
+    model = langid.fit(docs)
+    new = rows("doc_id long, text string", *[(k, f"{name}qu{name} {name * 3}") for k, name in enumerate(names)])
+    out = {r["doc_id"]: r["lang_pred"] for r in langid.with_language(new, model).collect()}
+    assert out == dict(enumerate(names))
+
+
+def test_scores_are_smoothed_log_frequencies():
+    import math
+
+    model = langid.Model([("aa aa bb", "x"), ("aa cc", "y"), ("cc dd", "z")])
+    # Known from two texts on: aa and cc.
+    totals = {"x": 3 + 2 + 1, "y": 2 + 2 + 1, "z": 2 + 2 + 1}
+    assert [round(v, 12) for v in model.score("aa")] == [
+        round(math.log((n + 1) / totals[lang]), 12) for lang, n in (("x", 2), ("y", 1), ("z", 0))]
+
+
+def test_samples_of_any_number_of_groups(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import common
+
+    rows = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, F.col("id") % 300).otherwise(-1).alias("g"))
+    want = common.sample_ids(rows, "g", 20, 301)
+    got = common.sample_ids(rows, "g", 20)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 300 * 10 + 20

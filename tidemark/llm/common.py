@@ -46,11 +46,12 @@ def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def sample_ids(rows: DataFrame, by: str, most: int, most_groups: int) -> DataFrame:
+def sample_ids(rows: DataFrame, by: str, most: int, most_groups: int | None = None) -> DataFrame:
     """A bounded sample: of each value of ``by`` at most ``most`` distinct ids, by a hash of the id.
 
     Columns doc_id and ``by``; null ids and values are left out, and ids with several
-    values. Groups are counted first; their number must be within ``most_groups``.
+    values. Groups are counted first; their number must be within ``most_groups`` if
+    that is given, and else the counts are written and joined, however many there are.
     The hash is cut off at twice the share wanted before any rows are ranked, so
     a rank is taken over few rows whatever the size of the table.
     """
@@ -60,14 +61,23 @@ def sample_ids(rows: DataFrame, by: str, most: int, most_groups: int) -> DataFra
         .agg(F.min(by).alias(by), F.max(by).alias("__most")).where(F.col(by) == F.col("__most"))
         .select("doc_id", by, F.xxhash64("doc_id").alias("__key"))
     )
-    counts = ids.groupBy(by).agg(F.count(F.lit(1)).alias("n")).limit(most_groups + 1).collect()
+    counts = ids.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    ranked = Window.partitionBy(by).orderBy("__key", "doc_id")
+    if most_groups is None:
+        above = (F.lit(float(most << 65)) / F.col("n")).cast("long")  # of 2^64, twice the share
+        cut = F.when(F.col("n") <= 4 * most, F.lit((1 << 63) - 1)).otherwise(above + F.lit(-(1 << 63)))
+        found = attach(ids, written(counts, "groups").select(by, cut.alias("__cut")), by)
+        return (
+            found.where(F.col("__key") <= F.col("__cut"))
+            .withColumn("__rank", F.row_number().over(ranked)).where(F.col("__rank") <= most).select("doc_id", by)
+        )
+    counts = counts.limit(most_groups + 1).collect()
     if len(counts) > most_groups:
         raise ValueError(f"more than {most_groups} values of {by}")
     if not counts:
         return ids.select("doc_id", by)
     cuts = [(r[by], (1 << 63) - 1 if r["n"] <= 4 * most else -(1 << 63) + (1 << 64) * 2 * most // r["n"]) for r in counts]
     cuts = spark.createDataFrame(cuts, f"`{by}` {rows.schema[by].dataType.simpleString()}, __cut long")
-    ranked = Window.partitionBy(by).orderBy("__key", "doc_id")
     return (
         ids.join(F.broadcast(cuts), by).where(F.col("__key") <= F.col("__cut"))
         .withColumn("__rank", F.row_number().over(ranked)).where(F.col("__rank") <= most).select("doc_id", by)

@@ -27,12 +27,10 @@ from .common import load, sample_ids
 #: of their id, and from the first so many words of each of them. It keeps at most so
 #: many words, and runs of each length, per language. Predictions read whole texts.
 TRAIN_DOCS, TRAIN_WORDS, MOST_WORDS, MOST_RUNS = 2000, 400, 20_000, 20_000
-#: … and from so many documents over all languages.
+#: … and from so many documents over all languages, however many those are (but one of each).
 TRAIN_TOTAL = 20_000
-#: … and so many in all languages together, since each entry has a number per language.
+#: … and so many in all languages together (but one of each).
 MOST_ENTRIES = 100_000
-#: Languages are counted before any is learned; more than this is an error in the labels.
-MOST_LANGUAGES = 50
 LONGEST_RUN = 5
 #: A word counts as known from so many training documents of any language on.
 KNOWN_FROM = 2
@@ -59,13 +57,19 @@ def runs_of(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies per language, smoothed by one count."""
+    """Log frequencies per language, smoothed by one count.
+
+    A table's entry holds the languages that know it and their gains, log(count + 1),
+    over what the language gives to an entry that it has not met (``bases``). So the
+    size follows what was read, not entries times languages. Behind the languages'
+    numbers, one for each table stands for its bases.
+    """
 
     def __init__(self, samples: list[tuple[str, str]]):
         self.languages = sorted({lang for _, lang in samples})
         words = {lang: Counter() for lang in self.languages}
         texts: Counter = Counter()
-        most = MOST_ENTRIES // max(len(self.languages), 1)
+        most = max(1, MOST_ENTRIES // max(len(self.languages), 1))
         for text, lang in samples:
             found = words_of(text)[:TRAIN_WORDS]
             words[lang].update(found)
@@ -77,54 +81,88 @@ class Model:
                     for run in runs_of(word, k + 1):
                         runs[k][lang][run] += n
         known = {w for lang in self.languages for w in self._most(words[lang], min(MOST_WORDS, most)) if texts[w] >= KNOWN_FROM}
-        self.words = self._logs(words, known)
+        self.bases: list[list[float]] = []
+        self.words = self._table(words, known)
         self.runs = [
-            self._logs(r, {x for lang in self.languages for x in self._most(r[lang], min(MOST_RUNS, most))}) for r in runs
+            self._table(r, {x for lang in self.languages for x in self._most(r[lang], min(MOST_RUNS, most))}) for r in runs
         ]
-        self.unseen: dict[str, list[float]] = {}
+        self.unseen: dict[str, tuple] = {}
 
     @staticmethod
     def _most(counts: Counter, n: int) -> list[str]:
         return sorted(counts, key=lambda x: (-counts[x], x))[:n]
 
-    def _logs(self, counts: dict[str, Counter], kept: set[str]) -> dict[str, tuple[float, ...]]:
-        totals = [sum(counts[lang].values()) + len(kept) + 1 for lang in self.languages]
-        return {
-            x: tuple(math.log((counts[lang][x] + 1) / t) for lang, t in zip(self.languages, totals, strict=True)) for x in kept
-        }
-
-    def score_unseen(self, word: str) -> list[float]:
+    def _table(self, counts: dict[str, Counter], kept: set[str]) -> dict[str, tuple]:
+        """Entry -> (numbers, values): the gains, and 1 for the bases of this table."""
+        own = len(self.languages) + len(self.bases)
+        self.bases.append([-math.log(sum(counts[lang].values()) + len(kept) + 1) for lang in self.languages])
+        at, gains = {x: [] for x in kept}, {x: [] for x in kept}
+        for k, lang in enumerate(self.languages):
+            for x, n in counts[lang].items():
+                if x in kept:
+                    at[x].append(k)
+                    gains[x].append(math.log(n + 1))
+        same: dict[tuple, tuple] = {}  # many entries have the same languages
+        return {x: (same.setdefault(t := (*at[x], own), t), (*gains[x], 1.0)) for x in sorted(kept)}
+
+    def _unseen(self, word: str) -> tuple:
         """The mean over the places of a word, each by the longest run known there."""
-        edged, sums, places, at = f" {word} ", [0.0] * len(self.languages), 0, 0
+        edged, sums, places, at = f" {word} ", {}, 0, 0
         while at < len(edged):
             for n in range(min(LONGEST_RUN, len(edged) - at), 0, -1):
-                logs = self.runs[n - 1].get(edged[at:at + n])
-                if logs is not None:
-                    sums = [a + b for a, b in zip(sums, logs, strict=True)]
+                entry = self.runs[n - 1].get(edged[at:at + n])
+                if entry is not None:
+                    for k, v in zip(*entry):
+                        sums[k] = sums.get(k, 0.0) + v
                     places += 1
                     break
             at += 1
-        return [a / places for a in sums] if places else sums
-
-    def score(self, word: str):
-        logs = self.words.get(word)
-        if logs is None:
-            logs = self.unseen.get(word)
-        if logs is None:
-            logs = self.score_unseen(word)
+        return tuple(sums), tuple([v / places for v in sums.values()])
+
+    def _entry(self, word: str) -> tuple:
+        entry = self.words.get(word)
+        if entry is None:
+            entry = self.unseen.get(word)
+        if entry is None:
+            entry = self._unseen(word)
             if len(self.unseen) >= REMEMBERED:
                 self.unseen.clear()
-            self.unseen[word] = logs
-        return logs
+            self.unseen[word] = entry
+        return entry
+
+    def _whole(self, sums: list[float]) -> list[float]:
+        """A number per language, from gains followed by a weight per table."""
+        out = sums[:len(self.languages)]
+        for weight, base in zip(sums[len(out):], self.bases, strict=True):
+            if weight:
+                out = [a + weight * b for a, b in zip(out, base, strict=True)]
+        return out
+
+    def _add(self, sums: list[float], entry: tuple, n: int) -> None:
+        for k, v in zip(*entry):
+            sums[k] += n * v
+
+    def _none(self) -> list[float]:
+        return [0.0] * (len(self.languages) + len(self.bases))
+
+    def score_unseen(self, word: str) -> list[float]:
+        self._add(sums := self._none(), self._unseen(word), 1)
+        return self._whole(sums)
+
+    def score(self, word: str) -> list[float]:
+        self._add(sums := self._none(), self._entry(word), 1)
+        return self._whole(sums)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share of the likelihood (per word, so long texts keep a scale)."""
         counts = Counter(words_of(text))
         if not counts or not self.languages:
             return NONE, 0.0
-        sums = [0.0] * len(self.languages)
+        sums = self._none()
         for word, n in counts.items():
-            sums = [a + n * b for a, b in zip(sums, self.score(word), strict=True)]
+            for k, v in zip(*self._entry(word)):
+                sums[k] += n * v
+        sums = self._whole(sums)
         best = max(range(len(sums)), key=lambda k: (sums[k], -k))
         # A text of few words is less certain than a long one: up to ten words count in full.
         scale = min(counts.total(), 10) / counts.total()
@@ -139,11 +177,13 @@ def training_rows(docs: DataFrame) -> DataFrame:
     ids alone.
     """
     usable = docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
-    languages = usable.where("lang IS NOT NULL").select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
-    ids = sample_ids(usable, "lang", max(1, min(TRAIN_DOCS, TRAIN_TOTAL // max(languages, 1))), MOST_LANGUAGES)
+    languages = usable.where("lang IS NOT NULL").select("lang").distinct().count()
+    ids = sample_ids(usable, "lang", max(1, min(TRAIN_DOCS, TRAIN_TOTAL // max(languages, 1))))
+    if languages <= TRAIN_TOTAL:  # so at most that many ids
+        ids = F.broadcast(ids)
     return (
         usable.select("doc_id", F.substring("text", 1, TRAIN_WORDS * 12).alias("text"))
-        .join(F.broadcast(ids), "doc_id")  # at most TRAIN_TOTAL ids
+        .join(ids, "doc_id")
         .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).where("text IS NOT NULL")
     )
 
