@@ -92,3 +92,13 @@ def test_samples_of_any_number_of_groups(spark):
     want = common.sample_ids(rows, "g", 20, 301)
     got = common.sample_ids(rows, "g", 20)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 300 * 10 + 20
+
+
+def test_words_are_taken_from_all_over_a_text(rows):
+    text = "boilerplate " * 3000 + "später " * 3000
+    got = langid.words_from_all_over(text).split()
+    assert len(got) == langid.TRAIN_WORDS and 150 < got.count("später") < 250 and got == sorted(got)
+    assert langid.words_from_all_over("One, two.") == "One, two." and langid.words_from_all_over(None) is None
+    assert langid.words_from_all_over("x" * 9000 + " end") == "end"
+    docs = rows("doc_id long, text string, lang string", *[(i, text, "de") for i in range(9)])
+    assert all("später" in r["text"] for r in langid.training_rows(docs).collect())

@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from .common import load, sample_ids
 
 #: The model learns from at most so many documents of each language, first by digest
-#: of their id, and from the first so many words of each of them. It keeps at most so
-#: many words, and runs of each length, per language. Predictions read whole texts.
+#: of their id, and from so many words of each of them, by a hash of their place in the
+#: text, as long as these come to at most LETTERS_EACH letters. It keeps at most so many words, and runs of each length, per language. Predictions read whole texts.
 TRAIN_DOCS, TRAIN_WORDS, MOST_WORDS, MOST_RUNS = 2000, 400, 20_000, 20_000
+LETTERS_EACH = 12 * TRAIN_WORDS
 #: … and from so many documents over all languages, however many those are (but one of each).
 TRAIN_TOTAL = 20_000
 #: … and so many in all languages together (but one of each).
@@ -56,6 +58,24 @@ def runs_of(word: str, n: int) -> list[str]:
     return [edged[i:i + n] for i in range(len(edged) - n + 1)]
 
 
+def words_from_all_over(text: str | None) -> str | None:
+    """A short text as it is; of a longer one TRAIN_WORDS words in their order. A word
+    that does not fit in the letters left is passed over."""
+    if text is None or len(text) <= LETTERS_EACH and len(words_of(text)) <= TRAIN_WORDS:
+        return text
+    found = words_of(text)
+    places = np.arange(1, len(found) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    places = (places ^ (places >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    chosen, left = [], LETTERS_EACH
+    for k in np.argsort(places ^ (places >> np.uint64(32)), kind="stable").tolist():
+        if len(chosen) == TRAIN_WORDS:
+            break
+        if len(found[k]) <= left:
+            chosen.append(k)
+            left -= len(found[k])
+    return " ".join(found[k] for k in sorted(chosen))
+
+
 class Model:
     """Log frequencies per language, smoothed by one count.
 
@@ -170,20 +190,24 @@ class Model:
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    """The bounded sample (text, lang): the starts of the chosen documents' texts.
+    """The bounded sample (text, lang): words from all over the chosen documents' texts.
 
     Never a held-out row, a null language or a null id; nor an id with several
-    languages. Of an id's texts the least is taken. Texts are fetched for the chosen
-    ids alone.
+    languages. Of an id's texts the least is taken, by the words chosen. Texts are fetched
+    for the chosen ids alone.
     """
+
+    @F.pandas_udf("string")
+    def choose(texts: pd.Series) -> pd.Series:
+        return pd.Series([words_from_all_over(t) for t in texts], dtype="object")
+
     usable = docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
     languages = usable.where("lang IS NOT NULL").select("lang").distinct().count()
     ids = sample_ids(usable, "lang", max(1, min(TRAIN_DOCS, TRAIN_TOTAL // max(languages, 1))))
     if languages <= TRAIN_TOTAL:  # so at most that many ids
         ids = F.broadcast(ids)
     return (
-        usable.select("doc_id", F.substring("text", 1, TRAIN_WORDS * 12).alias("text"))
-        .join(ids, "doc_id")
+        usable.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "lang", choose("text").alias("text"))
         .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).where("text IS NOT NULL")
     )
 
