@@ -107,3 +107,32 @@ def test_documents_keep_columns_and_repeat(rows):
     # big weighs 5, small 2 of 1300 words; small stops at three times its 100 words.
     assert counts == {"big": 50, "small": 15}
     assert mixing.mix_documents(docs.where("false")).count() == 0
+
+
+def test_the_mix_in_order_deals_sources_evenly_and_in_stream_order(rows):
+    data = [(i, "abc"[i % 3], i % 7 + 1) for i in range(1500)]
+    docs, sizes = rows(SCHEMA, *data), {i: n for i, _, n in data}
+    out = mixing.mixed_order(docs, block=16).collect()
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs, block=16).collect()}
+    sums, by_source, seen = Counter(), {}, Counter()
+    for r in out:
+        sums[r["doc_id"]] += r["words"]
+        by_source.setdefault("abc"[r["doc_id"] % 3], []).append(r)
+    assert sums == Counter({i: n for i, n in taken.items() if n})
+    assert [r["slot"] for r in out] == sorted(r["slot"] for r in out)
+    for source, parts in by_source.items():
+        # One after the other, each document whole, before the next begins.
+        stream = [(d, n) for _, d, n in sorted(
+            (__import__("hashlib").md5(f"mix-1:{d}:{n}".encode()).hexdigest(), d, n) for d, s, n in data if s == source)]
+        words = [(d, k) for _ in range(3) for d, n in stream for k in range(n)]
+        got = [(r["doc_id"], r["first"] + k) for r in parts for k in range(r["words"])]
+        assert got == words[:len(got)]
+    total, at = sum(sums.values()), 0
+    final = Counter("abc"[i % 3] for i in sums.elements())
+    for r in out:
+        at += r["words"]
+        seen["abc"[r["doc_id"] % 3]] += r["words"]
+        # Shares hold at every point while all sources are open.
+        if at < 0.8 * total:
+            assert all(abs(seen[s] - at * final[s] / total) < 6 * 16 for s in "abc")
+    assert all(r["first"] + r["words"] <= sizes[r["doc_id"]] for r in out)

@@ -167,6 +167,21 @@ def mix(
     )
 
 
+def mixed_order(
+    rows: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, total: int | None = None,
+    block: int = BLOCK_WORDS, tie: list[str] = (),
+) -> DataFrame:
+    """The mix itself, in the order of its slots: slot, doc_id, round, first, words.
+
+    ``rows`` as for ``mix``. A row is what a slot takes of a document: ``words`` words
+    from the document's word ``first`` on, in the source's pass ``round``.
+    """
+    sources = written(targets(rows.select("source", "size"), weights, max_repeats, total), "sources")
+    placed = streams(rows.select("doc_id", "source", "size", *tie), sources, tie)
+    parts = pieces(placed, schedule(sources, block), block, max_repeats)
+    return parts.orderBy("slot", "round", "__bucket_of", "place", "first").select("slot", "doc_id", "round", "first", "words")
+
+
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
     """All documents, sources weighing 5, 2, 1, … and sharing as many words as there are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
