@@ -38,8 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as pieces of sequences of 1024 tokens."""
-    return pack_documents(docs)
+    """Every document as pieces of sequences of 1024 tokens, with their ids."""
+    return pack_documents(docs, with_ids=True)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tidemark.llm import simhash
+from tidemark.llm import packing, simhash
 from tidemark.llm.common import written
 from tidemark.llm.queries import ORACLES, QUERIES
 
@@ -104,3 +104,11 @@ def test_empty_and_odd_documents(spark, tmp_path):
         out = corpus_pipeline.run(spark, folder)
         assert {"doc_id", "piece", "sequence_id", "offset", "length"} <= set(out.columns)
         assert (out.count() > 0) == (name == "odd")
+
+
+def test_the_result_holds_the_ids(kept):
+    _, before, after = kept[4]
+    texts = {r["doc_id"]: r["text"] for r in before.collect()}
+    for r in after.collect():
+        ids = packing.token_ids(texts[r["doc_id"]])
+        assert r["ids"] == ids[r["start"]:r["start"] + r["length"]].tolist() and len(r["ids"]) == r["length"]
