@@ -1,8 +1,10 @@
 """Helpers: joins of any size, prefix sums, samples, written tables."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tidemark.llm import common
+from tidemark.llm import common, packing
+from tidemark.llm.common import in_parts
 
 
 def test_attach_both_ways_gives_the_same(spark, rows, monkeypatch):
@@ -36,3 +38,32 @@ def test_written_survives_and_restores_the_setting(spark):
     df = common.written(spark.range(100).repartition(5).withColumn("x", F.lit(1)), "test")
     assert df.count() == 100 and spark.conf.get(key) == before
     assert common.written(df.where("false"), "test").count() == 0
+
+
+def test_parts_are_bounded_and_whole():
+    texts = ["a" * 10, None, "b" * 95, "", "c" * 500, "d", float("nan"), "e"] + ["f"] * 25
+    parts = list(in_parts(texts, 100, 10))
+    assert [t for p in parts for t in texts[p]] == texts
+    for p in parts:
+        sizes = [len(t) if isinstance(t, str) else 0 for t in texts[p]]
+        assert len(sizes) <= 10 and sum(sizes[:-1]) < 100
+    assert list(in_parts([], 100, 10)) == []
+
+
+def test_one_batch_of_long_texts_gives_several_outputs(spark):
+    """A batch of 3,000 texts is handed on in parts of bounded tokens, ids included."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('word thing ', 200) AS text").coalesce(1)
+    pieces = packing.cut_documents(docs, with_ids=True)
+    assert pieces.agg(F.sum("length"), F.sum(F.size("ids"))).first() == (3000 * 402, 3000 * 402)
+    given = pd.DataFrame({"doc_id": range(3000), "text": ["word thing " * 200] * 3000})
+    seen = []
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, _):
+            seen.extend(len(out) for out in run(iter([given])))
+
+    packing.cut_documents(Docs(), with_ids=True)
+    assert sum(seen) == 3000 and max(seen) <= packing.PART_TOKENS // 400 + 1

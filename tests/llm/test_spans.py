@@ -7,9 +7,9 @@ from conftest import SF
 from tidemark.llm import spans
 
 
-def plain(docs):
-    """doc_id -> removed sentences; ids must differ."""
-    seen, out = {}, {}
+def every_run(docs):
+    """doc_id -> removed sentences, from all runs of any length; ids must differ."""
+    seen, out = set(), {}
     for doc_id, text in sorted(docs):
         parts = [text[a:b].lower().split() for a, b in spans.sentences(text)]
         gone = set()
@@ -17,11 +17,10 @@ def plain(docs):
             for j in range(i + 1, len(parts) + 1):
                 words = sum(map(len, parts[i:j]))
                 if (j - i == 1 and words >= 30) or (j - i >= 2 and words >= 20):
-                    key = " ".join(w for p in parts[i:j] for w in p)
+                    key = hash(tuple(w for p in parts[i:j] for w in p))
                     if key in seen:
                         gone |= set(range(i, j))
-                    seen.setdefault(key, doc_id)
-                    break
+                    seen.add(key)
         out[doc_id] = gone
     return out
 
@@ -39,7 +38,7 @@ def test_sentences_cover_the_text():
 
 def test_documents_match_plain(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    want = plain(docs)
+    want = every_run(docs)
     out = spans.op5_substring_dedup(spark, SF).collect()
     texts = dict(docs)
     for r in out:
@@ -87,24 +86,6 @@ def test_nulls_empty_repeats_columns(rows):
     assert spans.remove_repeats(docs.where("false")).count() == 0
 
 
-def every_run(docs):
-    """doc_id -> removed sentences, from all runs of any length; ids must differ."""
-    seen, out = set(), {}
-    for doc_id, text in sorted(docs):
-        parts = [text[a:b].lower().split() for a, b in spans.sentences(text)]
-        gone = set()
-        for i in range(len(parts)):
-            for j in range(i + 1, len(parts) + 1):
-                words = sum(map(len, parts[i:j]))
-                if (j - i == 1 and words >= 30) or (j - i >= 2 and words >= 20):
-                    key = hash(tuple(w for p in parts[i:j] for w in p))
-                    if key in seen:
-                        gone |= set(range(i, j))
-                    seen.add(key)
-        out[doc_id] = gone
-    return out
-
-
 def test_the_last_sentences_of_a_span_go_too(rows):
     rnd = random.Random(4)
     passage = " ".join(sentence(rnd, n) for n in (12, 10, 5))

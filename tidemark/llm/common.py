@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GROUP_ROWS = 4_096
 #: A table of at most so many (narrow) rows may be broadcast.
 SMALL_ROWS = 20_000
+#: Characters and rows that a Python step works on before it hands on what it has.
+PART_CHARS, PART_ROWS = 250_000, 1_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -84,6 +87,22 @@ def sample_ids(rows: DataFrame, by: str, most: int, most_groups: int | None = No
     )
 
 
+def in_parts(texts: Iterable, most_chars: int, most_rows: int) -> Iterator[slice]:
+    """Cuts a batch into stretches of bounded size, whatever its own size is.
+
+    A stretch ends with the row that brings it to ``most_chars`` characters or
+    ``most_rows`` rows; so a longer text ends one. Null texts count as empty.
+    """
+    begun = size = end = 0
+    for end, text in enumerate(texts, 1):
+        size += len(text) if isinstance(text, str) else 0
+        if size >= most_chars or end - begun >= most_rows:
+            yield slice(begun, end)
+            begun, size = end, 0
+    if begun < end:
+        yield slice(begun, end)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -30,6 +30,8 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k"
 #: Added tokens of the JSON file, which its library finds in texts before anything else.
 ADDED = {"byte_bpe_50k": {"<|endoftext|>": 50256}}
+#: Tokens of pieces that a task holds before it hands them on.
+PART_TOKENS = 250_000
 #: Short pieces that one task packs together, on average.
 GROUP_PIECES = 16_384
 #: Blanks in a row from which on they are encoded without the library's pattern, whose
@@ -92,20 +94,30 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def cut_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end: int = END_ID,
                   with_ids: bool = False) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
+    """A row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
+
+    Pieces are handed on after ``PART_TOKENS`` tokens, however large a batch is.
+    """
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = token_ids(text, tokenizer, end)
                 for k, (start, length) in enumerate(cuts(len(ids), capacity)):
                     part = ids[start:start + length]
                     row = (None if pd.isna(doc_id) else int(doc_id), k, start, length, zlib.crc32(part.tobytes()))
                     rows.append((*row, part.astype(np.int32)) if with_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64"})
+                    held += length
+                    if held >= PART_TOKENS:
+                        yield frame(rows)
+                        rows, held = [], 0
+            if rows:
+                yield frame(rows)
 
     return docs.select("doc_id", "text").mapInPandas(run, PIECE + ", ids array<int>" * with_ids)
 

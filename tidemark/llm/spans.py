@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load, written
+from .common import PART_CHARS, PART_ROWS, in_parts, load, written
 
 MIN_WORDS, MIN_SENTENCES = 20, 2
 #: A sentence of so many words counts as several; a repeated one is enough.
@@ -75,24 +76,28 @@ def _enough(counts: list[int], first: int, end: int, words: int) -> bool:
 def run_table(docs: DataFrame) -> DataFrame:
     """A row per run: its hash (high, low), where it starts, and how many sentences it has."""
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found_in(batch: pd.DataFrame) -> pd.DataFrame:
         from xxhash import xxh3_128_digest
 
+        ids, hashes, firsts, sizes, digests = [], [], [], [], bytearray()
+        for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
+            found = runs(text)
+            ids += [doc_id] * len(found)
+            hashes += [text_hash] * len(found)
+            for first, size, words in found:
+                firsts.append(first)
+                sizes.append(size)
+                digests += xxh3_128_digest(words)
+        halves = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
+        return pd.DataFrame({
+            "high": halves[:, 0], "low": halves[:, 1], "doc_id": pd.array(ids, dtype="Int64"),
+            "text_hash": np.array(hashes, np.int64), "sentence": np.array(firsts, np.int32), "size": np.array(sizes, np.int32),
+        })
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, hashes, firsts, sizes, digests = [], [], [], [], bytearray()
-            for doc_id, text_hash, text in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
-                found = runs(text)
-                ids += [doc_id] * len(found)
-                hashes += [text_hash] * len(found)
-                for first, size, words in found:
-                    firsts.append(first)
-                    sizes.append(size)
-                    digests += xxh3_128_digest(words)
-            halves = memoryview(bytes(digests)).cast("q")
-            yield pd.DataFrame({
-                "high": list(halves[::2]), "low": list(halves[1::2]), "doc_id": pd.array(ids, dtype="Int64"),
-                "text_hash": hashes, "sentence": firsts, "size": sizes,
-            }).astype({"high": "int64", "low": "int64", "text_hash": "int64", "sentence": "int32", "size": "int32"})
+            for part in in_parts(batch["text"], PART_CHARS, PART_ROWS):
+                yield found_in(batch.iloc[part])
 
     return docs.mapInPandas(find, f"high long, low long, {PLACE}, size int")
 
@@ -102,19 +107,19 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     the numbers of the sentences to remove and the ids where they stood first.
 
     ``docs`` has doc_id, text_hash and text. Earlier means a lower id (null last), then
-    a lower text hash, then a lower sentence. The hash of a run that is everywhere is
-    reduced to one row per task before the shuffle. Repeated runs are written first, so
-    that both sides of the join are plain shuffles, which adaptive execution can split.
+    a lower text hash, then a lower sentence. Runs are found once and written. Hashes are
+    counted with a sum per task first, so one that is everywhere is a row per task; the
+    places of those that repeat are found by a join of plain shuffles, which adaptive
+    execution can split, and are a small part of all.
     """
-    table = run_table(docs)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "sentence")
-    firsts = written(
-        table.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select(F.col("high").alias("__high"), F.col("low").alias("__low"), "first"),
-        "repeats",
-    )
+    table = written(run_table(docs), "runs")
+    key = [F.col("high").alias("__high"), F.col("low").alias("__low")]
     meet = (F.col("high") == F.col("__high")) & (F.col("low") == F.col("__low"))
-    later = table.join(firsts, meet).where(place != F.col("first"))
+    repeated = written(table.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "repeats")
+    hits = written(table.join(repeated, meet).drop("__high", "__low"), "places")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "sentence")
+    firsts = hits.groupBy("high", "low").agg(F.min(place).alias("first")).select(*key, "first")
+    later = hits.join(firsts, meet).where(place != F.col("first"))
     # A document's own sentences, so each group is bounded by the document.
     return later.groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(

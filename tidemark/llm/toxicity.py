@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load, sample_ids
+from .common import PART_CHARS, PART_ROWS, in_parts, load, sample_ids
 from .gru import Network, train
 
 #: The network learns from at most so many documents of each label, first by digest of
@@ -21,8 +21,6 @@ TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 2500, 4000
 EPOCHS = 4
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
-#: Characters that a task scores in one go; a longer text is a batch of its own.
-BATCH_CHARS = 2_000_000
 
 
 def fold(doc_id, folds: int):
@@ -72,12 +70,9 @@ def with_score(docs: DataFrame, model: bytes) -> DataFrame:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         net = _network(crc, shared.value)
         for batch in batches:
-            texts, out, begun, size = [t or "" for t in batch], [], 0, 0
-            for k, text in enumerate(texts):
-                size += len(text) + 1
-                if size >= BATCH_CHARS or k == len(texts) - 1:
-                    out.extend(net.score(texts[begun:k + 1]))
-                    begun, size = k + 1, 0
+            out: list[float] = []
+            for part in in_parts(batch, PART_CHARS, PART_ROWS):
+                out.extend(net.score([t or "" for t in batch.iloc[part]]))
             yield pd.Series(out, dtype="float64")
 
     return docs.withColumn("score", score("text"))
