@@ -3,7 +3,7 @@
 import json
 import os
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 from decimal import Decimal
 from pathlib import Path
 
@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 from conftest import values
 from tidemark.operators.changes import content_fingerprint
 from tidemark.plans.bronze import SOURCES, BronzeLoader, Source, reset_tables
-from tidemark.plans.extract import Extractor, refresh_endpoint, sync_drop
+from tidemark.plans.extract import Extractor, manifest, refresh_endpoint, sync_drop
 from tidemark.sinks import (
     StateLog, UnknownColumnsError, VersionedTable, conform, land_delta, land_snapshot, seed_if_empty,
     snapshot_if_changed,
 )
 from tidemark.sinks.landing import DROPS, ENDPOINTS, place
+from tidemark.sinks.state import LostRace
 from tidemark.sources import (
     describe_columns, last_modified, list_files, modified_since, newest_snapshot, query, read_csv_table,
     read_files, read_json_dump, read_json_pages, tables_present, tagged_latest, unprocessed_files,
 )
+from tidemark.sources.files import create_new
 from tidemark.sources.tables import child_delta_sql, jdbc_options
 from tidemark.streaming import IncrementalTable, load_incremental
 
@@ -121,10 +123,8 @@ def test_sync_drop_in_any_zone(spark, rows, lake, tmp_path, zone):
 def test_sync_drop_repeated_after_a_crash(spark, rows, lake, tmp_path):
     """Dying before the progress is saved adds nothing, even if more has been dropped since."""
     class Dying(StateLog):
-        def put(self, name, value):
-            if not name.endswith(".begun"):
-                raise OSError("died")
-            super().put(name, value)
+        def put(self, name, value, after=None):
+            raise OSError("died")
 
     inbox, state = str(tmp_path / "inbox"), StateLog(spark, f"{lake}/state")
     put(rows("a int", (1,)), f"{inbox}/t/f.parquet", 0)
@@ -138,6 +138,36 @@ def test_sync_drop_repeated_after_a_crash(spark, rows, lake, tmp_path):
     assert values(spark.read.parquet(str(folder)), "a") == [(1,), (2,)]
 
 
+def test_sync_drop_goes_by_the_manifest(spark, rows, lake, tmp_path):
+    """Equal times, an older time, a file replaced in place, many files, and nothing new."""
+    inbox, state = str(tmp_path / "inbox"), StateLog(spark, f"{lake}/state")
+    got = lambda: [r["a"] for r in spark.read.parquet(place(lake, DROPS, "t")).orderBy("synced", "a").collect()]
+    assert not sync_drop(spark, inbox, lake, "t", state)
+    for a, name, at in ((1, "f", 50), (2, "g", 50), (3, "h", -9000), (4, "f", 51), (5, "f", 20)):
+        put(rows("a int", (a,)), f"{inbox}/t/{name}.parquet", at)
+        assert sync_drop(spark, inbox, lake, "t", state) and not sync_drop(spark, inbox, lake, "t", state)
+    assert got() == [1, 2, 3, 4, 5]
+    for a in range(6, 13):
+        put(rows("a int", (a,)), f"{inbox}/t/batch_date=2024-01-01/m{a}.parquet", 50)
+    assert sync_drop(spark, inbox, lake, "t", state, max_files=3)
+    assert sorted(got()) == list(range(1, 13)) and manifest(spark, state, "t").count() == 12
+    assert state.get("t") == "8"  # five, then three runs of at most three files
+
+
+def test_sync_drop_of_two_at_once(spark, rows, lake, tmp_path):
+    class Slow(StateLog):
+        def put(self, name, value, after=None):
+            StateLog.put(self, name, value, after)  # the other one was faster
+            return super().put(name, value, after)
+
+    inbox = str(tmp_path / "inbox")
+    put(rows("a int", (1,)), f"{inbox}/t/f.parquet", 0)
+    with pytest.raises(LostRace):
+        sync_drop(spark, inbox, lake, "t", Slow(spark, f"{lake}/state"))
+    assert not sync_drop(spark, inbox, lake, "t", StateLog(spark, f"{lake}/state"))
+    assert values(spark.read.parquet(place(lake, DROPS, "t")), "a") == [(1,)]
+
+
 def test_sync_drop_of_nanosecond_files(spark, lake, tmp_path):
     folder = tmp_path / "inbox/t"
     folder.mkdir(parents=True)
@@ -180,7 +210,9 @@ def test_state_is_compacted_and_versions_expire(spark, rows, lake):
     state.put("b", "x")
     state.compact("a")
     assert state.get("a") == "4" and state.get("b") == "x"
-    assert len(list(Path(f"{lake}/state/of=a").glob("part-*"))) == 1
+    assert len(list(Path(f"{lake}/state/of=a").glob("seq-*"))) == 1
+    state.put("a", "5")
+    assert state.get("a") == "5"
     table = VersionedTable(spark, f"{lake}/t")
     for v in range(4):
         table.replace(rows("a int", (v,)))
@@ -243,6 +275,57 @@ def test_state_log(spark, lake):
     assert state.get("t") == "7" and state.get("u") == "1"
 
 
+def test_state_goes_by_number_not_by_clock(spark, lake):
+    at = lambda h: lambda: datetime(2026, 1, 1, h, tzinfo=timezone.utc)
+    one, two = StateLog(spark, f"{lake}/state", at(9)), StateLog(spark, f"{lake}/state", at(3))
+    one.put("t", "old")
+    two.put("t", "new")
+    assert one.get("t") == two.get("t") == "new" and one.all() == {"t": "new"}
+    assert [r["value"] for r in one.entries("t").orderBy("seq").collect()] == ["old", "new"]
+    seen = one.last("t").seq
+    two.put("t", "newer", after=seen)
+    for late in (lambda: one.put("t", "lost", after=seen), lambda: one.put("u", "x", after=1)):
+        with pytest.raises(LostRace):
+            late()
+    assert one.get("t") == "newer"
+
+
+def test_state_of_two_that_take_the_same_number(spark, lake, monkeypatch):
+    one, two = StateLog(spark, f"{lake}/state"), StateLog(spark, f"{lake}/state")
+    one.put("t", "a")
+    numbers = two._numbers("t")
+    one.put("t", "b")
+    monkeypatch.setattr(two, "_numbers", lambda name: numbers)  # it looked before
+    with pytest.raises(LostRace):
+        two.put("t", "c")
+    assert one.get("t") == "b"
+
+
+def test_state_that_was_cut_off(spark, lake):
+    state = StateLog(spark, f"{lake}/state")
+    state.put("t", "a")
+    Path(f"{lake}/state/of=t/seq-000000000002.json").write_text('{"value": "b", "upd')
+    Path(f"{lake}/state/of=t/seq-000000000003.json").write_text("")
+    assert state.get("t") == "a" and state.last("t").seq == 1
+    state.put("t", "c")
+    assert state.get("t") == "c" and state.last("t").seq == 4
+
+
+def test_values_come_into_force_together(spark, lake, monkeypatch):
+    state = StateLog(spark, f"{lake}/state")
+    state.put("a", "1")
+    state.put_all({"a": "2", "b": "2"})
+    assert state.all() == {"a": "2", "b": "2"}
+    monkeypatch.setattr("tidemark.sinks.state.create_new", lambda spark, path, text: "/together/" not in path and create_new(spark, path, text))
+    state.put_all({"a": "3", "b": "3"})  # dies before the group's file is there
+    assert state.all() == {"a": "2", "b": "2"}
+    monkeypatch.undo()
+    state.put("b", "4")
+    assert state.all() == {"a": "2", "b": "4"}
+    state.put("a/b=c d", "x")
+    assert state.get("a/b=c d") == "x" and "a/b=c d" in state.names()
+
+
 def test_versioned_table(spark, rows, lake):
     table = VersionedTable(spark, f"{lake}/t")
     with pytest.raises(FileNotFoundError):

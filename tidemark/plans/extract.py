@@ -14,7 +14,7 @@ from ..functions import partition_value
 from ..schemas import SOURCE_FILE
 from ..sinks.landing import DROPS, ENDPOINTS, land_delta, place, snapshot_if_changed
 from ..sinks.state import StateLog
-from ..sources.files import is_complete, last_modified, modified_since, path_exists, rename
+from ..sources.files import is_complete, list_files, path_exists, read_files, rename
 
 RESULT = "name string, kind string, status string, message string"
 
@@ -40,32 +40,61 @@ class Extracts:
     endpoints: tuple[str, ...] = ("translations", "geolocation")
 
 
-def sync_drop(spark: SparkSession, inbox: str, lake: str, table: str, state: StateLog) -> bool:
-    """Bring over what was dropped since the last sync; False if nothing was.
+MANIFEST = "path string, modified bigint, length bigint, run bigint"
 
-    Progress is the latest modification time of the files read, in microseconds.
-    The stretch to read is saved before the write and ended after it. A run that
-    dies in between is repeated over the same stretch into the same folder, or, if
-    its write had finished, not written again. Rows keep the ``batch_date`` of
-    their folder; those without one go under Spark's name for a missing value.
+
+def manifest(spark: SparkSession, state: StateLog, table: str) -> DataFrame:
+    """Every file that was synced: its path, modification time (microseconds), size and run."""
+    folder, last = _manifest_folder(state, table), int(state.get(table, "0"))
+    if not last:
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(folder).where(F.col("run") <= last)
+
+
+def _manifest_folder(state: StateLog, table: str) -> str:
+    return f"{state.folder}/manifest/{table}"
+
+
+def unsynced(spark: SparkSession, prefix: str, synced: DataFrame) -> DataFrame:
+    """path, modified, length of the files that no sync has seen as they are now.
+
+    A file counts by its path, time and size, whatever the time is: one that has the
+    time of an earlier one, or an older time, is new, and one replaced in place is too.
+    """
+    listed = list_files(spark, prefix).select("path", F.unix_micros("modified").alias("modified"), "length")
+    return listed.join(synced.select("path", "modified", "length"), ["path", "modified", "length"], "left_anti")
+
+
+def sync_drop(spark: SparkSession, inbox: str, lake: str, table: str, state: StateLog, max_files: int = 2000) -> bool:
+    """Bring over what was dropped and not synced yet; False if nothing was.
+
+    The listing is compared with a manifest of all files synced. What is new comes in
+    runs of at most ``max_files`` files: a run's files are written to the manifest, then
+    their rows to a folder of the run, and the run counts once its number is saved. A run
+    that dies before is repeated, or, if its rows were written, only saved. Rows keep the
+    ``batch_date`` of their folder; those without one go under Spark's name for a
+    missing value.
     """
     prefix, target = f"{inbox.rstrip('/')}/{table}", place(lake, DROPS, table)
-    low, begun = int(state.get(table, "0")), state.get(f"{table}.begun", "")
-    if begun.startswith(f"{low}-"):
-        high = int(begun.split("-")[1])
-    else:
-        high = last_modified(spark, prefix)
-        if high is None or high <= low:
-            return False
-        state.put(f"{table}.begun", f"{low}-{high}")
-    folder = f"{target}/synced={low}-{high}"
-    if not is_complete(spark, folder):
-        seen = modified_since(spark, prefix, low, high)
-        day = partition_value(F.col(SOURCE_FILE), "batch_date")
-        rows = seen.withColumn("batch_date", day).drop(SOURCE_FILE, "_modified")
-        rows.write.mode("overwrite").partitionBy("batch_date").parquet(folder)
-    state.put(table, str(high))
-    return True
+    brought = False
+    while True:
+        before = state.last(table)
+        run = int(before.value or 0) + 1
+        folder, planned = f"{target}/synced={run}", f"{_manifest_folder(state, table)}/run={run}"
+        resumed = is_complete(spark, folder)
+        if not resumed:
+            new = unsynced(spark, prefix, manifest(spark, state, table))
+            files = new.orderBy("modified", "path").limit(max_files).collect()  # names of a bounded number
+            if not files:
+                return brought
+            spark.createDataFrame(files, "path string, modified bigint, length bigint").coalesce(1).write.mode("overwrite").parquet(planned)
+            rows = read_files(spark, [f["path"] for f in files])
+            day = partition_value(F.col(SOURCE_FILE), "batch_date")
+            rows.withColumn("batch_date", day).drop(SOURCE_FILE).write.mode("overwrite").partitionBy("batch_date").parquet(folder)
+        state.put(table, str(run), after=before.seq)
+        brought = True
+        if resumed:
+            return True  # what was dropped since comes with the next sync
 
 
 def refresh_endpoint(

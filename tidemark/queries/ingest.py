@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from ..schemas import INGESTED_AT, SOURCE_FILE
 from ..session import shared_folder
 from ..sinks import StateLog, VersionedTable, land_delta, land_snapshot, seed_if_empty, snapshot_if_changed
 from ..sinks.landing import BATCHES, DROPS, ENDPOINTS, SNAPSHOTS, place
+from ..sources.files import create_new, list_names, remove, rename, set_modified
 from ..sources import existing_tables, list_files, read_csv_table, read_json_dump, read_json_pages, unprocessed_files
 
 FIRST_DAY = datetime(2026, 8, 24, 6, 30, 0)
@@ -211,6 +212,54 @@ def ingest_modified_since(spark: SparkSession, sf: str) -> DataFrame:
     return landed.withColumn("batch_date", F.col("batch_date").cast("string"))
 
 
+def _drop_at(df: DataFrame, folder: str, micros: int) -> None:
+    """Put the rows down as files 0.parquet, 1.parquet, … of one modification time, in
+    place of any of these names."""
+    spark, staged = df.sparkSession, f"{folder}-staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    for k, name in enumerate(sorted(n for n in list_names(spark, staged) if n.startswith("part-"))):
+        target = f"{folder}/{k}.parquet"
+        remove(spark, target)
+        create_new(spark, f"{folder}/.there", "")  # so that the folder is there to rename into
+        rename(spark, f"{staged}/{name}", target)
+        set_modified(spark, target, micros)
+    remove(spark, staged)
+
+
+def ingest_replaced_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in four drops, synced after each and once more: a second one with the
+    time of the first, one with an older time, and one in place of the first. Every row
+    once, and whether each sync brought something."""
+    root = shared_folder(spark, "ingest")
+    state, inbox = StateLog(spark, f"{root}/metadata"), f"{root}/inbox/events"
+    events = inputs.table(spark, sf, "events").select("event_id", "event_type", "value")
+    hour = 3_600_000_000
+    noon = 1_750_000_000_000_000
+    brought = []
+    for k, (folder, at) in enumerate(((f"{inbox}/a", noon), (f"{inbox}/b", noon), (f"{inbox}/c", noon - 9 * hour), (f"{inbox}/a", noon + hour))):
+        _drop_at(events.where(F.col("event_id") % 4 == k), folder, at)
+        brought.append((k, sync_drop(spark, f"{root}/inbox", f"{root}/lake", "events", state)))
+    brought.append((4, sync_drop(spark, f"{root}/inbox", f"{root}/lake", "events", state)))
+    landed = spark.read.parquet(place(f"{root}/lake", DROPS, "events")).drop("batch_date")
+    landed = landed.withColumn("synced", F.col("synced").cast("bigint"))
+    return concat_frames(landed, spark.createDataFrame(brought, "sync int, brought boolean"))
+
+
+def ingest_clock_set_back(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed by three runs on hosts whose clocks go backwards, and suppliers
+    published twice by such hosts: the value written last counts, not the latest time."""
+    root = shared_folder(spark, "ingest")
+    orders, suppliers = inputs.orders(spark, sf), inputs.table(spark, sf, "supplier").select("s_suppkey", "s_acctbal")
+    ts = "order_purchase_timestamp"
+    for k, rows in enumerate((up_to(orders, ts, CUT), orders, orders)):
+        host = lambda k=k: datetime(2026, 8, 24, 12 - k, tzinfo=timezone.utc)
+        land_delta(rows, ts, f"{root}/lake", "orders", StateLog(spark, f"{root}/metadata", host), now=FIRST_DAY)
+        table = VersionedTable(spark, f"{root}/suppliers", StateLog(spark, f"{root}/published", host))
+        table.replace(suppliers.withColumn("s_acctbal", F.lit(float(k))) if k < 2 else suppliers)
+    landed = spark.read.parquet(place(f"{root}/lake", BATCHES, "orders"))
+    return concat_frames(landed.select("order_id", ts), table.read())
+
+
 def ingest_mixed_drop(spark: SparkSession, sf: str) -> DataFrame:
     """Payments dropped in one go with a file of another table: the payments load,
     the other file is reported."""
@@ -309,6 +358,6 @@ QUERIES = {
         ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_unprocessed,
         ingest_watermark_delta, ingest_child_delta, ingest_overlap_delta,
         ingest_paged_json, ingest_json_dump, ingest_versioned_latest, snapshot_changed,
-        ingest_modified_since, ingest_mixed_drop, ingest_lineage, catalog_seed_and_reset, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
+        ingest_modified_since, ingest_replaced_drop, ingest_clock_set_back, ingest_mixed_drop, ingest_lineage, catalog_seed_and_reset, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
     )
 }

@@ -551,6 +551,12 @@ ORACLES: dict[str, str] = {
     "ingest_modified_since": _sql(
         "SELECT review_id, order_id, review_score, review_creation_date, "
         "strftime(review_creation_date, '%Y-%m-%d') AS batch_date FROM stream_order_reviews"),
+    "ingest_replaced_drop": """
+        SELECT event_id, event_type, value, event_id % 4 + 1 AS synced, NULL::INT AS sync, NULL::BOOLEAN AS brought FROM events
+        UNION ALL SELECT NULL, NULL, NULL, NULL, sync, sync < 4 FROM (SELECT unnest(range(5))::INT AS sync)""",
+    "ingest_clock_set_back": _sql(
+        "SELECT order_id, order_purchase_timestamp, NULL::BIGINT AS s_suppkey, NULL::DOUBLE AS s_acctbal FROM pg_orders "
+        "UNION ALL SELECT NULL, NULL, s_suppkey, s_acctbal FROM supplier"),
     "ingest_mixed_drop": _sql(
         "SELECT *, CAST(NULL AS BIGINT) AS n_rejected FROM stream_order_payments "
         "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 1"),

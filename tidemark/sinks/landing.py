@@ -49,16 +49,18 @@ def land_delta(
 
     The watermark is the greatest timestamp of the rows written, measured by the
     write itself, and saved after it. A run that dies in between repeats its
-    rows; keyed de-duplication absorbs them.
+    rows; keyed de-duplication absorbs them. So does one beside another run that
+    was faster, which ends in ``LostRace``.
     """
-    delta = delta_since(df, ts, state.get(table, EPOCH), parent, on, overlap)
+    before = state.last(table)
+    delta = delta_since(df, ts, before.value or EPOCH, parent, on, overlap)
     seen = Observation()
     # A delta is a small part of many scan tasks: rebalance it into few files.
     observed = delta.hint("rebalance").observe(seen, F.max(TRACKING).cast("string").alias("high"))
     land_batch(observed.drop(TRACKING), lake, table, now)
     high = seen.get["high"]
     if high is not None:
-        state.put(table, high)
+        state.put(table, high, after=before.seq)
     return high
 
 
@@ -73,11 +75,11 @@ def snapshot_if_changed(
     """
     version = max_version(df, version_column) if version_column else content_fingerprint(df)
     current = version.first()["version"]
-    last = state.get(table)
-    if not has_changed(current, int(last) if last else None, monotone=version_column is not None):
+    last = state.last(table)
+    if not has_changed(current, int(last.value) if last.value else None, monotone=version_column is not None):
         return False
     land_snapshot(df, lake, table, now)
-    state.put(table, current)
+    state.put(table, current, after=last.seq)
     return True
 
 

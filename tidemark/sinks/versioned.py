@@ -54,9 +54,9 @@ class VersionedTable:
 
     def versions(self) -> DataFrame:
         """All published versions, first to last."""
-        return self.published.entries(self.name).where(F.col("name") == self.name).select(
+        return self.published.entries(self.name).orderBy("seq").select(
             F.col("value").alias("version"), F.col("updated_at").alias("published_at")
-        ).orderBy("published_at")
+        )
 
     def read(self, version: str | None = None, schema: StructType | None = None) -> DataFrame:
         """The current rows or those of ``version``; a known ``schema`` saves a look at the files."""

@@ -39,6 +39,49 @@ def remove(spark: SparkSession, *paths: str) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def set_modified(spark: SparkSession, path: str, micros: int) -> None:
+    """Give a file another modification time, where the store lets one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(place, micros // 1000, -1)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(place)]
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file, unless the name is taken."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = system.create(place, False)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or "already exists" in str(e):
+            return False
+        raise
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of a small text file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def is_complete(spark: SparkSession, dataset: str) -> bool:
     """Is a dataset a single file, or a folder whose writer has finished it?"""
     place = spark._jvm.org.apache.hadoop.fs.Path(dataset)
