@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import int_round, to_money, to_zip, varchar, word_case
 from ..operators.aggregate import centroid_and_modes
 from ..operators.dedup import first_per_key
+from ..schemas import INGESTED_AT
 
 
 def present(*columns: str) -> Column:
@@ -78,7 +79,12 @@ def silver_geolocation(geolocation: DataFrame) -> DataFrame:
 
 
 def silver_orders(orders: DataFrame) -> DataFrame:
-    """The latest purchase per order id; a missing purchase time counts as latest."""
+    """The latest purchase per order id; a missing purchase time counts as latest.
+
+    Of rows of the same purchase the one loaded last counts, where bronze tells: an
+    order whose status changes keeps its purchase time.
+    """
+    loaded = [INGESTED_AT] if INGESTED_AT in orders.columns else []
     typed = orders.where(present("order_id")).select(
         varchar("order_id", 32).alias("order_id"),
         varchar("customer_id", 32).alias("customer_id"),
@@ -88,8 +94,10 @@ def silver_orders(orders: DataFrame) -> DataFrame:
         F.col("order_delivered_carrier_date").cast("timestamp_ntz").alias("order_delivered_carrier_ts"),
         F.col("order_delivered_customer_date").cast("timestamp_ntz").alias("order_delivered_customer_ts"),
         F.col("order_estimated_delivery_date").cast("timestamp_ntz").alias("order_estimated_delivery_ts"),
+        *loaded,
     )
-    return first_per_key(typed, ["order_id"], [F.col("order_purchase_ts").desc_nulls_first()])
+    order = [F.col("order_purchase_ts").desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in loaded]]
+    return first_per_key(typed, ["order_id"], order).drop(INGESTED_AT)
 
 
 def order_ids(orders: DataFrame) -> DataFrame:

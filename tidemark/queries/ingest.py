@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import parse_timestamp, partition_value
 from ..operators import children_of, concat_frames, count_rows, number_pages, up_to
+from ..operators.capture import OP
 from ..operators.delta import delta_since
 from ..plans import inputs
 from ..plans.bronze import BronzeLoader, reset_tables
 from ..plans.build import build
-from ..plans.extract import Extractor, sync_drop
+from ..plans.capture import ChangeCapture
+from ..plans.extract import Extractor, Extracts, sync_drop
+from ..plans.silver import silver_orders
 from ..schemas import INGESTED_AT, SOURCE_FILE
 from ..session import shared_folder
 from ..sinks import StateLog, VersionedTable, land_delta, land_snapshot, seed_if_empty, snapshot_if_changed
@@ -260,6 +263,40 @@ def ingest_clock_set_back(spark: SparkSession, sf: str) -> DataFrame:
     return concat_frames(landed.select("order_id", ts), table.read())
 
 
+def _later_orders(orders: DataFrame) -> DataFrame:
+    """Orders as they stand later: every seventh is canceled, every thirteenth gone, and
+    every tenth, left out before, is there."""
+    key = F.col("order_id").cast("bigint")
+    status = F.when(key % 7 == 1, F.lit("canceled")).otherwise(F.col("order_status"))
+    return orders.withColumn("order_status", status).where(key % 13 != 2)
+
+
+def capture_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders looked at twice, with changes behind the watermark between; and a look at
+    nothing new. Every insert, update and delete, with the status before and after."""
+    orders = inputs.orders(spark, sf).drop("order_approved_at")
+    capture = ChangeCapture(spark, shared_folder(spark, "ingest"), "orders", ["order_id"], orders.schema, buckets=64)
+    capture.look(orders.where(F.col("order_id").cast("bigint") % 10 != 0))
+    seen = [capture.look(_later_orders(orders)), capture.look(_later_orders(orders))]
+    if seen[1].differing:
+        raise AssertionError("an unchanged table was read again")
+    return capture.changes(seen[0].run).select(
+        F.col(OP).alias("op"), "order_id", "order_status", F.col("before.order_status").alias("status_before"))
+
+
+def capture_to_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver orders after two extractions that follow changes: each order as it is
+    now; deleted ones, which the lake keeps, as they were."""
+    root = shared_folder(spark, "ingest")
+    orders = inputs.orders(spark, sf)
+    wanted = Extracts(snapshots=(), deltas={}, drops=(), endpoints=(), captures={"orders": ("order_id",)})
+    loader = _loader(spark, root)
+    for now in (orders.where(F.col("order_id").cast("bigint") % 10 != 0), _later_orders(orders)):
+        Extractor(spark, f"{root}/lake", {"orders": now}.get, f"{root}/inbox", {}, wanted).run()
+        loader.load_table("pg_orders")
+    return silver_orders(loader.read("pg_orders")).select("order_id", "customer_id", "order_status", "order_purchase_ts")
+
+
 def ingest_mixed_drop(spark: SparkSession, sf: str) -> DataFrame:
     """Payments dropped in one go with a file of another table: the payments load,
     the other file is reported."""
@@ -358,6 +395,6 @@ QUERIES = {
         ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_unprocessed,
         ingest_watermark_delta, ingest_child_delta, ingest_overlap_delta,
         ingest_paged_json, ingest_json_dump, ingest_versioned_latest, snapshot_changed,
-        ingest_modified_since, ingest_replaced_drop, ingest_clock_set_back, ingest_mixed_drop, ingest_lineage, catalog_seed_and_reset, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
+        ingest_modified_since, ingest_replaced_drop, ingest_clock_set_back, capture_changes, capture_to_silver, ingest_mixed_drop, ingest_lineage, catalog_seed_and_reset, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,
     )
 }

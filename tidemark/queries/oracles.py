@@ -557,6 +557,16 @@ ORACLES: dict[str, str] = {
     "ingest_clock_set_back": _sql(
         "SELECT order_id, order_purchase_timestamp, NULL::BIGINT AS s_suppkey, NULL::DOUBLE AS s_acctbal FROM pg_orders "
         "UNION ALL SELECT NULL, NULL, s_suppkey, s_acctbal FROM supplier"),
+    "capture_changes": _sql(
+        "SELECT CASE WHEN k % 13 = 2 THEN 'delete' WHEN k % 10 = 0 THEN 'insert' ELSE 'update' END AS op, order_id, "
+        "CASE WHEN k % 13 <> 2 AND k % 7 = 1 THEN 'canceled' ELSE order_status END AS order_status, "
+        "CASE WHEN k % 13 <> 2 AND k % 10 <> 0 THEN order_status END AS status_before "
+        "FROM (SELECT *, order_id::BIGINT AS k FROM pg_orders) "
+        "WHERE CASE WHEN k % 13 = 2 THEN k % 10 <> 0 ELSE k % 10 = 0 OR (k % 7 = 1 AND order_status IS DISTINCT FROM 'canceled') END"),
+    "capture_to_silver": _sql(
+        "SELECT order_id, customer_id, CASE WHEN k % 13 <> 2 AND k % 7 = 1 THEN 'canceled' ELSE order_status END AS order_status, "
+        "order_purchase_timestamp AS order_purchase_ts FROM (SELECT *, order_id::BIGINT AS k FROM pg_orders) "
+        "WHERE NOT (k % 13 = 2 AND k % 10 = 0)"),
     "ingest_mixed_drop": _sql(
         "SELECT *, CAST(NULL AS BIGINT) AS n_rejected FROM stream_order_payments "
         "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 1"),
