@@ -9,6 +9,7 @@ from tidemark.streaming import (
     commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, read_committed,
     run_to_folder,
 )
+from tidemark.streaming.waiting import WaitingJoin
 
 AT = datetime(2024, 1, 1, 12)
 
@@ -96,3 +97,38 @@ def test_readers_see_both_parts_of_a_batch_or_neither(spark, rows, tmp_path):
     assert seen() == [[(1,)], [(1,)]]
     commit_parent_and_child(rows("k int", (2,)), items, "k", folders, 1, log)
     assert seen() == [[(1,), (2,)], [(1,), (2,)]]
+
+
+def test_children_wait_for_late_parents(spark, rows, tmp_path):
+    parent, child = "k int, p string", "k int, c int"
+    join = WaitingJoin(spark, str(tmp_path / "j"), "k", rows(parent).schema, rows(child).schema)
+    join.add(0, children=rows(child, (1, 10), (1, 11), (2, 20), (None, 99)))
+    assert values(join.placed()) == [] and len(values(join.waiting())) == 4
+    join.add(3, parents=rows(parent, (2, "two"), (5, "five")), children=rows(child, (5, 50), (6, 60)))
+    assert values(join.placed()) == [(2, 20, "two"), (5, 50, "five")]
+    join.add(4, parents=rows(parent, (1, "one"), (2, "again")))
+    for _ in range(2):
+        join.add(5, children=rows(child, (2, 21), (1, 12)))
+    assert values(join.placed()) == [(1, 10, "one"), (1, 11, "one"), (1, 12, "one"), (2, 20, "two"), (2, 21, "two"), (5, 50, "five")]
+    assert values(join.waiting()) == [(None, 99), (6, 60)]
+    with pytest.raises(ValueError, match="comes after"):
+        join.add(4, parents=rows(parent, (6, "six")))
+    with pytest.raises(ValueError, match="both sides"):
+        WaitingJoin(spark, str(tmp_path / "x"), "k", rows("k int, c int").schema, rows(child).schema)
+
+
+def test_a_batch_that_died_is_replaced(spark, rows, tmp_path, monkeypatch):
+    parent, child = "k int, p string", "k int, c int"
+    join = WaitingJoin(spark, str(tmp_path / "j"), "k", rows(parent).schema, rows(child).schema)
+    join.add(0, children=rows(child, (1, 10), (2, 20)))
+
+    def died(*_, **__):
+        raise OSError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(join.done, "put", died)
+        with pytest.raises(OSError):
+            join.add(1, parents=rows(parent, (1, "x"), (2, "x")))
+    assert values(join.placed()) == [] and len(values(join.waiting())) == 2
+    join.add(1, parents=rows(parent, (1, "y")))
+    assert values(join.placed()) == [(1, 10, "y")] and values(join.waiting()) == [(2, 20)]

@@ -594,6 +594,10 @@ ORACLES: dict[str, str] = {
     "stream_parent_child": _sql(
         "SELECT i.order_id, i.order_item_id, i.product_id, i.price, o.customer_id "
         "FROM pg_order_items i JOIN pg_orders o ON i.order_id = o.order_id"),
+    "stream_waiting_children": _sql(
+        "SELECT i.order_id, i.order_item_id, i.product_id, i.price, o.customer_id, "
+        "CASE WHEN o.order_id IS NULL THEN true END AS waits FROM pg_order_items i "
+        "LEFT JOIN (SELECT * FROM pg_orders WHERE order_id::BIGINT % 11 <> 0) o ON i.order_id = o.order_id"),
     "stream_land_records": _sql(
         "SELECT *, CAST(NULL AS BIGINT) AS n_rejected FROM stream_order_payments "
         "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 2"),

@@ -13,6 +13,7 @@ from ..streaming import (
     commit_parent_and_child, dedup_stream, join_when_parent_arrives, land_record_batches, read_committed,
     run_to_folder,
 )
+from ..streaming.waiting import WaitingJoin
 
 EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -53,6 +54,34 @@ def stream_parent_child(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def stream_waiting_children(spark: SparkSession, sf: str) -> DataFrame:
+    """Items streamed in while only every third order is there, the last batch of them
+    taken in twice; the other orders come later, but for every eleventh. Items with the
+    customer of their order, and those that still wait."""
+    root = shared_folder(spark, "stream")
+    items = inputs.order_items(spark, sf).select("order_id", "order_item_id", "product_id", "price")
+    orders = inputs.orders(spark, sf).select("order_id", "customer_id")
+    key = F.col("order_id").cast("bigint")
+    join = WaitingJoin(spark, f"{root}/joined", "order_id", orders.schema, items.schema)
+    join.add(0, parents=orders.where((key % 3 == 0) & (key % 11 != 0)))
+    items.repartition(3).write.parquet(f"{root}/items")
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            join.add(batch_id + 1, children=batch)
+
+    stream = (
+        spark.readStream.schema(items.schema).option("maxFileAge", "36500d").option("maxFilesPerTrigger", 1)
+        .parquet(f"{root}/items")
+    )
+    running = stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    running.awaitTermination()
+    batches = running.lastProgress.batchId + 2
+    for k, late in enumerate((orders.where((key % 3 == 1) & (key % 11 != 0)), orders.where(key % 11 != 0))):
+        join.add(batches + k, parents=late)
+    return concat_frames(join.placed(), join.waiting().withColumn("waits", F.lit(True)))
+
+
 def stream_land_records(spark: SparkSession, sf: str) -> DataFrame:
     """Payments pushed as JSON envelopes, landed as rows, and how many pushes were
     rejected: one cut off, and one with a word for a number."""
@@ -109,5 +138,5 @@ def stream_commit_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (stream_dedup, stream_parent_child, stream_land_records, stream_commit_pairs)
+    for f in (stream_dedup, stream_parent_child, stream_waiting_children, stream_land_records, stream_commit_pairs)
 }
