@@ -110,8 +110,13 @@ def fact_order_items(
     items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, sellers: DataFrame
 ) -> DataFrame:
     """Items whose order, customer, product and seller are all known."""
+    return keyed_order_items(items, order_customers(orders, customers, "inner"), products, sellers)
+
+
+def keyed_order_items(items: DataFrame, keyed: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
+    """``keyed`` leads from an order to its customer."""
     joined = (
-        items.join(order_customers(orders, customers, "inner"), "order_id")
+        items.join(keyed, "order_id")
         .join(products.select("product_id", "product_key"), "product_id")
         .join(sellers.select("seller_id", "seller_key"), "seller_id")
     )
@@ -131,8 +136,11 @@ def fact_order_items(
 
 def fact_payments(payments: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """All payments; without a known order or customer the key is null."""
-    keyed = payments.join(order_customers(orders, customers, "left"), "order_id", "left")
-    return keyed.select(
+    return keyed_payments(payments, order_customers(orders, customers, "left"))
+
+
+def keyed_payments(payments: DataFrame, keyed: DataFrame) -> DataFrame:
+    return payments.join(keyed, "order_id", "left").select(
         surrogate_key("order_id", "payment_sequential").alias("payment_key"),
         "order_id",
         "customer_key",

@@ -78,14 +78,11 @@ def silver_geolocation(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def silver_orders(orders: DataFrame) -> DataFrame:
-    """The latest purchase per order id; a missing purchase time counts as latest.
-
-    Of rows of the same purchase the one loaded last counts, where bronze tells: an
-    order whose status changes keeps its purchase time.
-    """
+def typed_orders(orders: DataFrame) -> DataFrame:
+    """Orders with an id, in the types of the silver table, not yet de-duplicated; with
+    the time at which they were loaded, where bronze tells."""
     loaded = [INGESTED_AT] if INGESTED_AT in orders.columns else []
-    typed = orders.where(present("order_id")).select(
+    return orders.where(present("order_id")).select(
         varchar("order_id", 32).alias("order_id"),
         varchar("customer_id", 32).alias("customer_id"),
         varchar("order_status", 20).alias("order_status"),
@@ -96,8 +93,20 @@ def silver_orders(orders: DataFrame) -> DataFrame:
         F.col("order_estimated_delivery_date").cast("timestamp_ntz").alias("order_estimated_delivery_ts"),
         *loaded,
     )
-    order = [F.col("order_purchase_ts").desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in loaded]]
-    return first_per_key(typed, ["order_id"], order).drop(INGESTED_AT)
+
+
+def latest_orders(typed: DataFrame) -> DataFrame:
+    """The latest purchase per order id; a missing purchase time counts as latest.
+
+    Of rows of the same purchase the one loaded last counts, where that is known: an
+    order whose status changes keeps its purchase time.
+    """
+    loaded = [F.col(INGESTED_AT).desc_nulls_last()] if INGESTED_AT in typed.columns else []
+    return first_per_key(typed, ["order_id"], [F.col("order_purchase_ts").desc_nulls_first(), *loaded]).drop(INGESTED_AT)
+
+
+def silver_orders(orders: DataFrame) -> DataFrame:
+    return latest_orders(typed_orders(orders))
 
 
 def order_ids(orders: DataFrame) -> DataFrame:
@@ -108,8 +117,8 @@ def order_ids(orders: DataFrame) -> DataFrame:
     return orders.where(present("order_id")).select(varchar("order_id", 32).alias("order_id"))
 
 
-def silver_order_items(items: DataFrame) -> DataFrame:
-    typed = items.where(present("order_id", "order_item_id")).select(
+def typed_order_items(items: DataFrame) -> DataFrame:
+    return items.where(present("order_id", "order_item_id")).select(
         varchar("order_id", 32).alias("order_id"),
         F.col("order_item_id").cast("int").alias("order_item_id"),
         varchar("product_id", 32).alias("product_id"),
@@ -119,18 +128,24 @@ def silver_order_items(items: DataFrame) -> DataFrame:
         to_money("freight_value").alias("freight_value"),
         to_money(F.col("price") + F.col("freight_value")).alias("item_total_value"),
     )
-    return first_per_key(typed, ["order_id", "order_item_id"])
 
 
-def silver_order_payments(payments: DataFrame) -> DataFrame:
-    typed = payments.where(present("order_id", "payment_sequential")).select(
+def silver_order_items(items: DataFrame) -> DataFrame:
+    return first_per_key(typed_order_items(items), ["order_id", "order_item_id"])
+
+
+def typed_order_payments(payments: DataFrame) -> DataFrame:
+    return payments.where(present("order_id", "payment_sequential")).select(
         varchar("order_id", 32).alias("order_id"),
         F.col("payment_sequential").cast("int").alias("payment_sequential"),
         varchar("payment_type", 20).alias("payment_type"),
         F.col("payment_installments").cast("int").alias("payment_installments"),
         to_money("payment_value").alias("payment_value"),
     )
-    return first_per_key(typed, ["order_id", "payment_sequential"])
+
+
+def silver_order_payments(payments: DataFrame) -> DataFrame:
+    return first_per_key(typed_order_payments(payments), ["order_id", "payment_sequential"])
 
 
 def silver_order_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:

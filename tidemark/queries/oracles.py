@@ -577,6 +577,8 @@ ORACLES: dict[str, str] = {
         SELECT step, CASE WHEN step LIKE 'seeded%' THEN n ELSE 0 END AS row_count
         FROM (SELECT count(*) AS n FROM customer),
              (VALUES ('created'), ('seeded'), ('seeded again'), ('truncated'), ('seeded anew'), ('dropped')) AS t(step)""",
+    "bucketed_fact_order_items": _sql("SELECT * FROM fact_order_items"),
+    "bucketed_fact_payments": _sql("SELECT * FROM fact_payments"),
     "lake_to_gold": _ROW_COUNTS,
     "ingest_csv": """
         SELECT o_orderkey, o_custkey, o_totalprice,
