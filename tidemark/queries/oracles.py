@@ -284,41 +284,100 @@ def _check(model, test, *columns, severity="error", to=None, field=None, values=
     return Check(model, test, columns, severity, to, field, tuple(values))
 
 
-# The data tests that dq_report must run, stated apart from the code that runs them: per model the
-# columns that may not be null (n), must be unique (u) or refer to another model's column (>), a
-# question mark for those that only warn.
-_EXPECTED = """
-silver_sellers: n seller_id; n seller_zip_code_prefix; u seller_id
-silver_customers: n customer_id; n customer_unique_id; u customer_id
-silver_products: n product_id; u product_id
-silver_orders: n order_id; u order_id; ? customer_id > silver_customers
-silver_order_items: n order_id; n order_item_id; u order_id, order_item_id; ? product_id > silver_products; ? seller_id > silver_sellers
-silver_order_payments: n order_id; n payment_sequential; u order_id, payment_sequential; ? order_id > silver_orders
-silver_order_reviews: n review_id; n order_id; u review_id, order_id; ? order_id > silver_orders
-silver_geolocation: n geolocation_zip_code_prefix; u geolocation_zip_code_prefix
-dim_customers: n customer_key; n customer_id; n customer_zip_code_prefix; u customer_key; u customer_id; ? customer_id > silver_customers
-dim_sellers: n seller_key; n seller_id; n seller_zip_code_prefix; u seller_key; u seller_id
-dim_products: n product_key; n product_id; n product_category; u product_key; u product_id; product_id > silver_products
-fact_orders: n order_id; n customer_key; n order_status; n order_purchase_ts; u order_id; customer_key > dim_customers
-fact_order_items: n order_item_key; n order_id; n customer_key; n product_key; n seller_key; n order_item_id; n price; n freight_value; u order_item_key; order_id > fact_orders; customer_key > dim_customers; product_key > dim_products; seller_key > dim_sellers
-fact_payments: n payment_key; n order_id; n customer_key; n payment_sequential; n payment_type; n payment_installments; n payment_value; u payment_key; order_id > fact_orders; customer_key > dim_customers
-fact_reviews: n review_id; n order_id; ? n customer_key; n review_score; ? u review_id; ? order_id > fact_orders; ? customer_key > dim_customers
-"""
-_STATUSES = ["approved", "canceled", "created", "delivered", "invoiced", "processing", "shipped", "unavailable"]
+# --- fixed values: the data tests that dq_report must run, stated apart from the code that runs
+# them: model, test, columns, severity, and what a relationship refers to -----------------------
+_EXPECTED = [
+    ("silver_sellers", "unique", "seller_id", "error"),
+    ("silver_sellers", "not_null", "seller_id", "error"),
+    ("silver_sellers", "not_null", "seller_zip_code_prefix", "error"),
+    ("silver_customers", "not_null", "customer_id", "error"),
+    ("silver_customers", "unique", "customer_id", "error"),
+    ("silver_customers", "not_null", "customer_unique_id", "error"),
+    ("silver_products", "not_null", "product_id", "error"),
+    ("silver_products", "unique", "product_id", "error"),
+    ("silver_orders", "not_null", "order_id", "error"),
+    ("silver_orders", "unique", "order_id", "error"),
+    ("silver_orders", "relationships", "customer_id", "warn", "silver_customers.customer_id"),
+    ("silver_orders", "accepted_values", "order_status", "error"),
+    ("silver_order_items", "not_null", "order_id", "error"),
+    ("silver_order_items", "not_null", "order_item_id", "error"),
+    ("silver_order_items", "relationships", "product_id", "warn", "silver_products.product_id"),
+    ("silver_order_items", "relationships", "seller_id", "warn", "silver_sellers.seller_id"),
+    ("silver_order_items", "unique", "order_id, order_item_id", "error"),
+    ("silver_order_payments", "not_null", "order_id", "error"),
+    ("silver_order_payments", "relationships", "order_id", "warn", "silver_orders.order_id"),
+    ("silver_order_payments", "not_null", "payment_sequential", "error"),
+    ("silver_order_payments", "unique", "order_id, payment_sequential", "error"),
+    ("silver_order_reviews", "unique", "review_id, order_id", "error"),
+    ("silver_order_reviews", "not_null", "review_id", "error"),
+    ("silver_order_reviews", "not_null", "order_id", "error"),
+    ("silver_order_reviews", "relationships", "order_id", "warn", "silver_orders.order_id"),
+    ("silver_geolocation", "not_null", "geolocation_zip_code_prefix", "error"),
+    ("silver_geolocation", "unique", "geolocation_zip_code_prefix", "error"),
+    ("dim_customers", "unique", "customer_key", "error"),
+    ("dim_customers", "not_null", "customer_key", "error"),
+    ("dim_customers", "unique", "customer_id", "error"),
+    ("dim_customers", "not_null", "customer_id", "error"),
+    ("dim_customers", "relationships", "customer_id", "warn", "silver_customers.customer_id"),
+    ("dim_customers", "not_null", "customer_zip_code_prefix", "error"),
+    ("dim_sellers", "unique", "seller_key", "error"),
+    ("dim_sellers", "not_null", "seller_key", "error"),
+    ("dim_sellers", "unique", "seller_id", "error"),
+    ("dim_sellers", "not_null", "seller_id", "error"),
+    ("dim_sellers", "not_null", "seller_zip_code_prefix", "error"),
+    ("dim_products", "unique", "product_key", "error"),
+    ("dim_products", "not_null", "product_key", "error"),
+    ("dim_products", "unique", "product_id", "error"),
+    ("dim_products", "not_null", "product_id", "error"),
+    ("dim_products", "relationships", "product_id", "error", "silver_products.product_id"),
+    ("dim_products", "not_null", "product_category", "error"),
+    ("fact_orders", "not_null", "order_id", "error"),
+    ("fact_orders", "unique", "order_id", "error"),
+    ("fact_orders", "not_null", "customer_key", "error"),
+    ("fact_orders", "relationships", "customer_key", "error", "dim_customers.customer_key"),
+    ("fact_orders", "not_null", "order_status", "error"),
+    ("fact_orders", "not_null", "order_purchase_ts", "error"),
+    ("fact_order_items", "not_null", "order_item_key", "error"),
+    ("fact_order_items", "unique", "order_item_key", "error"),
+    ("fact_order_items", "not_null", "order_id", "error"),
+    ("fact_order_items", "relationships", "order_id", "error", "fact_orders.order_id"),
+    ("fact_order_items", "not_null", "customer_key", "error"),
+    ("fact_order_items", "relationships", "customer_key", "error", "dim_customers.customer_key"),
+    ("fact_order_items", "not_null", "product_key", "error"),
+    ("fact_order_items", "relationships", "product_key", "error", "dim_products.product_key"),
+    ("fact_order_items", "not_null", "seller_key", "error"),
+    ("fact_order_items", "relationships", "seller_key", "error", "dim_sellers.seller_key"),
+    ("fact_order_items", "not_null", "order_item_id", "error"),
+    ("fact_order_items", "not_null", "price", "error"),
+    ("fact_order_items", "not_null", "freight_value", "error"),
+    ("fact_payments", "not_null", "payment_key", "error"),
+    ("fact_payments", "unique", "payment_key", "error"),
+    ("fact_payments", "not_null", "order_id", "error"),
+    ("fact_payments", "relationships", "order_id", "error", "fact_orders.order_id"),
+    ("fact_payments", "not_null", "customer_key", "error"),
+    ("fact_payments", "relationships", "customer_key", "error", "dim_customers.customer_key"),
+    ("fact_payments", "not_null", "payment_sequential", "error"),
+    ("fact_payments", "not_null", "payment_type", "error"),
+    ("fact_payments", "not_null", "payment_installments", "error"),
+    ("fact_payments", "not_null", "payment_value", "error"),
+    ("fact_reviews", "not_null", "review_id", "error"),
+    ("fact_reviews", "unique", "review_id", "warn"),
+    ("fact_reviews", "not_null", "order_id", "error"),
+    ("fact_reviews", "relationships", "order_id", "warn", "fact_orders.order_id"),
+    ("fact_reviews", "not_null", "customer_key", "warn"),
+    ("fact_reviews", "relationships", "customer_key", "warn", "dim_customers.customer_key"),
+    ("fact_reviews", "not_null", "review_score", "error"),
+]
+# --- fixed values: accepted order statuses ------------------------------------------------------
+_STATUSES = ["shipped", "canceled", "delivered", "invoiced", "unavailable", "processing", "approved", "created"]
 
 
 def _expected() -> list[Check]:
-    checks = [_check("silver_orders", "accepted_values", "order_status", values=_STATUSES)]
-    for line in _EXPECTED.strip().splitlines():
-        model, tests = line.split(": ")
-        for test in tests.split("; "):
-            severity, test = ("warn", test[2:]) if test.startswith("? ") else ("error", test)
-            if " > " in test:
-                column, to = test.split(" > ")
-                checks.append(_check(model, "relationships", column, severity=severity, to=to, field=column))
-            else:
-                kind, columns = test.split(" ", 1)
-                checks.append(_check(model, {"n": "not_null", "u": "unique"}[kind], *columns.split(", "), severity=severity))
+    checks = []
+    for model, test, columns, severity, *target in _EXPECTED:
+        to, field = target[0].split(".") if target else (None, None)
+        values = _STATUSES if test == "accepted_values" else ()
+        checks.append(_check(model, test, *columns.split(", "), severity=severity, to=to, field=field, values=values))
     return checks
 
 
