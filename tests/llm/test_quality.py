@@ -98,3 +98,45 @@ def test_clashing_columns_are_not_read(rows):
     out = quality.quality_rules(docs, rows("doc_id long, quality int, text string", (1, 1, "t")))
     assert out.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     assert out.first()["n_words"] == 2
+
+
+def test_the_path_is_nested():
+    for name, _, _, way, values in quality.RULES:
+        assert list(values) == sorted(values, reverse=way > 0), name
+    assert len(quality.PATH) == sum(len(r[4]) for r in quality.RULES) == len(set(quality.PATH))
+    assert quality.in_force(None) == [None] * 5 and quality.in_force(len(quality.PATH) - 1) == [r[4][-1] for r in quality.RULES]
+
+
+def test_steps_are_tested_in_order_until_one_fails():
+    never = len(quality.PATH)
+    good, bad = [0] * (never + 1), [0] * (never + 1)
+    good[never], bad[3], bad[9] = 200, 5, 5
+    assert quality.best_step(good, bad, 0.05, 0.05) == 9
+    good[6] = 30  # fails there, so the later one is never reached
+    assert quality.best_step(good, bad, 0.05, 0.05) == 3
+    assert quality.best_step([0] * never + [58], bad, 0.05, 0.05) is None and quality.best_step([0] * never + [59], bad, 0.05, 0.05) == 9
+    assert quality.best_step([0] * (never + 1), bad, 0.05, 0.05) is None
+
+
+def test_no_stratum_loses_more_than_the_limit():
+    """Whole choices on repeated holdouts: the true loss of the chosen step is over the limit in few of them."""
+    rnd, over = random.Random(5), 0
+    steps = list(range(len(quality.PATH) + 1))
+    share = [0.004] * len(quality.PATH) + [1 - 0.004 * len(quality.PATH)]  # true loss after step s: 0.004 * (s + 1)
+    for _ in range(300):
+        drawn = Counter(rnd.choices(steps, share, k=250))
+        bad = [1] * len(steps)
+        pick = quality.best_step([drawn[s] for s in steps], bad, 0.05, 0.05)
+        over += pick is not None and 0.004 * (pick + 1) > 0.05
+    assert over <= 0.05 * 300 + 8
+
+
+def test_some_cutoff_is_certified_on_the_tables(spark):
+    """The method rejects documents that the base lets pass, and next to no good ones."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    chosen = quality.cutoffs(quality.with_measures(docs), labels, "lang").collect()
+    assert any(r[rule[0]] is not None for r in chosen for rule in quality.RULES)
+    out = quality.op3_quality_rules(spark, sf).join(labels, "doc_id", "left")
+    rejected = out.where("NOT kept AND NOT base_failed")
+    assert rejected.count() >= 10 and rejected.where("quality = 1").count() <= 0.05 * out.where("quality = 1").count()

@@ -1,13 +1,16 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-Each rule rejects a document whose measure lies beyond a cutoff. The cutoffs to
-choose from are fixed beforehand. For every stratum (language), rule and cutoff the
-labelled good documents that it would reject are counted; the cutoff is certified if
-the exact binomial upper bound of that share is within the rule's part of the limit,
-at a confidence shared among all tests made (Bonferroni). Of the certified cutoffs
-the one that best tells bad from good is used; without one, the rule rejects nothing
-in that stratum. So, with the stated confidence, no stratum loses more than the
-limit of its good documents to all rules together.
+Each rule rejects a document whose measure lies beyond a cutoff. A path of sets of
+cutoffs, one for each rule, is fixed beforehand; every step makes one cutoff stricter, so
+each set rejects all that the one before rejects. For every stratum (language) the
+labelled good documents that a set rejects by any rule are counted, and sets are tested
+along the path: one is certified if the exact binomial upper bound of that share is
+within the limit, and the first that is not ends the path. Tests in a fixed order of
+which each needs the one before share no chance among them, so the chance of an error is
+shared among the strata alone (Bonferroni). Of the certified sets the one that best tells
+bad from good is used; without one, nothing is rejected in that stratum. So, with the
+stated confidence, no stratum loses more than the limit of its good documents to all
+rules together.
 """
 
 from __future__ import annotations
@@ -25,16 +28,20 @@ from pyspark.sql import functions as F
 from .common import attach, load, written
 
 #: Share of good documents that a stratum may lose to all rules, and the chance that
-#: any certified cutoff breaks its part of that.
+#: any stratum loses more.
 LIMIT, MISS = 0.05, 0.05
-#: (name, numerator, denominator, direction, cutoffs): rejects what lies above (1) or below (-1).
+#: (name, numerator, denominator, direction, cutoffs): rejects what lies above (1) or below
+#: (-1). Cutoffs go from lenient to strict.
 RULES = (
-    ("symbols", "n_symbols", "word_chars", 1, (0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2)),
-    ("dup_lines", "n_dup_lines", "n_words", 1, (0.002, 0.005, 0.01, 0.02, 0.03, 0.05, 0.1)),
-    ("repeats", "n_repeat_words", "n_words", 1, (0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.15)),
-    ("long_words", "word_chars", "n_words", 1, (6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 16.0)),
-    ("short_words", "word_chars", "n_words", -1, (4.0, 3.5, 3.0, 2.5, 2.0)),
+    ("symbols", "n_symbols", "word_chars", 1, (0.2, 0.12, 0.08, 0.05, 0.03, 0.02, 0.01, 0.005)),
+    ("dup_lines", "n_dup_lines", "n_words", 1, (0.1, 0.05, 0.03, 0.02, 0.01, 0.005, 0.002)),
+    ("repeats", "n_repeat_words", "n_words", 1, (0.15, 0.1, 0.08, 0.06, 0.04, 0.02, 0.01)),
+    ("long_words", "word_chars", "n_words", 1, (16.0, 12.0, 10.0, 9.0, 8.0, 7.0, 6.0)),
+    ("short_words", "word_chars", "n_words", -1, (2.0, 2.5, 3.0, 3.5, 4.0)),
 )
+#: (rule, cutoff) in the order in which they come into force: the most lenient of each rule,
+#: then the next of each, and so on.
+PATH = [(n, k) for k in range(max(len(r[4]) for r in RULES)) for n, r in enumerate(RULES) if k < len(r[4])]
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 WINDOW = 5
@@ -111,15 +118,45 @@ def certified(rejected: int, good: int, limit: float, chance: float) -> bool:
 
 # ---- cutoffs ----------------------------------------------------------------------
 
-def _beyond(rule) -> list[Column]:
-    """Per cutoff of a rule: whether it rejects."""
-    _, over, under, way, cutoffs = rule
-    ratio = F.col(over) / F.when(F.col(under) > 0, F.col(under))
-    return [F.coalesce(ratio > F.lit(c) if way > 0 else ratio < F.lit(c), F.lit(False)) for c in cutoffs]
+def in_force(step: int | None) -> list[float | None]:
+    """The cutoff of each rule after a step of the path, None before its first."""
+    found: list[float | None] = [None] * len(RULES)
+    for n, k in PATH[: 0 if step is None else step + 1]:
+        found[n] = RULES[n][4][k]
+    return found
+
+
+def first_step() -> Column:
+    """The step of the path from which on a measured document is rejected; their number if never."""
+    firsts = []
+    for n, (_, over, under, way, cutoffs_) in enumerate(RULES):
+        ratio = F.col(over) / F.when(F.col(under) > 0, F.col(under))
+        case = F.lit(len(PATH))
+        for k in reversed(range(len(cutoffs_))):
+            beyond = ratio > F.lit(cutoffs_[k]) if way > 0 else ratio < F.lit(cutoffs_[k])
+            case = F.when(beyond, F.lit(PATH.index((n, k)))).otherwise(case)
+        firsts.append(case)
+    return F.least(*firsts)
+
+
+def best_step(good: list[int], bad: list[int], limit: float, chance: float) -> int | None:
+    """Of the certified steps the one that best tells bad from good, the most lenient of equals.
+
+    ``good`` and ``bad`` count the labelled documents by their first step, never included.
+    """
+    all_good, all_bad, best, pick = sum(good), sum(bad), 0.0, None
+    for step in range(len(PATH)):
+        rejected = sum(good[: step + 1])
+        if not certified(rejected, all_good, limit, chance):
+            break
+        gain = sum(bad[: step + 1]) / max(all_bad, 1) - rejected / all_good
+        if gain > best:
+            best, pick = gain, step
+    return pick
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, limit: float = LIMIT, miss: float = MISS) -> DataFrame:
-    """A row per stratum: a cutoff for each rule, null where none is certified.
+    """A row per stratum: the cutoff of each rule in force, null where there is none.
 
     ``labels`` has doc_id and quality (1 good, 0 bad); ids with both, and nulls, do
     not count. Documents that fail the base do not count either. Counts are made
@@ -131,30 +168,17 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, limit: float =
         .select(F.col("doc_id").alias("__labelled"), "__q")
     )
     holdout = measured.where("NOT base_failed").join(agreed, F.col("doc_id") == F.col("__labelled"))
-    counts = [
-        F.sum(hit.cast("long") * (F.col("__q") == y).cast("long")).alias(f"{rule[0]}_{k}_{y}")
-        for rule in RULES for k, hit in enumerate(_beyond(rule)) for y in (0, 1)
-    ]
-    table = holdout.groupBy(stratum).agg(F.sum("__q").alias("good"), F.sum(1 - F.col("__q")).alias("bad"), *counts)
-    table = written(table, "holdout")
-    tests = table.count() * sum(len(r[4]) for r in RULES)
-    names = [r[0] for r in RULES]
+    steps = range(len(PATH) + 1)
+    counts = [F.count_if((F.col("__first") == k) & (F.col("__q") == y)).alias(f"n_{k}_{y}") for k in steps for y in (0, 1)]
+    table = written(holdout.select(F.col(stratum).alias("stratum"), "__q", first_step().alias("__first")).groupBy("stratum").agg(*counts), "holdout")
+    strata, names = table.count(), [r[0] for r in RULES]
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for r in batch.to_dict("records"):
-                row = [r[stratum]]
-                for name, _, _, _, values in RULES:
-                    best, pick = 0.0, None
-                    for k, value in enumerate(values):
-                        bad, good = r[f"{name}_{k}_0"], r[f"{name}_{k}_1"]
-                        gain = bad / max(r["bad"], 1) - good / max(r["good"], 1)
-                        # Of equal gain the more lenient: later for either direction.
-                        if gain > 0 and gain >= best and certified(good, r["good"], limit / len(RULES), miss / tests):
-                            best, pick = gain, value
-                    row.append(pick)
-                rows.append(row)
+                bad, good = ([r[f"n_{k}_{y}"] for k in steps] for y in (0, 1))
+                rows.append([r["stratum"], *in_force(best_step(good, bad, limit, miss / strata))])
             yield pd.DataFrame(rows, columns=[stratum, *names]).astype({n: "float64" for n in names})
 
     kind = measured.schema[stratum].dataType.simpleString()
@@ -193,10 +217,7 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    tests = sum(len(r[4]) for r in RULES)
-    grid = ", ".join(
-        f"('{name}', {way}, {k}, {c})" for name, _, _, way, values in RULES for k, c in enumerate(values)
-    )
+    grid = ", ".join(f"('{RULES[n][0]}', {RULES[n][3]}, {step}, {RULES[n][4][k]})" for step, (n, k) in enumerate(PATH))
     ratio = " UNION ALL ".join(
         f"SELECT doc_id, lang, '{name}' AS rule, {over}::DOUBLE / nullif({under}, 0) AS ratio FROM base WHERE NOT base_failed"
         for name, over, under, _, _ in RULES
@@ -225,28 +246,33 @@ WITH RECURSIVE lines AS (
   FROM tokens t LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)
 ), ratios AS (
   {ratio}
-), grid(rule, way, k, cutoff) AS (VALUES {grid}
+), grid(rule, way, step, cutoff) AS (VALUES {grid}
+), firsts AS (
+  SELECT doc_id, lang, min(step) AS first FROM ratios JOIN grid USING (rule)
+  WHERE CASE way WHEN 1 THEN ratio > cutoff ELSE ratio < cutoff END GROUP BY ALL
 ), labelled AS (
   SELECT doc_id, min(quality) AS q FROM labels WHERE quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality)
+), holdout AS (
+  SELECT b.lang, q, coalesce(first, {len(PATH)}) AS first
+  FROM base b JOIN labelled USING (doc_id) LEFT JOIN firsts USING (doc_id) WHERE NOT base_failed
 ), counted AS (
-  SELECT lang, rule, way, k, cutoff, sum(q) AS good, sum(1 - q) AS bad,
-    coalesce(sum(q) FILTER (CASE way WHEN 1 THEN ratio > cutoff ELSE ratio < cutoff END), 0) AS good_out,
-    coalesce(sum(1 - q) FILTER (CASE way WHEN 1 THEN ratio > cutoff ELSE ratio < cutoff END), 0) AS bad_out
-  FROM ratios JOIN labelled USING (doc_id) JOIN grid USING (rule) GROUP BY ALL
+  SELECT lang, step, sum(q) AS good, sum(1 - q) AS bad,
+    coalesce(sum(q) FILTER (first <= step), 0) AS good_out, coalesce(sum(1 - q) FILTER (first <= step), 0) AS bad_out
+  FROM holdout, (SELECT step FROM grid) GROUP BY ALL
 ), tested AS (
   SELECT *, bad_out / greatest(bad, 1) - good_out / greatest(good, 1) AS gain,
     CASE WHEN good_out >= good THEN 1 ELSE list_sum([
       exp(lgamma(good + 1) - CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - lgamma(good - i + 1)
-        + i * ln({LIMIT / len(RULES)}) + (good - i) * ln({1 - LIMIT / len(RULES)}))
+        + i * ln({LIMIT}) + (good - i) * ln({1 - LIMIT}))
       FOR i IN range(0, good_out::BIGINT + 1)]) END AS chance
   FROM counted
+), certified AS (
+  SELECT *, bool_and(chance <= {MISS} / (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM tested))
+    OVER (PARTITION BY lang ORDER BY step) AS so_far FROM tested
 ), chosen AS (
-  SELECT lang, rule, way, arg_max(cutoff, (gain, k)) AS cutoff FROM tested
-  WHERE gain > 0 AND chance <= {MISS} / ({tests} * (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM tested))
-  GROUP BY ALL
+  SELECT lang, arg_max(step, (gain, -step)) AS step FROM certified WHERE so_far AND gain > 0 GROUP BY lang
 ), rejected AS (
-  SELECT DISTINCT doc_id FROM ratios r JOIN chosen c ON r.rule = c.rule AND r.lang IS NOT DISTINCT FROM c.lang
-  WHERE CASE way WHEN 1 THEN ratio > cutoff ELSE ratio < cutoff END
+  SELECT doc_id FROM firsts f JOIN chosen c ON f.lang IS NOT DISTINCT FROM c.lang WHERE first <= step
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
