@@ -1,5 +1,6 @@
 """Source mixing: targets, schedule, and what the mix takes."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -136,3 +137,64 @@ def test_the_mix_in_order_deals_sources_evenly_and_in_stream_order(rows):
         if at < 0.8 * total:
             assert all(abs(seen[s] - at * final[s] / total) < 6 * 16 for s in "abc")
     assert all(r["first"] + r["words"] <= sizes[r["doc_id"]] for r in out)
+
+
+def first_hit(a, m, low, high):
+    """The least k from 0 on for which k * a mod m lies from low to high; None if none does."""
+    if low == 0:
+        return 0
+    if a == 0:
+        return None
+    if 2 * a > m:
+        return first_hit(m - a, m, m - high, m - low)
+    k = -(-low // a)
+    if k * a <= high:
+        return k
+    wraps = first_hit(m % a, a, -high % a, -low % a)
+    return None if wraps is None else -(-(low + m * wraps) // a)
+
+
+def test_first_hit():
+    rnd = random.Random(3)
+    for _ in range(300):
+        m = rnd.randint(5, 400)
+        a, low = rnd.randint(1, m - 1), rnd.randint(1, m - 1)
+        high = rnd.randint(low, m - 1)
+        want = next((k for k in range(1, m + 1) if low <= k * a % m <= high), None)
+        assert first_hit(a, m, low, high) == want
+
+
+def test_no_source_of_one_block_is_lost_at_any_size():
+    """Points alone: of 200 million blocks (8e11 words), and of 20 billion, each has a point in time."""
+    rnd = random.Random(7)
+    for n in (2_000_000, 200_000_000, 20_000_000_000):
+        points = int(n * mixing.ENOUGH_POINTS) + 2
+        for unit in [1, n - 2, *(rnd.randrange(1, n - 1) for _ in range(300))]:
+            low, high = -(-unit * mixing.PERIOD // n), -(-(unit + 1) * mixing.PERIOD // n) - 1
+            assert first_hit(mixing.GOLDEN, mixing.PERIOD, low, high) <= points
+
+
+def test_missing_slots_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ENOUGH_POINTS", 0.5)
+    sources = spark.createDataFrame(
+        [("a", 1, 1, 0, 0.0, 5000), ("b", 2, 1, 0, 0.0, 1)], "source string, sid int, n long, source_size long, target double, quota long")
+    with pytest.raises(RuntimeError, match="fewer slots"):
+        mixing.schedule(sources, 1)
+
+
+def test_clashing_columns(rows):
+    docs = rows(SCHEMA + ", target string, Taken string, sid string, __key string, place string, start string, first_slot string, row string, slot string",
+                *[(i, "ab"[i % 2], 5, *"tusdepfrl") for i in range(40)])
+    out = mixing.mix(docs, block=8)
+    assert out.columns == ["doc_id", "source", "size", "sid", "__key", "place", "start", "row", "slot", "source_size", "target", "taken", "first_slot"]
+    want = {r["doc_id"]: (r["taken"], r["first_slot"]) for r in mixing.mix(docs.select("doc_id", "source", "size"), block=8).collect()}
+    got = out.collect()
+    assert {r["doc_id"]: (r["taken"], r["first_slot"]) for r in got} == want and all(r["start"] == "p" for r in got)
+
+
+def test_first_slots_are_those_of_the_mix(rows):
+    docs = rows(SCHEMA, *[(i, "abc"[i % 3], i % 7 + 1) for i in range(600)])
+    firsts = {}
+    for r in mixing.mixed_order(docs, block=16).collect():
+        firsts.setdefault(r["doc_id"], r["slot"])
+    assert {r["doc_id"]: r["first_slot"] for r in mixing.mix(docs, block=16).collect() if r["taken"]} == firsts

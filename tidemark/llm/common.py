@@ -103,6 +103,14 @@ def in_parts(texts: Iterable, most_chars: int, most_rows: int) -> Iterator[slice
         yield slice(begun, end)
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """A name like ``name`` that none of the columns has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import load, sample_ids
+from .common import load, sample_ids, unused
 
 #: The model learns from at most so many documents of each language, first by digest
 #: of their id, and from so many words of each of them, by a hash of their place in the
@@ -223,7 +223,8 @@ def _model(crc: int, value) -> Model:
 
 
 def with_language(docs: DataFrame, model: bytes) -> DataFrame:
-    """Adds lang_pred and score; reads whole texts and nothing else.
+    """Adds lang_pred and score, in place of columns of these names; reads whole texts and
+    nothing else.
 
     A null text, or one without a letter, is ``und`` with score 0, and so is every
     text if no language was learned. Ties go to the first language by name. Equal
@@ -237,7 +238,9 @@ def with_language(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame([model.predict(t) for t in batch], columns=["lang_pred", "score"])
 
-    return docs.withColumn("__found", predict("text")).select(*docs.columns, "__found.lang_pred", "__found.score")
+    found = unused(docs.columns, "found")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return docs.select(*kept, predict("text").alias(found)).select(*kept, f"{found}.lang_pred", f"{found}.score")
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

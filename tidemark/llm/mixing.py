@@ -2,7 +2,7 @@
 
 Every source is a stream: its documents in a fixed shuffled order, repeated as
 often as the mix needs, cut into blocks of equally many words. The golden-ratio
-points x_j = frac(j * 0.618…) are mapped through the cumulative shares of the
+points x_j = frac(j * 0.618…), in whole numbers, are mapped through the cumulative shares of the
 sources, so point j gives slot j to one source. The k-th slot of a source takes
 the k-th block of its stream. A source is closed once its quota of blocks has
 been placed; its last block stops at the target.
@@ -18,7 +18,9 @@ from .common import GROUP_ROWS, attach, with_start, word_count, written
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 4096
-GOLDEN = 0.6180339887498949
+#: The golden ratio's fraction in parts of a period: two Fibonacci numbers (the 91st and the
+#: 92nd), whose quotient's points are spread as those of the ratio itself for a whole period.
+GOLDEN, PERIOD = 4660046610375530309, 7540113804746346429
 #: Any interval of length 1/n is met by one of the first 2.62 n + 2 golden-ratio points.
 ENOUGH_POINTS = 2.62
 SEED = "mix-1"
@@ -67,38 +69,42 @@ def targets(rows: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, to
 def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """Slots in order: slot, sid, block (the source's block that the slot takes).
 
-    Slots that fall to a closed source are left out.
+    Slots that fall to a closed source are left out. A source that got fewer slots than
+    it has blocks is an error, not a loss.
     """
     spark = sources.sparkSession
     wanted = sources.where("quota > 0").withColumn("blocks", F.ceil(F.col("quota") / block).cast("long"))
     n, kinds = wanted.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.count(F.lit(1))).first()
     points = int(n * ENOUGH_POINTS) + 2 if n else 0
-    # Shares as stretches of the unit interval, cut into cells so that slots find
-    # their source by an equal join whose keys are evenly met.
+    # Points are parts of the period, and shares stretches of the n blocks: whole numbers, so
+    # that no point is off, however many there are. Stretches are cut into cells so that
+    # slots find their source by an equal join whose keys are evenly met.
     cells = max(1024, 4 * kinds)
     upto = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     stretches = (
         wanted.withColumn("hi", F.sum("blocks").over(upto))
         .withColumn("lo", F.col("hi") - F.col("blocks"))
-        .withColumn("cell", F.explode(F.sequence(
-            F.floor(F.col("lo") * cells / max(n, 1)).cast("long"),
-            F.least(F.floor(F.col("hi") * cells / max(n, 1)), F.lit(cells - 1)).cast("long"),
-        )))
+        .withColumn("cell", F.explode(F.sequence(F.expr(f"lo * {cells} div {max(n, 1)}"), F.expr(f"(hi - 1) * {cells} div {max(n, 1)}"))))
         .select("sid", "blocks", "lo", "hi", "cell")
     )
-    at = F.col("slot") * F.lit(GOLDEN)
+    x = f"(CAST(id AS DECIMAL(18)) * {GOLDEN}BD) % {PERIOD}BD"
     slots = (
-        spark.range(1, points + 1).withColumnRenamed("id", "slot")
-        .withColumn("x", at - F.floor(at))
-        .withColumn("cell", F.least(F.floor(F.col("x") * cells), F.lit(cells - 1)).cast("long"))
+        spark.range(1, points + 1)
+        .select(F.col("id").alias("slot"), F.expr(f"CAST({x} AS DECIMAL(20)) * {max(n, 1)}BD div {PERIOD}BD").alias("unit"))
+        .withColumn("cell", F.expr(f"unit * {cells} div {max(n, 1)}"))
         .join(stretches, "cell")
-        .where((F.col("x") * max(n, 1) >= F.col("lo")) & (F.col("x") * max(n, 1) < F.col("hi")))
+        .where((F.col("unit") >= F.col("lo")) & (F.col("unit") < F.col("hi")))
         .withColumn("stretch", F.floor(F.col("slot") / GROUP_ROWS))
         .withColumn("one", F.lit(1))
         .select("slot", "sid", "blocks", "stretch", "one")
     )
-    ranked = with_start(slots, "sid", "stretch", [F.col("slot")], "one")
-    return ranked.where(F.col("start") < F.col("blocks")).select("slot", "sid", F.col("start").alias("block"))
+    ranked = with_start(slots, "sid", "stretch", [F.col("slot")], "one").where(F.col("start") < F.col("blocks"))
+    found = written(ranked.select("slot", "sid", F.col("start").alias("block")), "slots")
+    placed = found.groupBy("sid").agg(F.count(F.lit(1)).alias("placed"))  # a row per source
+    short = wanted.join(placed, "sid", "left").where(F.coalesce("placed", F.lit(0)) != F.col("blocks")).select("source").first()
+    if short:
+        raise RuntimeError(f"source {short['source']!r} got fewer slots than it has blocks")
+    return found
 
 
 def streams(rows: DataFrame, sources: DataFrame, tie: list[str] = ()) -> DataFrame:
@@ -143,27 +149,31 @@ def mix(
     rows: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, total: int | None = None,
     block: int = BLOCK_WORDS, tie: list[str] = (),
 ) -> DataFrame:
-    """Every row with source_size, target and ``taken``, the words the mix takes of it.
-
-    ``rows`` has doc_id, source and size (its words), and may have any columns
-    but those that this adds. Words repeated count again. Nulls: a null source is
-    a source of its own, sorted last; a null id shuffles like any other. Rows of
-    size 0 are taken 0. Equal rows are separate documents; those equal in id and
-    size are told apart by ``tie`` and else are alike. An empty table gives none.
-    Reruns agree, since order comes from digests alone.
+    """Every row with source_size, target, ``taken``, the words the mix takes of it, and
+    ``first_slot``, the slot that takes its first word (null if none does).
+
+    ``rows`` has doc_id, source and size (its words); other columns pass through, but
+    for those named like an added one, which comes in their place. Words repeated count
+    again. Nulls: a null source is a source of its own, sorted last; a null id shuffles
+    like any other. Rows of size 0 are taken 0. Equal rows are separate documents; those
+    equal in id and size are told apart by ``tie`` and else are alike. An empty table
+    gives none. Reruns agree, since order comes from digests alone.
     """
     sources = written(targets(rows.select("source", "size"), weights, max_repeats, total), "sources")
-    placed = streams(rows, sources, tie)
-    narrow = streams(rows.select("doc_id", "source", "size", *tie), sources, tie)
+    own = ["doc_id", "source", "size", *tie]
+    placed = streams(rows.select(*own, F.struct("*").alias("row")), sources, tie)
+    narrow = streams(rows.select(*own), sources, tie)
     key = ["sid", "__bucket_of", "place"]
     taken = (
         pieces(narrow, schedule(sources, block), block, max_repeats)
-        .groupBy(*key).agg(F.sum("words").alias("__taken"))
-        .select(*[F.col(k).alias(f"__k_{k}") for k in key], "__taken")
+        .groupBy(*key).agg(F.sum("words").alias("__taken"), F.min("slot").alias("__slot"))
+        .select(*[F.col(k).alias(f"__k_{k}") for k in key], "__taken", "__slot")
     )
     meet = [F.col(k) == F.col(f"__k_{k}") for k in key]
+    added = ("source_size", "target", "taken", "first_slot")
     return placed.join(taken, meet, "left").select(
-        *rows.columns, "source_size", "target", F.coalesce("__taken", F.lit(0)).cast("long").alias("taken")
+        *[F.col("row")[c].alias(c) for c in rows.columns if c.lower() not in added], "source_size", "target",
+        F.coalesce("__taken", F.lit(0)).cast("long").alias("taken"), F.col("__slot").alias("first_slot"),
     )
 
 
@@ -186,7 +196,7 @@ def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
     """All documents, sources weighing 5, 2, 1, … and sharing as many words as there are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    return mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(sized).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def mix_documents(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, total: int | None = None) -> DataFrame:
@@ -226,15 +236,26 @@ WITH sized AS (
 ), goals AS (
   SELECT *, least(most::DOUBLE, weight * (SELECT max(level) FROM levels)) AS target FROM levels
 ), placed AS (
-  SELECT s.doc_id, s.size, g.source_size, g.target, floor(g.target + 0.5)::BIGINT AS quota,
+  SELECT s.doc_id, s.size, g.sid, g.source_size, g.target, floor(g.target + 0.5)::BIGINT AS quota,
     coalesce(sum(s.size) OVER (
       PARTITION BY g.sid
       ORDER BY md5('mix-1:' || coalesce(s.doc_id::VARCHAR, '-') || ':' || s.size), s.doc_id, s.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+), shares AS (
+  SELECT sid, blocks, sum(blocks) OVER (ORDER BY sid) - blocks AS lo
+  FROM (SELECT sid, ceil(floor(target + 0.5) / BLOCK)::BIGINT AS blocks FROM goals)
+), points AS (
+  SELECT slot, (slot::HUGEINT * GOLDEN % PERIOD) * n // PERIOD AS unit
+  FROM (SELECT n, unnest(range(1, floor(n * POINTS)::BIGINT + 3)) AS slot FROM (SELECT sum(blocks)::HUGEINT AS n FROM shares))
+), slots AS (
+  SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS block
+  FROM points JOIN shares ON unit >= lo AND unit < lo + blocks
 )
 SELECT doc_id, size, source_size, target,
   CASE WHEN source_size = 0 THEN 0
-    ELSE size * (quota // source_size) + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken
-FROM placed
+    ELSE size * (quota // source_size) + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken,
+  CASE WHEN size > 0 AND start < quota THEN slot END AS first_slot
+FROM placed LEFT JOIN slots ON slots.sid = placed.sid AND slots.block = start // BLOCK
 """
+ORACLE_OP1 = ORACLE_OP1.replace("BLOCK", str(BLOCK_WORDS)).replace("GOLDEN", str(GOLDEN)).replace("PERIOD", str(PERIOD)).replace("POINTS", str(ENOUGH_POINTS))

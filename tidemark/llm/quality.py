@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, load, written
+from .common import attach, load, unused, written
 
 #: Share of good documents that a stratum may lose to all rules, and the chance that
 #: any stratum loses more.
@@ -70,7 +70,8 @@ def measures(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def with_measures(docs: DataFrame) -> DataFrame:
-    """Adds the five measures and base_failed; a null text has no words."""
+    """Adds the five measures and base_failed, in place of columns of these names; a null
+    text has no words."""
 
     @F.pandas_udf(MEASURES)
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -78,7 +79,9 @@ def with_measures(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame([measures(t) for t in batch], columns=[c.split()[0] for c in MEASURES.split(", ")])
 
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return docs.withColumn("__m", measured("text")).select(*docs.columns, "__m.*").withColumn("base_failed", failed)
+    names, m = [c.split()[0] for c in MEASURES.split(", ")], unused(docs.columns, "m")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*names, "base_failed")]
+    return docs.select(*kept, measured("text").alias(m)).select(*kept, f"{m}.*").withColumn("base_failed", failed)
 
 
 # ---- exact binomial bounds --------------------------------------------------------

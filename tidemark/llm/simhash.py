@@ -65,13 +65,13 @@ def _signed(x: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Adds ``bits``, the fingerprint as a signed long."""
+    """Adds ``bits``, the fingerprint as a signed long, in place of a column of that name."""
 
     @F.pandas_udf("long")
     def bits(texts: pd.Series) -> pd.Series:
         return pd.Series([_signed(fingerprint(t, shingle)) for t in texts], dtype="int64")
 
-    return docs.withColumn("bits", bits("text"))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "bits"], bits("text").alias("bits"))
 
 
 # ---- links ----------------------------------------------------------------------

@@ -59,7 +59,8 @@ def _network(crc: int, value) -> Network:
 
 
 def with_score(docs: DataFrame, model: bytes) -> DataFrame:
-    """Adds ``score``: 0 to 1, of the worst window of the whole text.
+    """Adds ``score``, in place of a column of that name: 0 to 1, of the worst window of
+    the whole text.
 
     Null and empty texts get the score of an empty window. Rows equal in text get
     equal scores, up to single-precision rounding. Only ``text`` is read; other columns pass through.
@@ -75,7 +76,7 @@ def with_score(docs: DataFrame, model: bytes) -> DataFrame:
                 out.extend(net.score([t or "" for t in batch.iloc[part]]))
             yield pd.Series(out, dtype="float64")
 
-    return docs.withColumn("score", score("text"))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"], score("text").alias("score"))
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:

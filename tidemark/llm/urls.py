@@ -80,14 +80,14 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     columns pass through, also those named like an added one, which comes in their place.
     """
     added = ("blocked", "entries", "lists", "since")
-    found = active(captures.withColumn("fetched", F.col("fetched").cast("date")), entries)
-    found = found.select(F.col("url").alias("__url"), F.col("fetched").alias("__day"), F.struct(*added[1:]).alias("__found"))
-    meet = (F.col("url") == F.col("__url")) & (F.col("fetched").cast("date") == F.col("__day"))
-    out = captures.join(found, meet, "left")
+    found = active(captures.select("url", F.col("fetched").cast("date").alias("fetched")), entries)
+    found = found.select(F.col("url").alias("met"), F.col("fetched").alias("on"), F.struct(*added[1:]).alias("found"))
+    rows = captures.select("url", F.col("fetched").cast("date").alias("day"), F.struct("*").alias("row"))
+    out = rows.join(found, (F.col("url") == F.col("met")) & (F.col("day") == F.col("on")), "left")
     return out.select(
-        *[c for c in captures.columns if c not in added],
-        F.col("__found").isNotNull().alias("blocked"), F.coalesce("__found.entries", F.lit(0)).cast("long").alias("entries"),
-        F.coalesce("__found.lists", F.lit("")).alias("lists"), F.col("__found.since").alias("since"),
+        *[F.col("row")[c].alias(c) for c in captures.columns if c.lower() not in added],
+        F.col("found").isNotNull().alias("blocked"), F.coalesce("found.entries", F.lit(0)).cast("long").alias("entries"),
+        F.coalesce("found.lists", F.lit("")).alias("lists"), F.col("found.since").alias("since"),
     )
 
 

@@ -83,8 +83,10 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``docs`` (with a column text) with ``marks``, the chosen (hash, place) pairs."""
-    return with_chosen(docs, "text", "marks").withColumn("marks", marks(F.col("marks")))
+    """``docs`` (with a column text) with ``marks``, the chosen (hash, place) pairs, in
+    place of a column of that name."""
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "marks"]).alias("row"))
+    return with_chosen(rows, "text", "marks").select("row.*", marks(F.col("marks")).alias("marks"))
 
 
 def with_following(docs: DataFrame) -> DataFrame:
