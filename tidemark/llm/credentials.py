@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -137,30 +136,25 @@ def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
 
     ``parts`` has a row per part. Only texts with a weak part are looked at.
     """
-    weak = parts.where(F.col("kind") >= FIRST_WEAK)
     role = _role(F.col("kind"))
+    cell = lambda place: F.floor(F.col(place) / reach).cast("long")
     # A part that starts in the cell of the weak one's end is near, whichever comes first,
     # since the two do not touch; so is one that ends in the cell of the weak one's start.
-    cell = lambda place: F.floor(place / reach)
-    starts = parts.groupBy("rid", role.alias("role"), cell(F.col("start")).alias("cell")).agg(F.min("start").alias("first"))
-    ends = parts.groupBy("rid", role.alias("role"), cell(F.col("end")).alias("cell")).agg(F.max("end").alias("last"))
-    edges = starts.select("rid", "role", "cell", F.lit(0).alias("side"), F.col("first").alias("at")).unionByName(
-        ends.select("rid", "role", "cell", F.lit(1).alias("side"), F.col("last").alias("at"))
+    edge = lambda side, place: F.struct(F.lit(side).alias("side"), cell(place).alias("cell"), F.col(place).alias("at"))
+    edges = (
+        parts.select("rid", role.alias("role"), F.inline(F.array(edge(0, "start"), edge(1, "end"))))
+        .groupBy("rid", "role", "side", "cell").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     )
-    looks = []
+    look = lambda other, side, place, step: F.struct(
+        F.lit(other).alias("role"), F.lit(side).alias("side"), (cell(place) + step).alias("cell"))
+    looks = F.lit(None)
     for mine, others in COMPLEMENTS.items():
-        of = weak.where(role == mine)
-        for other in others:
-            for side, place, step in ((0, "end", 0), (0, "end", 1), (1, "start", 0), (1, "start", -1)):
-                looks.append(of.select(
-                    "rid", F.lit(other).alias("role"), (cell(F.col(place)) + step).alias("cell"), F.lit(side).alias("side"),
-                    "start", "kind", "end",
-                ))
-    gap = F.when(F.col("side") == 0, F.col("at") - F.col("end")).otherwise(F.col("start") - F.col("at"))
-    return (
-        reduce(DataFrame.unionByName, looks).join(edges, ["rid", "role", "cell", "side"])
-        .where(gap <= reach).select("rid", "start", "kind", "end").distinct()
-    )
+        places = ((0, "end", 0), (0, "end", 1), (1, "start", 0), (1, "start", -1))
+        looks = F.when(role == mine, F.array(*[look(other, *p) for other in others for p in places])).otherwise(looks)
+    asked = parts.where(F.col("kind") >= FIRST_WEAK).select("rid", "start", "kind", "end", F.inline(looks))
+    gap = F.when(F.col("side") == 0, F.col("first") - F.col("end")).otherwise(F.col("start") - F.col("last"))
+    near = asked.join(edges, ["rid", "role", "side", "cell"]).where(gap <= reach)
+    return near.select("rid", "start", "kind", "end").distinct()
 
 
 def _listed(spans_: Column) -> Column:
