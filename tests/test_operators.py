@@ -1,11 +1,13 @@
 import random
 from collections import Counter
 from datetime import datetime
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
+from tidemark.operators import keys
 from tidemark.operators import (
     accepted, centroid_and_modes, check_contract, children_of, concat_frames, content_fingerprint,
     count_rows, delta_since, first_per_key, has_changed, max_or_default, max_version, not_null,
@@ -170,3 +172,41 @@ def test_duplicates_of_long_texts(rows):
     assert (row["row_count"], row["duplicates"]) == (2, 0)
     row = profile.duplicate_rows(rows("t string", (long,), (long,), (None,), (None,), ("",)), "t").first()
     assert (row["row_count"], row["duplicates"]) == (5, 2)
+
+
+def test_keys_and_references_are_found_and_false_ones_rejected(rows):
+    given = {
+        "parent": rows("id int, other int, day date, name string", *[(k, k % 7, None, f"n{k}") for k in range(500)]),
+        "child": rows("a bigint, b int, c int, d int, e string", *[(k % 40, k // 40, k % 500, 600 if k == 3 else k % 500, f"n{k % 3}") for k in range(1000)]),
+        "almost": rows("id int, n int", *[(k, k) for k in range(3000)], (5, 3001)),
+        "gone": rows("id int, x int", (None, 1), (1, 2)),
+        "empty": rows("id int"),
+    }
+    found = {n: keys.sketches(n, df) for n, df in given.items()}
+    mine = keys.find_keys(given, found)
+    want = []
+    for name, df in given.items():
+        data, least = [r.asDict() for r in df.collect()], []
+        for size in (1, 2):
+            for some in combinations(df.columns, size):
+                held = [tuple(r[c] for c in some) for r in data]
+                if data and None not in [v for h in held for v in h] and len(set(held)) == len(held) and not any(set(k) <= set(some) for k in least):
+                    least.append(some)
+        want += [(name, k) for k in least]
+    assert mine == want and {("parent", ("id",)), ("child", ("a", "b")), ("gone", ("x",))} <= set(mine)
+    assert not any("id" in k for n, k in mine if n in ("almost", "gone"))
+    refs = keys.find_references(given, found, mine)
+    assert ("child", "c", "parent", "id") in refs and ("child", "d", "parent", "id") not in refs
+    assert ("child", "e", "parent", "name") in refs and ("almost", "id", "parent", "id") not in refs
+    tests = keys.as_checks(mine, refs)
+    assert {r["status"] for r in run_checks(given, tests).collect()} == {"pass"} and len(tests) > len(mine) + len(refs)
+    assert ("gone", "id", "parent", "id") in refs and not any(r[0] == "empty" or r[2] == "empty" for r in refs)
+
+
+def test_sketches_bound_what_is_grouped(rows, monkeypatch):
+    """A column with few values is never grouped, nor are two whose values cannot tell the rows apart."""
+    asked = []
+    monkeypatch.setattr(keys, "is_key", lambda df, columns: asked.append(tuple(columns)) or False)
+    df = rows("id int, few int, some int", *[(k, k % 3, k % 20) for k in range(1000)])
+    keys.find_keys({"t": df}, {"t": keys.sketches("t", df)})
+    assert asked == [("id",), ("id", "few"), ("id", "some")]

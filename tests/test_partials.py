@@ -1,0 +1,91 @@
+"""States that batches are merged into equal the whole, and read no earlier batch again."""
+
+import random
+
+import pytest
+from conftest import values
+from pyspark.sql import functions as F
+
+from tidemark.operators.checks import accepted, not_null, relationship, run_checks, unique
+from tidemark.plans.partials import GeolocationState, LatestOrders, TestState
+from tidemark.plans.silver import silver_geolocation, silver_orders
+from tidemark.schemas import bronze_ddl
+from tidemark.sinks.merged import MergedTable
+
+
+def counted(spark, folder, buckets=8):
+    schema = spark.createDataFrame([], "k int, n bigint").schema
+    return MergedTable(spark, folder, schema, ["k"], lambda r: r.groupBy("k").agg(F.sum("n").alias("n")), buckets)
+
+
+def test_only_touched_buckets_are_written(spark, rows, tmp_path):
+    table = counted(spark, str(tmp_path / "t"), 16)
+    assert table.read().collect() == []
+    assert len(table.merge(0, rows("k int, n bigint", *[(k, 1) for k in range(200)], (None, 1)))) == 16
+    assert len(table.merge(5, rows("k int, n bigint", (7, 1), (7, 1)))) == 1
+    assert table.merge(5, rows("k int, n bigint", (8, 1))) == [] == table.merge(3, rows("k int, n bigint", (8, 1)))
+    got = dict(values(table.read()))
+    assert got[7] == 3 and got[8] == 1 and got[None] == 1 and len(got) == 201
+    assert table.merge(6, rows("k int, n bigint")) == [] and dict(values(table.read())) == got
+
+
+def test_a_merge_that_died_is_repeated(spark, rows, tmp_path, monkeypatch):
+    table = counted(spark, str(tmp_path / "t"))
+    table.merge(0, rows("k int, n bigint", (1, 1), (2, 1)))
+
+    def died(*_, **__):
+        raise OSError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(table.state, "put", died)
+        with pytest.raises(OSError):
+            table.merge(1, rows("k int, n bigint", (1, 10), (3, 10)))
+    assert values(table.read()) == [(1, 1), (2, 1)]
+    table.merge(1, rows("k int, n bigint", (1, 5)))
+    assert values(table.read()) == [(1, 6), (2, 1)]
+
+
+def test_geolocation_of_batches_is_that_of_the_whole(spark, tmp_path):
+    rnd = random.Random(6)
+    data = [(f"{rnd.choice(['', '0'])}{rnd.randint(1, 9)}", rnd.uniform(-9, 9), None if rnd.random() < 0.2 else 1.5,
+             rnd.choice(["a", "b", None]), rnd.choice(["x", "y", None]), None, None) for _ in range(300)]
+    points = spark.createDataFrame(data, bronze_ddl("api_geolocation"))
+    state = GeolocationState(spark, str(tmp_path / "g"))
+    for k in range(3):
+        state.add(k, spark.createDataFrame(data[k::3], points.schema))
+    rounded = lambda df: [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in values(df)]
+    assert rounded(state.result()) == rounded(silver_geolocation(points))
+
+
+def test_orders_of_batches_whose_files_are_gone(spark, rows, tmp_path):
+    schema = "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, " \
+             "order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz"
+    rnd = random.Random(2)
+    given = rows(schema).withColumn("order_status", F.lit(""))
+    data = [(str(rnd.randint(1, 40)), "c", rnd.choice("ab"), f"2024-01-{rnd.randint(1, 9):02d}") for _ in range(200)]
+    frame = lambda part: rows("order_id string, customer_id string, order_status string, at string", *part).select(
+        "order_id", "customer_id", "order_status", F.col("at").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        *[F.lit(None).cast("timestamp_ntz").alias(c) for c in given.columns[4:]])
+    state = LatestOrders(spark, str(tmp_path / "o"), frame(data[:1]), 8)
+    for k in range(4):
+        folder = tmp_path / f"batch{k}"
+        frame(data[k::4]).write.parquet(str(folder))
+        state.add(k, spark.read.parquet(str(folder)))
+        for f in folder.rglob("part-*"):
+            f.unlink()  # an earlier batch cannot be read again
+    assert values(state.result()) == values(silver_orders(frame(data)))
+
+
+def test_data_tests_of_batches_are_those_of_the_whole(spark, rows, tmp_path):
+    rnd = random.Random(9)
+    checks = [not_null("c", "p"), unique("c", "a", "b"), accepted("c", "s", ["x", "y"]), relationship("c", "p", "m", "id").warn(),
+              relationship("c", "a", "c", "b"), unique("m", "id"), not_null("m", "id")]
+    children = [(rnd.choice([None, 1, 2, 3, 4, 5]), rnd.choice("xyz") if rnd.random() < 0.9 else None, rnd.randint(1, 6), rnd.choice([None, 1, 2, 3])) for _ in range(60)]
+    parents = [(rnd.choice([1, 2, 3, None]),) for _ in range(9)]
+    state, c, m = TestState(spark, str(tmp_path / "s"), checks), "p int, s string, a int, b int", "id int"
+    assert {r["failures"] for r in state.report().collect()} == {0}
+    for k in range(3):
+        state.add(2 * k, {"c": rows(c, *children[k::3])})
+        state.add(2 * k + 1, {"m": rows(m, *parents[k::3]), "other": rows("z int", (1,))})
+        seen = {"c": rows(c, *[r for j in range(k + 1) for r in children[j::3]]), "m": rows(m, *[r for j in range(k + 1) for r in parents[j::3]])}
+        assert values(state.report()) == values(run_checks(seen, checks))

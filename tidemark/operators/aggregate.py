@@ -27,6 +27,12 @@ def centroid_and_modes(
     a group, so one key may hold any share of the rows. The sums behind the
     means travel with the first mode column.
     """
+    return modes_from_counts(mode_counts(df, key, means, modes), key, means, modes, size)
+
+
+def mode_counts(df: DataFrame, key: str, means: Sequence[str], modes: Sequence[str]) -> DataFrame:
+    """The first step of ``centroid_and_modes``: key, slot (of the mode column), val, n, and
+    for each mean its sum and count. Such counts may be added up, see ``merge_mode_counts``."""
     entries = F.array(*[
         F.struct(
             F.lit(slot).alias("slot"),
@@ -36,12 +42,22 @@ def centroid_and_modes(
         for slot, name in enumerate(modes)
     ])
     long = df.select(F.col(key), F.explode(entries).alias("e")).select(key, "e.*")
-    counted = long.groupBy(key, "slot", "val").agg(
+    return long.groupBy(key, "slot", "val").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(m).alias(f"sum_{m}") for m in means],
         *[F.count(m).alias(f"cnt_{m}") for m in means],
     )
 
+
+def merge_mode_counts(counted: DataFrame, key: str, means: Sequence[str]) -> DataFrame:
+    """Counts of several parts of a table as those of the whole."""
+    sums = [c for m in means for c in (f"sum_{m}", f"cnt_{m}")]
+    return counted.groupBy(key, "slot", "val").agg(*[F.sum(c).alias(c) for c in ("n", *sums)])
+
+
+def modes_from_counts(counted: DataFrame, key: str, means: Sequence[str], modes: Sequence[str], size: str | None = None) -> DataFrame:
+    """The second step of ``centroid_and_modes``."""
+
     def most_frequent(slot: int, name: str) -> Column:
         rank = F.struct((-F.col("n")).alias("less"), F.col("val").alias("val"))
         usable = (F.col("slot") == slot) & F.col("val").isNotNull()

@@ -101,8 +101,12 @@ def latest_orders(typed: DataFrame) -> DataFrame:
     Of rows of the same purchase the one loaded last counts, where that is known: an
     order whose status changes keeps its purchase time.
     """
+    return latest_typed_orders(typed).drop(INGESTED_AT)
+
+
+def latest_typed_orders(typed: DataFrame) -> DataFrame:
     loaded = [F.col(INGESTED_AT).desc_nulls_last()] if INGESTED_AT in typed.columns else []
-    return first_per_key(typed, ["order_id"], [F.col("order_purchase_ts").desc_nulls_first(), *loaded]).drop(INGESTED_AT)
+    return first_per_key(typed, ["order_id"], [F.col("order_purchase_ts").desc_nulls_first(), *loaded])
 
 
 def silver_orders(orders: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ingest, models, oracles, reports, streams
+from . import ingest, models, oracles, partials, reports, streams
 
-QUERIES = {**models.QUERIES, **reports.QUERIES, **ingest.QUERIES, **streams.QUERIES}
+QUERIES = {**models.QUERIES, **reports.QUERIES, **ingest.QUERIES, **streams.QUERIES, **partials.QUERIES}
 ORACLES = oracles.ORACLES

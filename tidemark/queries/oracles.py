@@ -435,6 +435,42 @@ _RAW_ORDER = ("SELECT order_id, customer_id, order_status, order_purchase_timest
 _ROW_COUNTS = _sql(_union([
     f"SELECT '{m}' AS model, (SELECT count(*) FROM {m}) AS row_count" for m in _BUILT]))
 
+# The whole-number columns of the tables whose keys are looked for.
+_WHOLE = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey", "n_regionkey"],
+    "customer": ["c_custkey", "c_nationkey"],
+    "supplier": ["s_suppkey", "s_nationkey"],
+    "part": ["p_partkey", "p_size"],
+    "orders": ["o_orderkey", "o_custkey"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+}
+
+
+def _is_key(table: str, *columns: str) -> str:
+    present = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return (f"(SELECT count(*) > 0 AND bool_and({present}) FROM {table}) AND "
+            f"NOT EXISTS (SELECT 1 FROM {table} GROUP BY {', '.join(columns)} HAVING count(*) > 1)")
+
+
+def _found_keys() -> str:
+    rows = []
+    for table, columns in _WHOLE.items():
+        rows += [f"SELECT '{table}' AS table_name, '{c}' AS key_columns WHERE {_is_key(table, c)}" for c in columns]
+        rows += [f"SELECT '{table}', '{a},{b}' WHERE {_is_key(table, a, b)} AND NOT ({_is_key(table, a)}) AND NOT ({_is_key(table, b)})"
+                 for i, a in enumerate(columns) for b in columns[i + 1:]]
+    return _union(rows)
+
+
+def _found_references() -> str:
+    return _union([
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{p}' AS parent, '{k}' AS parent_key, "
+        f"{str(c.split('_', 1)[1] == k.split('_', 1)[1]).lower()} AS named_alike WHERE {_is_key(p, k)} "
+        f"AND EXISTS (SELECT 1 FROM {t} WHERE {c} IS NOT NULL) AND NOT EXISTS (SELECT 1 FROM {t} WHERE {c} NOT IN (SELECT {k} FROM {p}))"
+        for t, columns in _WHOLE.items() for c in columns for p, keys in _WHOLE.items() if p != t for k in keys
+    ])
+
+
 ORACLES: dict[str, str] = {
     # models as they are
     **{name: _sql(f"SELECT * FROM {name}") for name in _BUILT
@@ -483,6 +519,18 @@ ORACLES: dict[str, str] = {
         _check("events", "relationships", "event_id", to="orders", field="o_custkey")]),
     "dq_report": _report(_expected()),
     "gated_build": _ROW_COUNTS,
+    "found_keys": _found_keys(),
+    "found_references": _found_references(),
+    "merged_tests": _report([c for c in _expected() if c.model.startswith("silver_")]),
+    "merged_geolocation": _sql(
+        "SELECT * REPLACE (round(geolocation_lat, 6) AS geolocation_lat, "
+        "round(geolocation_lng, 6) AS geolocation_lng) FROM silver_geolocation"),
+    "merged_orders": """
+        SELECT customer, order_status, order_purchase_ts FROM (
+          SELECT o_custkey::VARCHAR AS customer, o_orderdate AS order_purchase_ts,
+            CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'created' WHEN 'P' THEN 'shipped' END AS order_status
+          FROM orders)
+        QUALIFY row_number() OVER (PARTITION BY customer ORDER BY order_purchase_ts DESC NULLS FIRST, order_status NULLS FIRST) = 1""",
 
     # profiles
     "profile_shape": _union([

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import clean_label, dataset_of, display_name, json_record, partition_value, split_name, word_case
 from ..operators import (
@@ -11,7 +12,7 @@ from ..operators import (
     page_after, page_answer, page_by_key, relationship, run_checks, time_slice, top_k, unique, up_to,
     value_counts,
 )
-from ..operators import profile
+from ..operators import keys, profile
 from ..operators.paging import number_pages
 from ..plans import inputs
 from ..plans.build import build
@@ -280,6 +281,32 @@ def json_export(spark: SparkSession, sf: str) -> DataFrame:
     return slim.select("event_id", json_record(slim).alias("record"))
 
 
+KEYED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _keys(spark: SparkSession, sf: str):
+    # Numbers and days; texts of the given tables are no keys.
+    tables = {
+        n: df.select(*[f.name for f in df.schema.fields if not isinstance(f.dataType, StringType)])
+        for n, df in _tables(spark, sf, *KEYED).items()
+    }
+    found = {n: keys.sketches(n, df) for n, df in tables.items()}
+    return tables, found, keys.find_keys(tables, found)
+
+
+def found_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Least keys of one or two numbers that the tables' rows bear out."""
+    rows = [(table, ",".join(columns)) for table, columns in _keys(spark, sf)[2]]
+    return spark.createDataFrame(rows, "table_name string, key_columns string")
+
+
+def found_references(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns whose values are all in another table's key; ``named_alike`` where they also
+    have its name, as true foreign keys do."""
+    rows = [(*r, r[1].split("_", 1)[-1] == r[3].split("_", 1)[-1]) for r in keys.find_references(*_keys(spark, sf))]
+    return spark.createDataFrame(rows, "table_name string, column_name string, parent string, parent_key string, named_alike boolean")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -288,6 +315,6 @@ QUERIES = {
         profile_key_length, profile_integral, table_counts,
         time_slice_orders, time_slice_children, history_up_to, latest_orders_topk,
         page_of_customers, page_after_key, page_envelopes, all_pages, latest_order_time,
-        orders_since, concat_tables, labels_cased, texts_cased, path_parts, json_export,
+        orders_since, found_keys, found_references, concat_tables, labels_cased, texts_cased, path_parts, json_export,
     )
 }
