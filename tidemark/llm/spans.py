@@ -118,7 +118,7 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     repeated = written(table.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "repeats")
     hits = written(table.join(repeated, meet).drop("__high", "__low"), "places")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "sentence")
-    firsts = hits.groupBy("high", "low").agg(F.min(place).alias("first")).select(*key, "first")
+    firsts = written(hits.groupBy("high", "low").agg(F.min(place).alias("first")).select(*key, "first"), "firsts")
     later = hits.join(firsts, meet).where(place != F.col("first"))
     # A document's own sentences, so each group is bounded by the document.
     return later.groupBy("doc_id", "text_hash").agg(
