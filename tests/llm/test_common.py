@@ -1,5 +1,7 @@
 """Helpers: joins of any size, prefix sums, samples, written tables."""
 
+import os
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -67,3 +69,13 @@ def test_one_batch_of_long_texts_gives_several_outputs(spark):
 
     packing.cut_documents(Docs(), with_ids=True)
     assert sum(seen) == 3000 and max(seen) <= packing.PART_TOKENS // 400 + 1
+
+
+def test_scratch_tables_go_but_for_those_taken_out(spark, rows):
+    before = common.written(rows("a int", (0,)), "outer")
+    with common.scratch(spark) as inner:
+        one = common.written(rows("a int", (1,)), "one")
+        two = common.written(one, "two")
+        kept = inner.pop()
+    assert two.collect()[0]["a"] == 1 and before.collect()[0]["a"] == 0 and kept in two.inputFiles()[0]
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in one.inputFiles())

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from ..sources.files import remove
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,6 +38,22 @@ def _dropping_shuffles(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What ``written`` writes while this holds is deleted at its end, but for the folders
+    taken out of the list that it gives. Frames that read from them are of no use then."""
+    folders: list[str] = []
+    token = _scratch.set(folders)
+    try:
+        yield folders
+    finally:
+        _scratch.reset(token)
+        remove(spark, *folders)
+
+
 def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the folder all executors share, and read from there.
 
@@ -44,6 +62,8 @@ def written(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     folder = shared_folder(spark, purpose)
+    if (inner := _scratch.get()) is not None:
+        inner.append(folder)
     with _dropping_shuffles(spark):
         df.write.option("compression", codec).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
