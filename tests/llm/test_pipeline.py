@@ -26,7 +26,7 @@ def kept(spark):
 
 def test_registered(spark):
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line dedup", "SimHash near-dedup", "mix sources", "best-fit packing"]
 
