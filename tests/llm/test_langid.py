@@ -1,6 +1,10 @@
 """Language identification: backoff, folds, and held-out accuracy."""
 
+import math
 import zlib
+from collections import Counter
+
+import pytest
 
 from conftest import SF
 
@@ -102,3 +106,27 @@ def test_words_are_taken_from_all_over_a_text(rows):
     assert langid.words_from_all_over("x" * 9000 + " end") == "end"
     docs = rows("doc_id long, text string, lang string", *[(i, text, "de") for i in range(9)])
     assert all("später" in r["text"] for r in langid.training_rows(docs).collect())
+
+
+def one_by_one(model, text):
+    """The formula, word by word."""
+    counts = Counter(langid.words_of(text))
+    if not counts:
+        return langid.NONE, 0.0
+    sums = [0.0] * len(model.languages)
+    for word, n in counts.items():
+        sums = [a + n * b for a, b in zip(sums, model.score(word), strict=True)]
+    best = max(range(len(sums)), key=lambda k: (sums[k], -k))
+    scale = min(counts.total(), 10) / counts.total()
+    return model.languages[best], 1 / sum(math.exp((s - sums[best]) * scale) for s in sums)
+
+
+def test_all_documents_match_the_formula(spark):
+    """Every document of the table, against the plain formula."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.pickle.loads(langid.fit(docs))
+    texts = [r["text"] for r in docs.collect()] + [None, "", "12 ²", "zzz"]
+    for text in texts:
+        lang, score = one_by_one(model, text)
+        got = model.predict(text)
+        assert got[0] == lang and got[1] == pytest.approx(score, abs=1e-9)
