@@ -44,17 +44,19 @@ class BronzeLoader:
 
     Everything of a table lives under its current generation. A reset starts
     the next one, so rows, ledger and stream checkpoint are emptied in one step.
+    With an ``archive`` the files of incremental tables go there when they are loaded.
     """
 
     def __init__(
         self, spark: SparkSession, lake: str, warehouse: str,
-        sources: Mapping[str, Source] = SOURCES, max_files: int = 2000,
+        sources: Mapping[str, Source] = SOURCES, max_files: int = 2000, archive: str | None = None,
     ):
         self.spark = spark
         self.lake = lake.rstrip("/")
         self.warehouse = warehouse.rstrip("/")
         self.sources = sources
         self.max_files = max_files
+        self.archive = archive
         self.generations = StateLog(spark, f"{self.warehouse}/generations")
         self._notes: dict[str, str | None] = {}
         self.refresh()
@@ -87,7 +89,7 @@ class BronzeLoader:
             return self._replace(table, newest_snapshot(self.spark, prefix))
         if source.pattern == "incremental":
             target = self._incremental(table)
-            load_incremental(target, prefix, self.max_files)
+            load_incremental(target, prefix, self.max_files, archive=self.archive)
             self._notes[table] = "; ".join(f"rejected {path}: {why}" for path, why in target.rejections) or None
             return target.rows_loaded()
         raise ValueError(f"unknown pattern '{source.pattern}' for '{table}'")

@@ -87,6 +87,23 @@ def ingest_ledger(spark: SparkSession, sf: str) -> DataFrame:
         F.sum("row_count").alias("row_count"))
 
 
+def ingest_archived(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each day's payments, loaded in three drops whose files are archived, and once
+    more after a reset. Names of files are those they had when they came."""
+    root = shared_folder(spark, "ingest")
+    payments = inputs.order_payments(spark, sf, F.to_date("ts").alias("batch_date"))
+    folder = place(f"{root}/lake", DROPS, "order_payments")
+    loader = BronzeLoader(spark, f"{root}/lake", f"{root}/warehouse", archive=f"{root}/archive")
+    for days in ("< '2024-01-10'", "BETWEEN '2024-01-10' AND '2024-01-19'", "> '2024-01-19'"):
+        payments.where(f"batch_date {days}").write.mode("append").partitionBy("batch_date").parquet(folder)
+        loader.load_table("stream_order_payments")
+    loader.reset(["stream_order_payments"])
+    loader.load_table("stream_order_payments")
+    name = F.col(SOURCE_FILE)
+    loaded = loader.read("stream_order_payments").groupBy(partition_value(name, "batch_date").alias("batch_date"))
+    return loaded.agg(F.count(F.lit(1)).alias("row_count"), F.bool_or(F.contains(name, F.lit("/archive/"))).alias("renamed"))
+
+
 def ingest_unprocessed(spark: SparkSession, sf: str) -> DataFrame:
     """Days with files the ledger does not have yet: those of a third drop."""
     root = shared_folder(spark, "ingest")
@@ -427,7 +444,7 @@ def ingest_timestamps(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_unprocessed,
+        ingest_latest_snapshot, ingest_tagged_latest, ingest_incremental, ingest_ledger, ingest_archived, ingest_unprocessed,
         ingest_watermark_delta, ingest_child_delta, ingest_overlap_delta,
         ingest_paged_json, ingest_json_dump, ingest_versioned_latest, snapshot_changed,
         ingest_modified_since, ingest_replaced_drop, ingest_clock_set_back, capture_changes, capture_to_silver, ingest_mixed_drop, ingest_lineage, catalog_seed_and_reset, bucketed_fact_order_items, bucketed_fact_payments, lake_to_gold, ingest_csv, ingest_preload, ingest_timestamps,

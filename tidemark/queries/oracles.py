@@ -632,6 +632,9 @@ ORACLES: dict[str, str] = {
         SELECT 'stream_order_payments' AS table_name, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date,
                count(*) AS row_count
         FROM events WHERE event_type = 'purchase' GROUP BY 2""",
+    "ingest_archived": """
+        SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date, count(*) AS row_count, FALSE AS renamed
+        FROM events WHERE event_type = 'purchase' GROUP BY 1""",
     "ingest_unprocessed": """
         SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_date FROM events WHERE event_type <> 'purchase'""",
     "ingest_watermark_delta": _sql(

@@ -24,6 +24,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
+def path_within(spark: SparkSession, path: str) -> str:
+    """A path without its file system, as file names of Spark have it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri().getRawPath()
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     """Give a file or folder another name; the new one must be free."""
     place, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))

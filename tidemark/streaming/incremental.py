@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.sets import concat_frames
 from ..schemas import SOURCE_FILE, bronze_ddl
 from ..sinks.conform import UnknownColumnsError, conform
-from ..sources.files import path_exists, read_alike
+from ..sources.files import path_exists, path_within, read_alike
 
 BATCH_ID = "_batch_id"
 REJECTED = "file_key string, message string"
@@ -71,9 +73,12 @@ class IncrementalTable:
         first, second = self._fitting(paths[:middle]), self._fitting(paths[middle:])
         return first[0] + second[0], first[1] + second[1]
 
-    def load_batch(self, paths: list[str], batch_id: int) -> None:
+    def load_batch(self, paths: list[str], batch_id: int, archive: str = "") -> None:
         """Data first, then the ledger, taken from the data just written.
 
+        Files that lie under ``archive`` (a path as in file names) keep the name they had
+        before they were moved there.
+
         A crash between the two repeats the batch with the same files and the
         same id, which replaces what is there. Files without rows get no entry.
         Files with unknown columns are set aside and reported, the others load; a
@@ -82,6 +87,9 @@ class IncrementalTable:
         if not paths:
             return
         frames, bad = self._fitting(paths)
+        if archive:
+            frames = [f.withColumn(SOURCE_FILE, F.replace(SOURCE_FILE, F.lit(archive), F.lit(""))) for f in frames]
+            bad = [(path.replace(archive, "", 1), why) for path, why in bad]
         if bad:
             self.rejections += bad
             overwrite_batch(self.spark.createDataFrame(bad, REJECTED), self.rejected_folder, batch_id)
@@ -110,7 +118,7 @@ class IncrementalTable:
 
 
 def load_incremental(
-    target: IncrementalTable, prefix: str, max_files: int = 2000, interval: str | None = None
+    target: IncrementalTable, prefix: str, max_files: int = 2000, interval: str | None = None, archive: str | None = None,
 ) -> StreamingQuery | None:
     """Load every file under ``prefix`` that has not been loaded yet.
 
@@ -119,20 +127,37 @@ def load_incremental(
     column is noticed and text timestamps are cast. Without ``interval`` the
     call returns when all present files are loaded; with one (``'5 minutes'``)
     it returns the running query.
+
+    With an ``archive``, a folder of the same file system, files leave the prefix once
+    the batch after theirs has begun, and keep their path beneath the archive. So a
+    listing names what is new and one batch. A file that a crash left behind stays under
+    the prefix and is not loaded twice. A table that starts anew, after a reset, first
+    takes what the archive has of the prefix. One table may use an archive of a prefix.
     """
+    spark = target.spark
+    if archive is not None and not path_exists(spark, target.checkpoint):
+        old, moved = f"{archive.rstrip('/')}{path_within(spark, prefix)}", path_within(spark, archive).rstrip("/")
+        # Finished before the table's own stream begins; repeated from where it was if it died.
+        _load(target, old, f"{target.checkpoint}-archive", max_files, None, None, lambda i: -1 - i, moved)
+    return _load(target, prefix, target.checkpoint, max_files, interval, archive, lambda i: i)
+
+
+def _load(target: IncrementalTable, prefix: str, checkpoint: str, max_files: int, interval: str | None,
+          archive: str | None, number: Callable[[int], int], moved: str = "") -> StreamingQuery | None:
     if not path_exists(target.spark, prefix):
         return None  # nothing has arrived yet
     names = (
         target.spark.readStream.format("binaryFile").schema(_FILES)
         .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files).option("maxFileAge", "36500d")
-        .load(prefix).select("path")
     )
+    if archive is not None:
+        names = names.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        target.load_batch([r["path"] for r in batch.collect()], batch_id)
+        target.load_batch([r["path"] for r in batch.collect()], number(batch_id), moved)
 
-    writer = names.writeStream.foreachBatch(load).option("checkpointLocation", target.checkpoint)
+    writer = names.load(prefix).select("path").writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if interval is not None:
         return writer.trigger(processingTime=interval).start()
     writer.trigger(availableNow=True).start().awaitTermination()
