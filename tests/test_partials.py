@@ -7,7 +7,8 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from tidemark.operators.checks import accepted, not_null, relationship, run_checks, unique
-from tidemark.plans.partials import GeolocationState, LatestOrders, TestState
+from tidemark.operators import profile
+from tidemark.plans.partials import GeolocationState, LatestOrders, ProfileState, TestState
 from tidemark.plans.silver import silver_geolocation, silver_orders
 from tidemark.schemas import bronze_ddl
 from tidemark.sinks.merged import MergedTable
@@ -89,3 +90,51 @@ def test_data_tests_of_batches_are_those_of_the_whole(spark, rows, tmp_path):
         state.add(2 * k + 1, {"m": rows(m, *parents[k::3]), "other": rows("z int", (1,))})
         seen = {"c": rows(c, *[r for j in range(k + 1) for r in children[j::3]]), "m": rows(m, *[r for j in range(k + 1) for r in parents[j::3]])}
         assert values(state.report()) == values(run_checks(seen, checks))
+
+
+@pytest.mark.parametrize("most", [1, 3, 20])
+def test_frequent_values_are_within_their_bounds(spark, rows, tmp_path, most):
+    """Skewed values over batches against exact counts; the error keeps to its limit."""
+    draw, state, exact = random.Random(most), ProfileState(spark, str(tmp_path / "p"), ["a", "b"], most), {"a": {}, "b": {}}
+    total = 0
+    for k in range(4):
+        batch = [(min(int(draw.paretovariate(0.6)), 500) if draw.random() < 0.9 else None, "hot" if draw.random() < 0.4 else f"v{draw.randrange(60)}")
+                 for _ in range(400)]
+        total += len(batch)
+        for a, b in batch:
+            exact["a"][a if a is None else str(a)] = exact["a"].get(a if a is None else str(a), 0) + 1
+            exact["b"][b] = exact["b"].get(b, 0) + 1
+        for _ in range(2):  # a repeated batch counts once
+            state.add(k, rows("a int, b string", *batch))
+    errors = {r["column_name"]: r["n"] for r in state.values.read().where("is_error").collect()}
+    kept = {(r["column_name"], r["value"]): r for r in state.frequent().collect()}
+    assert set(errors) == {"a", "b"} and all(e * (most + 1) <= total for e in errors.values())
+    for c, counts in exact.items():
+        assert sum(name == c for name, _ in kept) <= most
+        for v, n in counts.items():
+            if (c, v) in kept:
+                assert kept[c, v]["at_least"] <= n <= kept[c, v]["at_most"]
+            else:
+                assert n <= errors[c]
+    if most == 20:
+        assert ("b", "hot") in kept and ("a", None) in kept
+
+
+def test_distinct_counts_by_merged_sketches(spark, tmp_path):
+    state = ProfileState(spark, str(tmp_path / "p"), ["id", "few", "none"])
+    numbers = lambda a, b: spark.range(a, b).select(
+        "id", (F.col("id") % 7).alias("few"), F.lit(None).cast("string").alias("none"))
+    for k, (a, b) in enumerate([(0, 20_000), (10_000, 40_000), (0, 40_000)]):
+        state.add(k, numbers(a, b))
+    got = {r["column_name"]: (r["row_count"], r["nulls"], r["distinct_values"]) for r in state.distinct().collect()}
+    assert got["few"] == (90_000, 0, 7) and got["none"] == (90_000, 90_000, 0)
+    assert got["id"][:2] == (90_000, 0) and abs(got["id"][2] - 40_000) <= 3 * profile.SKETCH_ERROR * 40_000
+
+
+def test_profile_of_nothing_and_of_long_values(spark, rows, tmp_path):
+    state = ProfileState(spark, str(tmp_path / "p"), ["a b"])
+    state.add(0, rows("`a b` string"))
+    assert values(state.distinct()) == [("a b", 0, 0, 0)] and state.frequent().count() == 0
+    state.add(1, rows("`a b` string", ("x" * 5000,), ("x" * 5000,), ("",), (None,)))
+    found = {(r["value"] or "")[:7]: r["at_least"] for r in state.frequent().where("value <> '' ").collect()}
+    assert found == {"sha256:": 2} and state.frequent().count() == 3

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse_timestamp
 
+#: Distinct counts by sketches of 2^12 registers, whose standard error is 1.04 / sqrt(2^12).
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+#: Values that a summary of frequent values keeps per column.
+MOST_VALUES = 100
+#: Longer values stand in such a summary by their digest.
+LONGEST_VALUE = 100
+SKETCHES = "column_name string, row_count bigint, nulls bigint, sketch binary"
+FREQUENT = "column_name string, is_error boolean, value string, n bigint"
+
 
 def _per_column(df: DataFrame, columns: Sequence[str], **measures) -> DataFrame:
     """One pass over the table, one output row per column."""
@@ -83,3 +93,64 @@ def has_fractions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return F.coalesce(F.bool_or(c % 1 != 0), F.lit(False))
 
     return _per_column(df, columns, fractional=fractional)
+
+
+def column_sketches(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows, nulls and a sketch of the distinct values per column, in one pass (``SKETCHES``).
+
+    As large as there are columns, however many values these have.
+    """
+    return _per_column(
+        df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]), columns,
+        row_count=lambda c: F.count(F.lit(1)), nulls=lambda c: F.count_if(c.isNull()),
+        sketch=lambda c: F.hll_sketch_agg(c, SKETCH_BITS))
+
+
+def merge_column_sketches(parts: DataFrame) -> DataFrame:
+    """Sketches of several parts of a table as those of the whole."""
+    return parts.groupBy("column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("nulls").alias("nulls"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame) -> DataFrame:
+    """Distinct values per column, nulls aside; off by SKETCH_ERROR as a standard deviation."""
+    return sketches.select("column_name", "row_count", "nulls", F.hll_sketch_estimate("sketch").alias("distinct_values"))
+
+
+def _value(c: str) -> Column:
+    text = F.col(f"`{c}`").cast("string")
+    return F.when(F.length(text) > LONGEST_VALUE, F.concat(F.lit("sha256:"), F.sha2(text, 256))).otherwise(text)
+
+
+def frequent_parts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How often each value of the columns occurs, null included (``FREQUENT``), counted
+    before the shuffle; an error of 0 stands beside each column."""
+    entry = lambda c, is_error, value, n: F.struct(
+        F.lit(c).alias("column_name"), F.lit(is_error).alias("is_error"), value.alias("value"), F.lit(n).cast("bigint").alias("n"))
+    entries = [e for c in columns for e in (entry(c, False, _value(c), 1), entry(c, True, F.lit(None).cast("string"), 0))]
+    each = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return each.groupBy("column_name", "is_error", "value").agg(F.sum("n").alias("n"))
+
+
+def merge_frequent(parts: DataFrame, most: int = MOST_VALUES) -> DataFrame:
+    """The ``most`` most frequent values per column of several parts, less the count of the next one.
+
+    What is taken off is added to the column's error, so a value's true count lies
+    between ``n`` and ``n`` + error, and that of a value not kept is at most the error.
+    Each time ``most`` + 1 values lose as much, so the error is at most the number of
+    rows over ``most`` + 1, in whatever order and however often parts are merged.
+    """
+    counted = parts.groupBy("column_name", "is_error", "value").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("column_name", "is_error").orderBy(F.col("n").desc(), "value")
+    top = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most + 1)
+    next_one = F.max(F.when(~F.col("is_error") & (F.col("place") == most + 1), F.col("n")))
+    cut = F.coalesce(next_one.over(Window.partitionBy("column_name")), F.lit(0))
+    n = F.when(F.col("is_error"), F.col("n") + cut).otherwise(F.col("n") - cut)
+    return top.select("column_name", "is_error", "value", n.alias("n")).where("is_error OR n > 0")
+
+
+def frequent_values(summary: DataFrame) -> DataFrame:
+    """Values that may be frequent, with the bounds of their counts."""
+    error = summary.where("is_error").select("column_name", F.col("n").alias("error"))  # a row per column
+    return summary.where("NOT is_error").join(F.broadcast(error), "column_name").select(
+        "column_name", "value", F.col("n").alias("at_least"), (F.col("n") + F.col("error")).alias("at_most"))

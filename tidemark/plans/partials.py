@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import to_zip, varchar
+from ..operators import profile
 from ..operators.aggregate import merge_mode_counts, mode_counts, modes_from_counts
 from ..operators.checks import Check
 from ..sinks.merged import MergedTable
@@ -53,6 +54,30 @@ class LatestOrders:
         return silver.latest_orders(self.table.read())
 
 
+class ProfileState:
+    """Profile of a table too large to group: per column rows, nulls, a sketch of the distinct
+    values and a summary of the frequent ones. As large as there are columns."""
+
+    def __init__(self, spark: SparkSession, folder: str, columns: Sequence[str], most: int = profile.MOST_VALUES):
+        self.columns, at = list(columns), folder.rstrip("/")
+        self.sketches = MergedTable(
+            spark, f"{at}/sketches", StructType.fromDDL(profile.SKETCHES), ["column_name"], profile.merge_column_sketches, 1)
+        self.values = MergedTable(
+            spark, f"{at}/values", StructType.fromDDL(profile.FREQUENT), ["column_name"],
+            lambda rows: profile.merge_frequent(rows, most), min(len(self.columns), 64))
+
+    def add(self, batch_id: int, rows: DataFrame) -> None:
+        """A batch counts once in each part, also if it died between the two."""
+        self.sketches.merge(batch_id, profile.column_sketches(rows, self.columns))
+        self.values.merge(batch_id, profile.frequent_parts(rows, self.columns))
+
+    def distinct(self) -> DataFrame:
+        return profile.distinct_estimates(self.sketches.read())
+
+    def frequent(self) -> DataFrame:
+        return profile.frequent_values(self.values.read())
+
+
 class TestState:
     """Data tests over batches of rows, each of which is read once.
 

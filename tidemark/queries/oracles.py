@@ -401,6 +401,10 @@ _SHAPES = {
                  "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
 }
+_PROFILED = [
+    ("lineitem", "l_orderkey"), ("lineitem", "l_partkey"), ("lineitem", "l_suppkey"), ("lineitem", "l_quantity"),
+    ("lineitem", "l_returnflag"), ("events", "user_id"), ("events", "event_type"),
+]
 _NULL_TABLES = {
     "labelled": ["doc_id", "quality", "toxic"],
     "pg_orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -531,6 +535,12 @@ ORACLES: dict[str, str] = {
             CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'created' WHEN 'P' THEN 'shipped' END AS order_status
           FROM orders)
         QUALIFY row_number() OVER (PARTITION BY customer ORDER BY order_purchase_ts DESC NULLS FIRST, order_status NULLS FIRST) = 1""",
+    "merged_distinct": _union([
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, "
+        f"count(DISTINCT {c}) AS distinct_values, TRUE AS within FROM {t}" for t, c in _PROFILED]),
+    "merged_frequent": _union([
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n, TRUE AS within "
+        f"FROM {t} GROUP BY {c} HAVING count(*) * 101 > (SELECT count(*) FROM {t})" for t, c in _PROFILED]),
 
     # profiles
     "profile_shape": _union([
