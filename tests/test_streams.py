@@ -132,3 +132,20 @@ def test_a_batch_that_died_is_replaced(spark, rows, tmp_path, monkeypatch):
     assert values(join.placed()) == [] and len(values(join.waiting())) == 2
     join.add(1, parents=rows(parent, (1, "y")))
     assert values(join.placed()) == [(1, 10, "y")] and values(join.waiting()) == [(2, 20)]
+
+
+def test_waiting_for_a_parent_keeps_each_row_once(spark, rows, tmp_path):
+    kids, parents = "k int, c int, ct timestamp", "k int, p string, pt timestamp"
+    rows(kids, *[(i % 5, i, AT) for i in range(50)], (9, 0, AT)).write.parquet(f"{tmp_path}/kids")
+    rows(parents, *[(i, f"p{i}", AT) for i in range(5)]).write.parquet(f"{tmp_path}/parents")
+    read = lambda s, n: spark.readStream.schema(s).option("maxFileAge", "36500d").parquet(f"{tmp_path}/{n}")
+    found = []
+    for name, more in (("plain", {}), ("spread", {"spread": 4})):
+        joined = join_when_parent_arrives(read(kids, "kids"), read(parents, "parents"), "k", "ct", "pt", "1 hour", **more)
+        running = (joined.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp-{name}")
+                   .trigger(availableNow=True).start(f"{tmp_path}/out-{name}"))
+        running.awaitTermination()
+        kept = max(p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"])
+        assert kept == 51 + 5 * more.get("spread", 1)
+        found.append(values(spark.read.schema(joined.schema).parquet(f"{tmp_path}/out-{name}"), "k", "c", "p"))
+    assert found[0] == found[1] and len(found[0]) == 50

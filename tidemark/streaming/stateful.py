@@ -36,26 +36,31 @@ def dedup_stream(
 
 def join_when_parent_arrives(
     children: DataFrame, parents: DataFrame, key: str, child_ts: str, parent_ts: str, wait: str,
-    spread: int = 8,
+    spread: int = 1,
 ) -> DataFrame:
     """Child rows joined to their parent, whichever arrives first.
 
     Both sides wait for each other up to ``wait``; a child whose parent has not
-    come by then is given up, and picked up by the next batch rebuild. Adaptive
-    execution does not reach streaming joins, so the children of one parent are
-    spread over ``spread`` tasks and each parent is sent to all of them.
+    come by then is given up, and picked up by the next batch rebuild. State holds
+    each row once.
+
+    Adaptive execution does not reach streaming joins. With ``spread`` over 1 the
+    children of one parent are spread over that many tasks and each parent is sent to
+    all of them, for parents with very many children; the state of the parents grows
+    as many times.
     """
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in children.columns]), F.lit(spread)).cast("int")
-    c = children.withColumn("_part", part).withWatermark(child_ts, wait)
-    p = (
-        parents.withColumnRenamed(key, "_parent_key").withWatermark(parent_ts, wait)
-        .withColumn("_parent_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    )
+    c = children.withWatermark(child_ts, wait)
+    p = parents.withColumnRenamed(key, "_parent_key").withWatermark(parent_ts, wait)
     near = (
         (F.col(child_ts) >= F.col(parent_ts) - F.expr(f"interval {wait}"))
         & (F.col(child_ts) <= F.col(parent_ts) + F.expr(f"interval {wait}"))
     )
-    same = (F.col(key) == F.col("_parent_key")) & (F.col("_part") == F.col("_parent_part"))
+    same = F.col(key) == F.col("_parent_key")
+    if spread > 1:
+        part = F.pmod(F.xxhash64(*[F.col(x) for x in children.columns]), F.lit(spread)).cast("int")
+        c = c.withColumn("_part", part)
+        p = p.withColumn("_parent_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        same = same & (F.col("_part") == F.col("_parent_part"))
     return c.join(p, same & near, "inner").drop("_parent_key", "_part", "_parent_part")
 
 
