@@ -210,3 +210,12 @@ def test_sketches_bound_what_is_grouped(rows, monkeypatch):
     df = rows("id int, few int, some int", *[(k, k % 3, k % 20) for k in range(1000)])
     keys.find_keys({"t": df}, {"t": keys.sketches("t", df)})
     assert asked == [("id",), ("id", "few"), ("id", "some")]
+
+
+def test_short_texts_are_grouped_as_they_are(rows):
+    from tidemark.operators import profile
+    long = "x" * 33
+    df = rows("v string, m int", ("ab", 1), ("ab", 1), (None, 1), (None, 1), (long, 1), (long, 1), ("", 1), ("x" * 32, 1))
+    short = df.select(profile._short(F.col("v"), "string").alias("s")).select("s.text", "s.length", F.length("s.digest"))
+    assert values(short.distinct()) == values(rows("a string, b int, c int", ("ab", None, None), (None, None, None), (None, 33, 32), ("", None, None), ("x" * 32, None, None)))
+    assert values(profile.duplicate_rows(df, "v")) == values(profile.duplicate_rows(df)) == [(8, 3)]

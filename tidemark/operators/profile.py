@@ -16,6 +16,8 @@ SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
 MOST_VALUES = 100
 #: Longer values stand in such a summary by their digest.
 LONGEST_VALUE = 100
+#: Bytes of a SHA-256 digest.
+DIGEST_BYTES = 32
 SKETCHES = "column_name string, row_count bigint, nulls bigint, sketch binary"
 FREQUENT = "column_name string, is_error boolean, value string, n bigint"
 
@@ -53,8 +55,13 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def _short(c: Column, kind: str) -> Column:
-    """Texts of any length by length and SHA-256, so that a shuffle need not carry them."""
-    return F.when(c.isNotNull(), F.struct(F.length(c), F.sha2(c, 256))) if kind == "string" else c
+    """Texts longer than their digest by length and SHA-256, so that a shuffle need not carry
+    them; shorter ones as they are, in a field of their own."""
+    if kind != "string":
+        return c
+    long = F.length(c) > DIGEST_BYTES
+    digest = F.unhex(F.sha2(c, 256))
+    return F.when(c.isNotNull(), F.struct(F.when(~long, c).alias("text"), F.when(long, F.length(c)).alias("length"), F.when(long, digest).alias("digest")))
 
 
 def duplicate_rows(df: DataFrame, *keys: str) -> DataFrame:
