@@ -75,3 +75,8 @@ def test_the_order_loaded_last_counts(spark, store):
     assert values(store.orders().select("order_status").distinct()) == [("shipped",)]
     with pytest.raises(KeyError):
         store.append("pg_customers", orders)
+
+
+def test_buckets_follow_the_rows():
+    from tidemark.plans.bucketed import BUCKET_ROWS, buckets_for
+    assert buckets_for(0) == buckets_for(8 * BUCKET_ROWS) == 8 and buckets_for(216_000_000) == 216

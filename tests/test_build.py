@@ -129,3 +129,12 @@ def test_a_third_of_all_rows_under_one_key(spark, tmp_path):
     finally:
         for k, v in kept.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_tables_are_written_with_entropy_coding(spark, rows, tmp_path):
+    import glob
+    from tidemark.sinks import VersionedTable
+    table = VersionedTable(spark, f"{tmp_path}/t")
+    table.replace(rows("k string", ("a",)))
+    files = glob.glob(f"{tmp_path}/t/**/*.parquet", recursive=True)
+    assert files and all(f.endswith(".zstd.parquet") for f in files) and values(table.read()) == [("a",)]

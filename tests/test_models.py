@@ -130,3 +130,10 @@ def test_dimension_keys_are_those_of_the_dimension(bronze):
     dim = gold.dim_customers(customers, places)
     assert values(gold.dimension_keys(customers, "customer_id")) == values(dim, "customer_id", "customer_key")
     assert values(dim, "customer_id", "customer_lat") == [("a", 1.0), ("b", None)]
+
+
+def test_joins_of_facts_carry_no_digest(spark):
+    from tidemark.queries import models
+    for fact in (models.fact_order_items, models.fact_orders, models.fact_payments):
+        plan = fact(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5(" in plan.split("Join", 1)[0] and "md5(" not in plan.split("Join", 1)[1]

@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import first_per_key
+from ..session import CODEC
 from . import gold, silver
 
 KEY = "order_id"
+#: Rows of the largest table that a bucket takes, so that a task sorts it in memory.
+BUCKET_ROWS = 1_000_000
 #: What is appended: bronze table, typed form.
 TYPED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "orders_by_order": ("pg_orders", silver.typed_orders),
@@ -29,6 +32,11 @@ TYPED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 }
 
 
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets for tables of which the largest has so many rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 class BucketedStore:
     """Tables of ``database``, all in as many buckets; give each a file of some hundred MB."""
 
@@ -38,7 +46,7 @@ class BucketedStore:
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         # Dealt as the buckets are, so that a load adds one file to each of them.
         dealt = df.repartition(self.buckets, KEY)
-        dealt.write.bucketBy(self.buckets, KEY).sortBy(KEY).mode(mode).saveAsTable(f"`{self.database}`.`{name}`")
+        dealt.write.option("compression", CODEC).bucketBy(self.buckets, KEY).sortBy(KEY).mode(mode).saveAsTable(f"`{self.database}`.`{name}`")
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(f"`{self.database}`.`{name}`")
@@ -62,11 +70,11 @@ class BucketedStore:
 
     def key_orders(self, customers: DataFrame) -> None:
         """Store the way from each order to its customer, which all facts go: one
-        shuffle of a narrow table per build. Unknown customers leave a null key."""
+        shuffle of a narrow table per build. Unknown customers leave a null id."""
         self._write("customer_of_order", gold.order_customers(self.orders(), customers, "left"), "overwrite")
 
     def fact_order_items(self, products: DataFrame, sellers: DataFrame) -> DataFrame:
-        keyed = self.read("customer_of_order").where(F.col("customer_key").isNotNull()).hint("merge")
+        keyed = self.read("customer_of_order").where(F.col("customer_id").isNotNull()).hint("merge")
         return gold.keyed_order_items(self.items(), keyed, products, sellers)
 
     def fact_payments(self) -> DataFrame:
