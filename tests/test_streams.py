@@ -149,3 +149,16 @@ def test_waiting_for_a_parent_keeps_each_row_once(spark, rows, tmp_path):
         assert kept == 51 + 5 * more.get("spread", 1)
         found.append(values(spark.read.schema(joined.schema).parquet(f"{tmp_path}/out-{name}"), "k", "c", "p"))
     assert found[0] == found[1] and len(found[0]) == 50
+
+
+def test_waiting_join_writes_who_is_placed_and_who_waits_at_once(spark, rows, tmp_path, monkeypatch):
+    from tidemark.streaming import waiting
+    kid, parent = rows("k int, c int", (1, 1), (2, 2), (None, 3), (1, 1)), rows("k int, p string", (1, "a"))
+    join, written = WaitingJoin(spark, f"{tmp_path}/joined", "k", parent.schema, kid.schema), []
+    plain = waiting.overwrite_batch
+    monkeypatch.setattr(waiting, "overwrite_batch", lambda df, folder, *a: (written.append(folder), plain(df, folder, *a)))
+    join.add(0, parents=parent, children=kid)
+    assert len(written) == 3
+    assert values(join.placed()) == [(1, 1, "a"), (1, 1, "a")] and values(join.waiting()) == [(None, 3), (2, 2)]
+    join.add(1, parents=rows("k int, p string", (2, "b")))
+    assert values(join.placed()) == [(1, 1, "a"), (1, 1, "a"), (2, 2, "b")] and values(join.waiting()) == [(None, 3)]

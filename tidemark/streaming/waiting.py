@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..sinks.state import StateLog
 from .incremental import BATCH_ID, batch_folder, overwrite_batch, read_batches
 
+#: Which part of a batch a child is in: with its parent, or waiting.
+PLACED = "_placed"
+
 
 class WaitingJoin:
     """Joins ``children`` to ``parents`` on ``key``, batch by batch, under ``folder``.
@@ -43,10 +46,17 @@ class WaitingJoin:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         return read_batches(self.spark, f"{self.folder}/{name}", ddl).where(F.col(BATCH_ID) <= batch_id).drop(BATCH_ID)
 
+    def _met(self, children: DataFrame, parents: DataFrame) -> DataFrame:
+        """Children with their parent's columns, or nulls, and whether it is there."""
+        met = children.join(parents.withColumn(PLACED, F.lit(True)), self.key, "left")
+        return met.select(*self.out_schema.names, F.coalesce(PLACED, F.lit(False)).alias(PLACED))
+
     def _waiting_after(self, batch_id: int) -> DataFrame:
         if batch_id < 0:
             return self.spark.createDataFrame([], self.children_schema)
-        return self.spark.read.schema(self.children_schema).parquet(batch_folder(f"{self.folder}/waiting", batch_id))
+        with_place = StructType([*self.children_schema.fields, StructField(PLACED, BooleanType())])
+        rows = self.spark.read.schema(with_place).parquet(batch_folder(f"{self.folder}/met", batch_id))
+        return rows.where(~F.col(PLACED)).drop(PLACED)
 
     def add(self, batch_id: int, parents: DataFrame | None = None, children: DataFrame | None = None) -> None:
         """Take in a batch, the next one or the last one once more.
@@ -70,10 +80,8 @@ class WaitingJoin:
         new, came = self._of("parents", self.parents_schema, batch_id), self._of("came", self.children_schema, batch_id)
         waiting = self._waiting_after(previous)
         both = known.unionByName(new)
-        placed = came.join(both, self.key).unionByName(waiting.join(new, self.key)).select(*self.out_schema.names)
-        overwrite_batch(placed, f"{self.folder}/placed", batch_id)
-        still = came.join(both.select(self.key), self.key, "left_anti").unionByName(waiting.join(new.select(self.key), self.key, "left_anti"))
-        overwrite_batch(still.select(*self.children_schema.names), f"{self.folder}/waiting", batch_id)
+        # One join per side tells who is placed and who waits, and parts them as they are written.
+        overwrite_batch(self._met(came, both).unionByName(self._met(waiting, new)), f"{self.folder}/met", batch_id, PLACED)
         if batch_id > last:
             self.done.put("batch", str(batch_id), after=before.seq)
 
@@ -87,7 +95,8 @@ class WaitingJoin:
 
     def placed(self) -> DataFrame:
         """Children with their parents' columns, each once."""
-        return self._upto("placed", self.out_schema, self._last())
+        met = StructType([*self.out_schema.fields, StructField(PLACED, BooleanType())])
+        return self._upto("met", met, self._last()).where(PLACED).drop(PLACED)
 
     def waiting(self) -> DataFrame:
         """Children whose parent has not come."""
