@@ -138,3 +138,11 @@ def test_profile_of_nothing_and_of_long_values(spark, rows, tmp_path):
     state.add(1, rows("`a b` string", ("x" * 5000,), ("x" * 5000,), ("",), (None,)))
     found = {(r["value"] or "")[:7]: r["at_least"] for r in state.frequent().where("value <> '' ").collect()}
     assert found == {"sha256:": 2} and state.frequent().count() == 3
+
+
+def test_batches_are_taken_from_stored_models(spark, monkeypatch):
+    from tidemark.queries import partials
+    sources, plain = [], partials._batch
+    monkeypatch.setattr(partials, "_batch", lambda df, k: (sources.append(df.inputFiles()), plain(df, k))[1])
+    partials.merged_tests(spark, "/root/testdata/sf0.001")
+    assert sources and all("/models-" in f for files in sources for f in files)

@@ -11,7 +11,7 @@ from ..plans import inputs
 from ..plans.build import compose
 from ..plans.data_tests import SILVER
 from ..plans.partials import GeolocationState, LatestOrders, ProfileState, TestState
-from ..session import shared_folder
+from ..session import CODEC, shared_folder
 
 BATCHES = 3
 
@@ -41,9 +41,13 @@ def merged_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merged_tests(spark: SparkSession, sf: str) -> DataFrame:
-    """The data tests of the silver models over three batches of their rows."""
-    models = compose(inputs.bronze(spark, sf))
-    wanted = sorted({c.model for c in SILVER})
+    """The data tests of the silver models over three batches of their rows. The models are
+    worked out once and stored, and the batches taken from there."""
+    composed, root = compose(inputs.bronze(spark, sf)), shared_folder(spark, "models")
+    wanted, models = sorted({c.model for c in SILVER}), {}
+    for m in wanted:
+        composed[m].write.option("compression", CODEC).parquet(f"{root}/{m}")
+        models[m] = spark.read.schema(composed[m].schema).parquet(f"{root}/{m}")
     state = TestState(spark, shared_folder(spark, "merged"), SILVER)
     for k in range(BATCHES):
         state.add(k, {m: _batch(models[m], k) for m in wanted})

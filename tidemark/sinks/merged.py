@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.capture import BUCKET, bucket_of
+from ..session import CODEC
 from .state import StateLog
 
 PLACES = f"{BUCKET} int, run bigint"
@@ -57,12 +58,12 @@ class MergedTable:
         if batch_id <= last:
             return []
         new, names = run + 1, self.schema.names
-        rows.select(*names, bucket_of(self.keys, self.buckets).alias(BUCKET)).write.mode("overwrite").parquet(f"{self.folder}/came/run={new}")
+        rows.select(*names, bucket_of(self.keys, self.buckets).alias(BUCKET)).write.mode("overwrite").option("compression", CODEC).parquet(f"{self.folder}/came/run={new}")
         came = self.spark.read.schema(StructType([*self.schema.fields, StructField(BUCKET, IntegerType())])).parquet(f"{self.folder}/came/run={new}")
         touched = sorted(r[BUCKET] for r in came.select(BUCKET).distinct().collect())
         together = self._read(run, touched).unionByName(came.select(*names))
         merged = self.combine(together).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        merged.withColumn(BUCKET, bucket_of(self.keys, self.buckets)).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
+        merged.withColumn(BUCKET, bucket_of(self.keys, self.buckets)).repartition(BUCKET).write.mode("overwrite").option("compression", CODEC).partitionBy(BUCKET).parquet(
             f"{self.folder}/rows/run={new}")
         kept = self._places(run).where(~F.col(BUCKET).isin(touched)) if touched else self._places(run)
         mine = self.spark.createDataFrame([(b, new) for b in touched], PLACES)
