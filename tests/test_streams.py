@@ -162,3 +162,28 @@ def test_waiting_join_writes_who_is_placed_and_who_waits_at_once(spark, rows, tm
     assert values(join.placed()) == [(1, 1, "a"), (1, 1, "a")] and values(join.waiting()) == [(None, 3), (2, 2)]
     join.add(1, parents=rows("k int, p string", (2, "b")))
     assert values(join.placed()) == [(1, 1, "a"), (1, 1, "a"), (2, 2, "b")] and values(join.waiting()) == [(None, 3)]
+
+
+def test_parent_child_state_outgrows_no_heap(spark, rows, tmp_path):
+    """On a session whose state would lie on the heap; repeated and null keys as in any join."""
+    from pathlib import Path
+
+    from tidemark.queries.streams import stream_parent_child
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")) / "tidemark"
+    (rows("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+          *[(k, 100 + n, "F", AT) for n, k in enumerate((1, 2, 2, None))]).write.parquet(f"{tmp_path}/orders.parquet"))
+    (rows("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_tax double, l_shipdate timestamp_ntz",
+          *[(k, 5, 6, n, 1.5, 0.0, AT) for n, k in enumerate((1, 1, 2, 3, None))]).write.parquet(f"{tmp_path}/lineitem.parquet"))
+    before, conf = set(shared.glob("stream-*")), spark.conf.getAll
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        heap = spark.conf.getAll
+        got = values(stream_parent_child(spark, str(tmp_path)), "order_id", "order_item_id", "customer_id")
+        assert spark.conf.getAll == heap
+    finally:
+        spark.conf.set(provider, conf[provider])
+    assert got == [("1", 0, "100"), ("1", 1, "100"), ("2", 2, "101"), ("2", 2, "102")]
+    (root,) = set(shared.glob("stream-*")) - before
+    kinds = {f.suffix for f in (root / "checkpoint" / "state").rglob("*") if f.is_file() and not f.name.startswith(".")}
+    assert ".zip" in kinds and ".delta" not in kinds

@@ -34,7 +34,10 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_parent_child(spark: SparkSession, sf: str) -> DataFrame:
-    """Items joined to their order by landing time, two streams against each other."""
+    """Items joined to their order by landing time, two streams against each other.
+
+    The state holds both tables whole, so it lies on disk.
+    """
     root = shared_folder(spark, "stream")
     items = inputs.order_items(spark, sf).select("order_id", "order_item_id", "product_id", "price")
     orders = inputs.orders(spark, sf).select("order_id", "customer_id")
@@ -50,7 +53,7 @@ def stream_parent_child(spark: SparkSession, sf: str) -> DataFrame:
         "order_id", "item_landed", "order_landed", "2 days",
     )
     run_to_folder(joined.select("order_id", "order_item_id", "product_id", "price", "customer_id"),
-                  f"{root}/out", f"{root}/checkpoint")
+                  f"{root}/out", f"{root}/checkpoint", on_disk=True)
     return spark.read.parquet(f"{root}/out")
 
 

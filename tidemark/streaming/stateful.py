@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import STATE_ON_DISK, held
 from ..sinks.state import StateLog
 from .incremental import BATCH_ID, overwrite_batch, read_batches
 
@@ -98,10 +99,19 @@ def read_committed(
     return parents, children
 
 
-def run_to_folder(stream: DataFrame, folder: str, checkpoint: str) -> None:
-    """Process all that is available and append it to a Parquet folder."""
-    running = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(folder)
-    )
+def run_to_folder(stream: DataFrame, folder: str, checkpoint: str, on_disk: bool = False) -> None:
+    """Process all that is available and append it to a Parquet folder.
+
+    State lies where the session has it, which with Spark's default is on the heap: some 300
+    bytes a row of a join. With ``on_disk`` it lies on disk, whatever the session has, and only
+    memory settings of the session's own count; a checkpoint keeps the kind of state that it began with.
+    """
+    spark = stream.sparkSession
+    own = spark.conf.getAll
+    given = {k: v for k, v in STATE_ON_DISK.items() if k.endswith("providerClass") or k not in own} if on_disk else {}
+    with held(spark, given):  # a stream keeps the settings that it was started with
+        running = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(folder)
+        )
     running.awaitTermination()
