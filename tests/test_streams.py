@@ -185,5 +185,25 @@ def test_parent_child_state_outgrows_no_heap(spark, rows, tmp_path):
         spark.conf.set(provider, conf[provider])
     assert got == [("1", 0, "100"), ("1", 1, "100"), ("2", 2, "101"), ("2", 2, "102")]
     (root,) = set(shared.glob("stream-*")) - before
+    assert [f.name for f in (root / "checkpoint" / "offsets").iterdir() if not f.name.startswith(".")] == ["0"]
     kinds = {f.suffix for f in (root / "checkpoint" / "state").rglob("*") if f.is_file() and not f.name.startswith(".")}
     assert ".zip" in kinds and ".delta" not in kinds
+
+
+def test_an_empty_batch_follows_if_asked_for(spark, rows, tmp_path):
+    """Without it rows of later runs still meet those before them."""
+    kids, parents = "k int, c int, ct timestamp", "k int, p string, pt timestamp"
+    read = lambda s, n: spark.readStream.schema(s).option("maxFileAge", "36500d").parquet(f"{tmp_path}/{n}")
+    found, conf = [], spark.conf.getAll
+    for name, eager in (("eager", True), ("lazy", False)):
+        rows(kids, (1, 10, AT), (2, 20, AT)).write.parquet(f"{tmp_path}/kids-{name}")
+        rows(parents, (1, "a", AT)).write.parquet(f"{tmp_path}/parents-{name}")
+        joined = join_when_parent_arrives(read(kids, f"kids-{name}"), read(parents, f"parents-{name}"), "k", "ct", "pt", "1 hour")
+        go = lambda: run_to_folder(joined, f"{tmp_path}/out-{name}", f"{tmp_path}/cp-{name}", on_disk=True, eager=eager)  # noqa: B023, E731
+        go()
+        batches = [f.name for f in (tmp_path / f"cp-{name}" / "offsets").iterdir() if not f.name.startswith(".")]
+        assert sorted(batches) == (["0", "1"] if eager else ["0"])
+        rows(parents, (2, "b", AT + timedelta(minutes=1))).write.mode("append").parquet(f"{tmp_path}/parents-{name}")
+        go()
+        found.append(values(spark.read.schema(joined.schema).parquet(f"{tmp_path}/out-{name}"), "k", "c", "p"))
+    assert found == [[(1, 10, "a"), (2, 20, "b")]] * 2 and spark.conf.getAll == conf

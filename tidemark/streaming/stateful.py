@@ -99,16 +99,26 @@ def read_committed(
     return parents, children
 
 
-def run_to_folder(stream: DataFrame, folder: str, checkpoint: str, on_disk: bool = False) -> None:
+def run_to_folder(
+    stream: DataFrame, folder: str, checkpoint: str, on_disk: bool = False, eager: bool = True
+) -> None:
     """Process all that is available and append it to a Parquet folder.
 
     State lies where the session has it, which with Spark's default is on the heap: some 300
     bytes a row of a join. With ``on_disk`` it lies on disk, whatever the session has, and only
     memory settings of the session's own count; a checkpoint keeps the kind of state that it began with.
+
+    Spark follows the last batch by an empty one, which reads the whole state once more to drop
+    what has expired. Not ``eager``, that is left to the next batch with rows, which may also
+    take in rows that are too late. Only for streams that emit nothing in an empty batch, such as
+    inner joins: outer joins and windows would keep back rows.
     """
-    spark = stream.sparkSession
+    spark, given = stream.sparkSession, {}
     own = spark.conf.getAll
-    given = {k: v for k, v in STATE_ON_DISK.items() if k.endswith("providerClass") or k not in own} if on_disk else {}
+    if on_disk:
+        given |= {k: v for k, v in STATE_ON_DISK.items() if k.endswith("providerClass") or k not in own}
+    if not eager:
+        given["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     with held(spark, given):  # a stream keeps the settings that it was started with
         running = (
             stream.writeStream.format("parquet").outputMode("append")
